@@ -19,15 +19,16 @@ def pretokenize(df: DataFrame, text_col: str = "text",
 
 
 def word_counts(df: DataFrame, text_col: str = "text",
-                special_tokens: Sequence[str] = (DEFAULT_SPECIAL_TOKEN,)) -> DataFrame:
-    """Distinct pre-tokens with their frequency: ``word, n`` (A4).
+                special_tokens: Sequence[str] = (DEFAULT_SPECIAL_TOKEN,),
+                group: Sequence[str] = ()) -> DataFrame:
+    """Distinct pre-tokens with their frequency: ``group..., word, n`` (A4).
 
     This is the compaction that makes training scale: a partial hash aggregate
     runs before the shuffle, so a hot word (" the") is pre-summed per task and
     never concentrates raw occurrences in one reducer.
     """
-    words = df.select(F.explode(pretokens(text_col, special_tokens)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = df.select(*group, F.explode(pretokens(text_col, special_tokens)).alias("word"))
+    return words.groupBy(*group, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def training_words(word_df: DataFrame, word_col: str = "word", n_col: str = "n") -> DataFrame:
