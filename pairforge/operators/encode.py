@@ -102,8 +102,8 @@ def encode(spark: SparkSession, df: DataFrame, model, key: Sequence[str] = ("doc
     toks = token_rows(df, model, key, text_col, unit)
     rkey = list(key) + (["line_no"] if unit == "line" else [])
     words = word_table(toks)
-    dictionary = encode_words(spark, words, model).persist()
-    hot = (dictionary.where(F.length("word") <= HOT_WORD_MAX_CHARS).orderBy(F.desc("n")).limit(HOT_WORDS)
+    dictionary = encode_words(spark, words, model)
+    hot = (words.where(F.length("word") <= HOT_WORD_MAX_CHARS).orderBy(F.desc("n")).limit(HOT_WORDS)
            .where(F.col("n") > rows_per_salt)
            .select("word", F.ceil(F.col("n") / F.lit(rows_per_salt)).cast("int").alias("factor")))
     hot = F.broadcast(hot)

@@ -71,10 +71,15 @@ def to_alphabet(binary_col) -> Column:
 
 
 def from_alphabet(text_col) -> Column:
-    """Byte-alphabet string -> BINARY (E7): the inverse ``translate``."""
+    """Byte-alphabet string -> BINARY (E7): the inverse ``translate``.
+
+    ``translate`` reserves U+0000 as its "delete" marker, so the character of
+    byte 0 is mapped by a ``replace`` after it.
+    """
     src, dst = _alphabet_strings()
     c = F.col(text_col) if isinstance(text_col, str) else text_col
-    return F.encode(F.translate(c, dst, src), "ISO-8859-1")
+    latin1 = F.replace(F.translate(c, dst[1:], src[1:]), F.lit(dst[0]), F.lit("\x00"))
+    return F.encode(latin1, "ISO-8859-1")
 
 
 def byte_alphabet_frame(spark: SparkSession) -> DataFrame:

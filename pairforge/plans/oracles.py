@@ -218,6 +218,14 @@ def oracle_sql() -> dict[str, str]:
     q["token_total_by_split_rows"] = with_(doc_enc, (
         "SELECT CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, sum(n_tokens)::BIGINT AS n_tokens, "
         "count(*)::BIGINT AS n_rows FROM denc GROUP BY 1"))
+    q["bundle_merges_roundtrip"] = q["train_merges_16"]
+    q["text_export_roundtrip"] = q["train_merges_16"]
+    q["token_shards_totals"] = with_(line_enc, (
+        "SELECT CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, sum(n_tokens)::BIGINT AS n_tokens "
+        "FROM linenc GROUP BY 1"))
+    q["stream_encode_totals"] = with_(line_enc, "SELECT doc_id, sum(n_tokens)::BIGINT AS n_tokens FROM linenc "
+                                                "GROUP BY doc_id")
+    q["stream_word_counts"] = q["pretoken_counts"]
     q["decode_roundtrip"] = "SELECT doc_id, text FROM documents"
     q["decode_skip_specials"] = "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents"
     return q

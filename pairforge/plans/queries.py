@@ -291,6 +291,64 @@ def q_token_total_by_split_rows(spark, d):
                        group=["split"])
 
 
+# -- sinks, bundles, streams (each reads back what it wrote) ---------------------
+
+DOC_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+
+
+def _merges_hex(mdf):
+    return mdf.select("rank", F.hex("left_bytes").alias("left_hex"), F.hex("right_bytes").alias("right_hex"))
+
+
+def q_bundle_merges_roundtrip(spark, d):
+    from pairforge.sources.bundle import load_model, save_model
+    from pairforge.session import scratch_path
+    path = scratch_path(spark, "bundle")
+    save_model(spark, model_for(spark, d), path)
+    return _merges_hex(load_model(spark, path).merges_df(spark))
+
+
+def q_text_export_roundtrip(spark, d):
+    from pairforge.sources.bundle import model_from_text, write_merges_text, write_vocab_json
+    from pairforge.session import scratch_path
+    m = model_for(spark, d)
+    base = scratch_path(spark, "text-export")
+    write_merges_text(m.merges_df(spark), f"{base}/merges")
+    write_vocab_json(m.vocab_df(spark), f"{base}/vocab")
+    back = model_from_text(spark, f"{base}/vocab", f"{base}/merges", [SP])
+    return _merges_hex(back.merges_df(spark))
+
+
+def q_token_shards_totals(spark, d):
+    from pairforge.sources.shards import shard_listing, write_token_shards
+    from pairforge.session import scratch_path
+    src = docs(spark, d)
+    toks = encode_splits(spark, {"train": src.where(~(F.col("doc_id") % 10 == 0)),
+                                 "val": src.where(F.col("doc_id") % 10 == 0)}, model_for(spark, d), unit="line")
+    path = scratch_path(spark, "shards")
+    write_token_shards(toks, path, order=("doc_id", "line_no"))
+    return shard_listing(spark, path).groupBy("split").agg(F.sum("n_tokens").cast("bigint").alias("n_tokens"))
+
+
+def q_stream_encode_totals(spark, d):
+    from pairforge.session import scratch_path
+    from pairforge.streaming.encode_stream import document_stream, start_stream_encode
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    st = document_stream(spark, d, DOC_SCHEMA, glob="documents.parquet")
+    start_stream_encode(st, model_for(spark, d), out, ck).awaitTermination()
+    return (spark.read.parquet(out).groupBy("doc_id")
+            .agg(F.sum("n_tokens").cast("bigint").alias("n_tokens")))
+
+
+def q_stream_word_counts(spark, d):
+    from pairforge.session import scratch_path
+    from pairforge.streaming.encode_stream import document_stream, start_word_counts
+    out, ck = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
+    st = document_stream(spark, d, DOC_SCHEMA, glob="documents.parquet")
+    start_word_counts(st, out, ck).awaitTermination()
+    return spark.read.parquet(out).select("word", F.col("n").cast("bigint").alias("n"))
+
+
 QUERIES = {
     "pretoken_counts": q_pretoken_counts,
     "pretoken_counts_by_lang": q_pretoken_counts_by_lang,
@@ -327,4 +385,9 @@ QUERIES = {
     "decode_roundtrip": q_decode_roundtrip,
     "decode_skip_specials": q_decode_skip_specials,
     "train_merges_1000": q_train_merges_1000,
+    "bundle_merges_roundtrip": q_bundle_merges_roundtrip,
+    "text_export_roundtrip": q_text_export_roundtrip,
+    "token_shards_totals": q_token_shards_totals,
+    "stream_encode_totals": q_stream_encode_totals,
+    "stream_word_counts": q_stream_word_counts,
 }
