@@ -45,14 +45,21 @@ def affected_words(words: DataFrame, merges: Sequence[Merge], seq_col: str = "se
 
 def apply_merges_to_ids(df: DataFrame, merges: Sequence[Merge], ids_col: str = "ids") -> DataFrame:
     """F3 API: merge an ``ARRAY<INT>`` column (ids -> token string -> replace -> ids)."""
-    seq = F.array_join(F.transform(F.col(ids_col), lambda i: _id_char(i)), "")
-    return df.withColumn(ids_col, seq_to_ids(merge_expr(seq, merges)))
+    return df.withColumn(ids_col, seq_to_ids(merge_expr(ids_to_seq_col(ids_col), merges)))
 
 
-def _id_char(i: Column) -> Column:
-    # code point of id i as a 1-char string, via UTF-32BE bytes
-    cp = F.when(i >= 0xD800, i + 0x800).otherwise(i)
-    return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32BE")
+def ids_to_seq_col(ids) -> Column:
+    """ARRAY<INT> -> token string, as one UTF-16BE decode (surrogate pairs built here)."""
+    c = F.col(ids) if isinstance(ids, str) else ids
+
+    def utf16_hex(i):
+        cp = F.when(i >= 0xD800, i + 0x800).otherwise(i)
+        off = cp - 0x10000
+        pair = F.concat(F.lpad(F.hex(F.lit(0xD800) + F.shiftright(off, 10)), 4, "0"),
+                        F.lpad(F.hex(F.lit(0xDC00) + off.bitwiseAND(F.lit(0x3FF))), 4, "0"))
+        return F.when(cp < 0x10000, F.lpad(F.hex(cp), 4, "0")).otherwise(pair)
+
+    return F.decode(F.unhex(F.array_join(F.transform(c, utf16_hex), "")), "UTF-16BE")
 
 
 def delta_counts(words: DataFrame, merges: Sequence[Merge], seq_col: str = "seq",

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairforge.functions.expressions import char_to_id
-from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN
+from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN, byte_alphabet
 from pairforge.operators.merges import Merge, merge_expr
 from pairforge.operators.pairs import pair_counts, top_pairs
 from pairforge.operators.pretokenize import training_words, word_counts
@@ -89,10 +89,17 @@ class BpeModel:
         return spark.createDataFrame(
             rows, "rank INT, left_id INT, right_id INT, new_id INT, left_bytes BINARY, right_bytes BINARY")
 
-    def relabel_specials_first(self) -> BpeModel:
-        """Same model with specials at ids 0.. and bytes shifted after them."""
+    def relabel_specials_first(self, byte_order: str = "alphabet") -> BpeModel:
+        """Same model with specials at ids 0.. and the bytes after them.
+
+        ``byte_order='alphabet'`` numbers bytes by their printable-alphabet
+        character (the layout of published vocab files); ``'byte'`` by value.
+        """
         specials = [i for i in sorted(self.kinds) if self.kinds[i] == "special"]
         byte_ids = [i for i in sorted(self.kinds) if self.kinds[i] == "byte"]
+        if byte_order == "alphabet":
+            alpha = byte_alphabet()
+            byte_ids.sort(key=lambda i: ord(alpha[self.vocab[i][0]]))
         order = specials + byte_ids
         remap = {old: new for new, old in enumerate(order)}
         vocab = {remap.get(i, i): b for i, b in self.vocab.items()}
