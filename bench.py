@@ -43,7 +43,9 @@ def main() -> None:
     q["word_count"] = time.time() - t
 
     t = time.time()
-    model = train_words(spark, training_words(wc), TrainConfig(vocab_size=vocab))
+    model = train_words(spark, training_words(wc), TrainConfig(
+        vocab_size=vocab, speculate=int(os.environ.get("BENCH_SPECULATE", "0")),
+        count_mode=os.environ.get("BENCH_COUNT_MODE", "recount")))
     q["train"] = time.time() - t
 
     t = time.time()

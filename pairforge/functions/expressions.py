@@ -68,6 +68,23 @@ def pair_strings(seq) -> Column:
     return F.filter(pairs, lambda p: F.length(p) == 2)
 
 
+def pair_strings_bmp(seq) -> Column:
+    """Same as ``pair_strings`` as one regex (codegen friendly, no lambdas).
+
+    Only valid while every code point is below U+10000 (token ids < 0xF800):
+    java.util.regex would also match inside a surrogate pair.
+    """
+    return F.regexp_extract_all(_col(seq), F.lit("(?s)(?=(..))"), F.lit(1))
+
+
+BMP_MAX_ID = 0x10000 - SURROGATE_SHIFT - 1
+
+
+def pairs_expr(seq, max_id: int) -> Column:
+    """Pair strings of a token string whose ids are all <= ``max_id``."""
+    return pair_strings_bmp(seq) if max_id <= BMP_MAX_ID else pair_strings(seq)
+
+
 def pair_left_id(pair) -> Column:
     return cp_to_id(F.ascii(F.substr(_col(pair), F.lit(1), F.lit(1)))).cast("int")
 

@@ -16,17 +16,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairforge.functions.expressions import (
-    pretokens,
     specials_in_order,
     split_lines,
     split_on_specials,
 )
 from pairforge.functions.patterns import JAVA_PRETOKEN_PATTERN
 from pairforge.functions.udfs import make_encode_udf
+from pairforge.session import ensure_parallel, remember
 
 HOT_WORDS = 10_000          # at most this many salted words (broadcast rows)
 HOT_WORD_MAX_CHARS = 256    # salted words are short; caps the broadcast bytes
@@ -51,33 +51,54 @@ def encoder_udf(spark: SparkSession, model):
     return make_encode_udf(table, byte_ids, unk)
 
 
+def work_partitions(spark: SparkSession) -> int:
+    """Partitions for CPU-heavy per-row work (UDF, pair explosion) on compact tables.
+
+    AQE would coalesce a small distinct-word table into very few partitions;
+    CPU-bound work needs at least a couple of tasks per core.
+    """
+    return max(2 * spark.sparkContext.defaultParallelism,
+               int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _items(text: Column, specials: Sequence[str], sp_ids: dict) -> Column:
+    """ARRAY<STRUCT<seg, sub, pos, word, special_id>> of one text, in order."""
+    pat = F.lit(JAVA_PRETOKEN_PATTERN)
+    segs = split_on_specials(text, specials)
+    found = specials_in_order(text, specials)
+    sp_map = (F.create_map(*[x for s_, i in sp_ids.items() for x in (F.lit(s_), F.lit(i))])
+              if sp_ids else None)
+
+    def per_segment(seg: Column, i: Column) -> Column:
+        words = F.transform(F.regexp_extract_all(seg, pat, F.lit(0)), lambda w, j: F.struct(
+            i.alias("seg"), F.lit(0).alias("sub"), j.alias("pos"), w.alias("word"),
+            F.lit(None).cast("int").alias("special_id")))
+        if sp_map is None:
+            return words
+        mark = F.struct(i.alias("seg"), F.lit(1).alias("sub"), F.lit(0).alias("pos"),
+                        F.lit(None).cast("string").alias("word"),
+                        F.try_element_at(sp_map, F.try_element_at(found, i + 1)).cast("int").alias("special_id"))
+        return F.concat(words, F.filter(F.array(mark), lambda _: i < F.size(found)))
+
+    return F.flatten(F.transform(segs, per_segment))
+
+
 def token_rows(df: DataFrame, model, key: Sequence[str] = ("doc_id",), text_col: str = "text",
                unit: str = "document") -> DataFrame:
-    """One row per pre-token or special token occurrence.
+    """One row per pre-token or special-token occurrence, in a single pass.
 
     Columns: ``key..., [line_no], seg, sub, pos, word, special_id``.  Order inside a
     row is ``(seg, sub, pos)``: segment between specials, 0 = words / 1 = the special
-    that ends the segment, position.  ``unit='line'`` works on text-mode lines.
+    that ends the segment, position.  A row with no token at all yields one row
+    whose fields are null (so it survives to the output with an empty id list).
+    ``unit='line'`` works on text-mode lines.
     """
     key = list(key)
     if unit == "line":
         df = df.select(*key, F.posexplode(split_lines(text_col)).alias("line_no", text_col))
         key = key + ["line_no"]
-    specials = list(model.special_tokens)
-    segs = df.select(*key, F.posexplode(split_on_specials(text_col, specials)).alias("seg", "t"),
-                     specials_in_order(text_col, specials).alias("sp"))
-    words = segs.select(*key, "seg", F.lit(0).alias("sub"),
-                        F.posexplode(F.regexp_extract_all("t", F.lit(JAVA_PRETOKEN_PATTERN), F.lit(0)))
-                        .alias("pos", "word"),
-                        F.lit(None).cast("int").alias("special_id"))
-    sp_ids = model.special_ids()
-    if not sp_ids:
-        return words
-    sp_map = F.create_map(*[x for s, i in sp_ids.items() for x in (F.lit(s), F.lit(i))])
-    marks = segs.where(F.col("seg") < F.size("sp")).select(
-        *key, "seg", F.lit(1).alias("sub"), F.lit(0).alias("pos"), F.lit(None).cast("string").alias("word"),
-        F.element_at(sp_map, F.element_at("sp", F.col("seg") + 1)).cast("int").alias("special_id"))
-    return words.unionByName(marks)
+    items = _items(F.col(text_col), list(model.special_tokens), model.special_ids())
+    return df.select(*key, F.explode_outer(items).alias("t")).select(*key, "t.*")
 
 
 def word_table(tokens: DataFrame) -> DataFrame:
@@ -86,48 +107,65 @@ def word_table(tokens: DataFrame) -> DataFrame:
 
 
 def encode_words(spark: SparkSession, words: DataFrame, model, word_col: str = "word") -> DataFrame:
-    """Add ``ids ARRAY<INT>`` to a table of distinct words (E1 core)."""
-    return words.withColumn("ids", encoder_udf(spark, model)(F.col(word_col)))
+    """Add ``ids ARRAY<INT>`` to a table of distinct words (E1 core).
+
+    The words are spread over ``work_partitions`` tasks first, so the Arrow UDF
+    runs on every core instead of the one or two partitions AQE leaves.
+    """
+    return words.repartition(work_partitions(spark)).withColumn(
+        "ids", encoder_udf(spark, model)(F.col(word_col)))
+
+
+NON_WORD_SPREAD = 64  # salt range for special / empty rows (their join key is null)
+BROADCAST_DICT_BYTES = 256 << 20  # encoded dictionary up to this size is broadcast
 
 
 def encode(spark: SparkSession, df: DataFrame, model, key: Sequence[str] = ("doc_id",),
            text_col: str = "text", unit: str = "document", skip_empty: bool = False,
-           rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+           rows_per_salt: int = ROWS_PER_SALT, broadcast_bytes: int = BROADCAST_DICT_BYTES) -> DataFrame:
     """Encode every row of ``df``: ``key..., [line_no], ids, n_tokens``.
 
     ``unit='document'`` encodes whole texts (training's view); ``unit='line'``
     encodes text-mode lines, each keeping its LF (the corpus-encoding view).
     ``skip_empty`` drops rows without tokens (P9).
+
+    The distinct-word table is cached (it is compact) and measured: when the
+    encoded dictionary is below ``broadcast_bytes`` it is broadcast and the
+    token stream is never shuffled for the join; above it, the join shuffles on
+    ``(word, salt)`` with the hottest words salted.
     """
-    toks = token_rows(df, model, key, text_col, unit)
+    toks = token_rows(ensure_parallel(df.select(*key, text_col), spark), model, key, text_col, unit)
     rkey = list(key) + (["line_no"] if unit == "line" else [])
-    words = word_table(toks)
-    dictionary = encode_words(spark, words, model)
-    hot = (words.where(F.length("word") <= HOT_WORD_MAX_CHARS).orderBy(F.desc("n")).limit(HOT_WORDS)
-           .where(F.col("n") > rows_per_salt)
-           .select("word", F.ceil(F.col("n") / F.lit(rows_per_salt)).cast("int").alias("factor")))
-    hot = F.broadcast(hot)
-    word_toks = toks.where(F.col("word").isNotNull())
-    salted = (word_toks.join(hot, "word", "left")
-              .withColumn("salt", F.pmod(F.xxhash64(*rkey, "seg", "pos"),
-                                         F.coalesce("factor", F.lit(1))).cast("int"))
-              .drop("factor"))
-    dict_salted = (dictionary.join(hot, "word", "left")
-                   .select("word", "ids", F.explode(F.sequence(F.lit(0), F.coalesce("factor", F.lit(1)) - 1))
-                           .alias("salt")))
-    joined = salted.join(dict_salted, ["word", "salt"]).select(*rkey, "seg", "sub", "pos", "ids")
-    specials = toks.where(F.col("word").isNull()).select(
-        *rkey, "seg", "sub", "pos", F.array(F.col("special_id")).alias("ids"))
-    allrows = joined.unionByName(specials)
-    out = allrows.groupBy(*rkey).agg(
+    words = remember(word_table(toks).persist())
+    st = words.agg(F.count(F.lit(1)).alias("w"), F.sum(F.octet_length("word")).alias("b")).first()
+    n_words, n_bytes = int(st["w"] or 0), int(st["b"] or 0)
+    longest = max(len(b) for b in model.vocab.values()) if model.vocab else 1
+    dictionary = encode_words(spark, words.select("word"), model)
+    # ids cost 4 bytes each and a word holds at most one id per byte: bounded above
+    est = 2 * n_bytes + 4 * n_bytes // max(1, min(longest, 4)) + 48 * n_words
+    if est <= broadcast_bytes:
+        joined = toks.join(F.broadcast(dictionary), "word", "left")
+    else:
+        # at most HOT_WORDS rows of at most HOT_WORD_MAX_CHARS characters: a proven bound
+        hot = (words.orderBy(F.desc("n")).limit(HOT_WORDS)
+               .where((F.col("n") > rows_per_salt) & (F.length("word") <= HOT_WORD_MAX_CHARS))
+               .select("word", F.ceil(F.col("n") / F.lit(rows_per_salt)).cast("int").alias("factor")))
+        hot = F.broadcast(hot)
+        spread = F.when(F.col("word").isNull(), F.lit(NON_WORD_SPREAD)).otherwise(F.coalesce("factor", F.lit(1)))
+        salted = (toks.join(hot, "word", "left")
+                  .withColumn("salt", F.pmod(F.xxhash64(*rkey, "seg", "sub", "pos"), spread).cast("int"))
+                  .drop("factor"))
+        dict_salted = (dictionary.join(hot, "word", "left")
+                       .select("word", "ids", F.explode(F.sequence(F.lit(0), F.coalesce("factor", F.lit(1)) - 1))
+                               .alias("salt")))
+        joined = salted.join(dict_salted, ["word", "salt"], "left")
+    joined = joined.select(
+        *rkey, "seg", "sub", "pos",
+        F.coalesce("ids", F.when(F.col("special_id").isNotNull(), F.array("special_id"))).alias("ids"))
+    out = joined.groupBy(*rkey).agg(
         F.sort_array(F.collect_list(F.struct("seg", "sub", "pos", "ids"))).alias("parts"))
-    out = out.select(*rkey, F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
-    out = out.withColumn("n_tokens", F.size("ids"))
-    # rows whose text has no token at all (empty text) still appear, with []
-    empty = df.where(F.coalesce(F.length(text_col), F.lit(0)) == 0)
-    if unit == "document":
-        out = out.unionByName(empty.select(*rkey, F.array().cast("array<int>").alias("ids"),
-                                           F.lit(0).alias("n_tokens")))
+    ids = F.flatten(F.transform(F.filter("parts", lambda p: p["ids"].isNotNull()), lambda p: p["ids"]))
+    out = out.select(*rkey, ids.alias("ids")).withColumn("n_tokens", F.size("ids"))
     if skip_empty:
         out = out.where(F.col("n_tokens") > 0)
     return out
@@ -148,7 +186,7 @@ def token_counts(spark: SparkSession, df: DataFrame, model, text_col: str = "tex
     length weighted by the frequency; every special token counts one.
     """
     group = list(group)
-    toks = token_rows(df.select(*group, text_col), model, group, text_col)
+    toks = token_rows(ensure_parallel(df.select(*group, text_col), spark), model, group, text_col)
     words = toks.where(F.col("word").isNotNull()).groupBy(*group, "word").agg(F.count(F.lit(1)).alias("n"))
     enc = encode_words(spark, words.select("word").distinct(), model).select(
         "word", F.size("ids").alias("len"))

@@ -82,3 +82,30 @@ def update_counts(counts: DataFrame, delta: DataFrame) -> DataFrame:
     return (counts.select("pair", "n").unionByName(delta.select("pair", "n"))
             .groupBy("pair").agg(F.sum("n").cast("bigint").alias("n"))
             .where(F.col("n") > 0))
+
+
+def step_deltas(words: DataFrame, steps: Sequence[Merge], max_id: int, seq_col: str = "seq",
+                n_col: str = "n") -> DataFrame:
+    """Exact pair-count change of each step of a merge sequence (M3, per step).
+
+    Output ``step, pair, n``: applying ``steps[step-1]`` after the earlier steps
+    changes the count of ``pair`` by ``n``.  Only words holding one of the
+    pairs are expanded; each intermediate state is one projection (a
+    ``replace`` is never recomputed), and pairs unchanged by a step cancel in
+    the aggregate.
+    """
+    from pairforge.functions.expressions import pairs_expr
+
+    hit = affected_words(words, steps, seq_col).select(F.col(seq_col).alias("s0"), F.col(n_col).alias("w"))
+    for j, m in enumerate(steps, 1):
+        hit = hit.withColumn(f"s{j}", merge_expr(f"s{j - 1}", [m]))
+    trans = F.array(*[F.struct(F.lit(j).alias("step"), F.col(f"s{j - 1}").alias("old"),
+                               F.col(f"s{j}").alias("new")) for j in range(1, len(steps) + 1)])
+    x = hit.select(F.explode(trans).alias("t"), "w").where(F.col("t.old") != F.col("t.new"))
+    signed = F.concat(
+        F.transform(pairs_expr("t.old", max_id), lambda p: F.struct(p.alias("pair"), F.lit(-1).alias("sign"))),
+        F.transform(pairs_expr("t.new", max_id), lambda p: F.struct(p.alias("pair"), F.lit(1).alias("sign"))))
+    y = x.select(F.col("t.step").alias("step"), F.explode(signed).alias("e"), "w")
+    return (y.groupBy("step", F.col("e.pair").alias("pair"))
+            .agg(F.sum(F.col("e.sign") * F.col("w")).cast("bigint").alias("n"))
+            .where(F.col("n") != 0))

@@ -10,19 +10,22 @@ from pairforge.functions.expressions import (
     pair_left_id,
     pair_right_id,
     pair_strings,
+    pairs_expr,
 )
 
 
-def pair_counts(words: DataFrame, seq_col: str = "seq", n_col: str = "n") -> DataFrame:
+def pair_counts(words: DataFrame, seq_col: str = "seq", n_col: str = "n", max_id: int | None = None
+                ) -> DataFrame:
     """Weighted adjacent-pair counts of token strings: ``pair, n`` (A1).
 
     Overlapping occurrences count (``aaa`` has (a,a) twice).  Words shorter
     than two tokens carry no pair (P8).  Partial aggregation runs before the
     shuffle, so the exchange carries at most one row per pair and task.
     """
+    pairs = pair_strings(seq_col) if max_id is None else pairs_expr(seq_col, max_id)
     return (
         words.where(F.length(seq_col) >= 2)
-        .select(F.explode(pair_strings(seq_col)).alias("pair"), F.col(n_col).alias("w"))
+        .select(F.explode(pairs).alias("pair"), F.col(n_col).alias("w"))
         .groupBy("pair")
         .agg(F.sum("w").cast("bigint").alias("n"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pairforge.functions.expressions import pretokens, seq_from_word, seq_to_ids
 from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN
+from pairforge.session import ensure_parallel
 
 
 def pretokenize(df: DataFrame, text_col: str = "text",
@@ -27,7 +28,8 @@ def word_counts(df: DataFrame, text_col: str = "text",
     runs before the shuffle, so a hot word (" the") is pre-summed per task and
     never concentrates raw occurrences in one reducer.
     """
-    words = df.select(*group, F.explode(pretokens(text_col, special_tokens)).alias("word"))
+    words = ensure_parallel(df.select(*group, text_col)).select(
+        *group, F.explode(pretokens(text_col, special_tokens)).alias("word"))
     return words.groupBy(*group, "word").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -47,6 +47,7 @@ class TrainConfig:
     specials_first: bool = False      # P6b: specials at id 0.., bytes after them
     batch_merges: bool = True         # False: one merge per round (test oracle)
     candidates: int = 1024            # K rows fetched per round
+    speculate: int = 0                # >1: try this many merges per round, verified exactly
     count_mode: str = "recount"       # "recount" | "delta" (M3)
     checkpoint_every: int = 10
     initial_alphabet: str = "all"     # "all" | "observed" (M8)
@@ -149,25 +150,72 @@ def accept_batch(cands: Sequence[tuple[int, int, int]], truncated: bool, budget:
     return out
 
 
-class _Lineage:
-    """Persist each round's table; checkpoint every few rounds; drop old caches."""
+def verify_speculation(cands: Sequence[tuple[int, int, int]], truncated: bool,
+                       steps: Sequence[Merge], deltas: dict[int, list[tuple[tuple[int, int], int]]],
+                       vocab: dict[int, bytes], budget: int, allow_extra: bool) -> list[tuple[int, int]]:
+    """Replay speculated merges with their exact count changes; keep the true prefix.
+
+    ``cands`` are exact current counts of the top pairs (ranked); every pair not
+    among them counts at most the last fetched count when ``truncated``.
+    ``steps`` were applied in order to produce ``deltas[step]``.  A step is
+    accepted only while it is provably the best pair: it beats every known
+    count (top pairs and pairs made of this round's new tokens, whose earlier
+    count is exactly 0) and, if unseen pairs exist, exceeds their bound.  At the
+    first divergence the proven best pair is also accepted when ``allow_extra``.
+    """
+    known = {(a, b): n for a, b, n in cands}
+    floor = cands[-1][2] if truncated and cands else None
+    first_new = steps[0][2] if steps else None
+    v = dict(vocab)
+    for a, b, n in steps:
+        v[n] = v[a] + v[b]
+
+    def key(item):
+        (a, b), n = item
+        return (n, v[a], v[b], -a, -b)
+
+    out: list[tuple[int, int]] = []
+    for j, (a, b, _) in enumerate(steps):
+        if len(out) >= budget or not known:
+            break
+        best, n = max(known.items(), key=key)
+        if floor is not None and n <= floor:
+            break  # unseen pairs may tie or win
+        if best != (a, b):
+            if allow_extra:
+                out.append(best)
+            break
+        out.append(best)
+        for pair, d in deltas.get(j + 1, ()):
+            if pair in known or pair[0] >= first_new or pair[1] >= first_new:
+                c = known.get(pair, 0) + d
+                if c > 0:
+                    known[pair] = c
+                else:
+                    known.pop(pair, None)
+    return out
+
+
+class _Cache:
+    """Round-to-round tables: persisted, reliably checkpointed every few rounds."""
 
     def __init__(self, every: int):
         self.every = max(1, every)
-        self.pending: list[DataFrame] = []
+        self.old: list[DataFrame] = []
 
     def keep(self, df: DataFrame, round_no: int) -> DataFrame:
         if round_no % self.every == 0:
             return df.checkpoint(eager=True)
         return df.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def retire(self, df: DataFrame) -> None:
-        self.pending.append(df)
+    def retire(self, df: DataFrame | None) -> None:
+        if df is not None:
+            self.old.append(df)
 
     def release(self) -> None:
-        for df in self.pending:
+        for df in self.old:
             df.unpersist()
-        self.pending = []
+        self.old = []
 
 
 def _next_free(vocab: dict[int, bytes], start: int) -> int:
@@ -185,6 +233,9 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
     ``seq`` is a token string (code point = token id); ``vocab`` must map every
     id that occurs in it.  Defaults to bytes + ``cfg.special_tokens``.
     """
+    from pairforge.operators.encode import work_partitions
+    from pairforge.operators.merges import delta_counts, step_deltas, update_counts
+
     checkpoint_dir(spark)
     specials = list(cfg.special_tokens)
     if cfg.unk_token and cfg.unk_token not in specials:
@@ -197,70 +248,92 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
     next_id = _next_free(vocab, 256)
     merges: list[Merge] = []
     stats: list[RoundStat] = []
-
-    base = words.select("seq", F.col("n").cast("bigint").alias("n")).where(F.length("seq") >= 2)
-    if cfg.word_partitions:
-        base = base.repartition(cfg.word_partitions)
-    lineage = _Lineage(cfg.checkpoint_every)
     delta = cfg.count_mode == "delta"
-    if delta:
-        cur = base.select(F.col("seq").alias("prev"), "seq", "n")
-        counts = pair_counts(cur)
-    else:
-        cur = base
-        counts = None
-    cur = lineage.keep(cur, 1 if cfg.checkpoint_every > 1 else 0)
-    if delta:
-        counts = lineage.keep(counts, 1)
-    round_no = 0
+    spec = max(0, cfg.speculate)
     k = max(2, cfg.candidates)
+    cache = _Cache(cfg.checkpoint_every)
+
+    # spread the compact word table over every core: AQE would leave it in the
+    # one or two partitions its byte size suggests, but each round is CPU-bound
+    cur = (words.select("seq", F.col("n").cast("bigint").alias("n")).where(F.length("seq") >= 2)
+           .repartition(cfg.word_partitions or work_partitions(spark)))
+    cur = cache.keep(cur, 1)
+    counts = cache.keep(pair_counts(cur, max_id=max(vocab)), 1) if delta else None
+    round_no = 0
     while len(merges) < budget:
         t0 = time.time()
-        pc = counts if delta else pair_counts(cur)
+        left = budget - len(merges)
+        horizon = max(vocab) + max(spec, k, left) + 1  # largest id that may appear this round
+        pc = counts if delta else pair_counts(cur, max_id=horizon)
         rows = pc.orderBy(F.desc("n")).limit(k).collect()
-        lineage.release()
+        if not delta:
+            cache.release()  # `cur` is materialised now; older tables can go
         if not rows:
             break
-        cands = [(char_to_id(r["pair"][0]), char_to_id(r["pair"][1]), int(r["n"])) for r in rows]
-        cands = rank_candidates(cands, vocab)
+        cands = rank_candidates([(char_to_id(r["pair"][0]), char_to_id(r["pair"][1]), int(r["n"]))
+                                 for r in rows], vocab)
         truncated = len(rows) == k
         if truncated and cands[0][2] == cands[-1][2]:
             # every fetched row ties: rank that count level by bytes in Spark
             best = top_pairs(pc.where(F.col("n") == cands[0][2]), vocab_frame(spark, vocab, kinds), 1
                              ).select("left", "right", "n").collect()[0]
             cands, truncated = [(int(best["left"]), int(best["right"]), int(best["n"]))], False
-        accepted = accept_batch(cands, truncated, budget - len(merges), cfg.batch_merges)
+        drows = None
+        if spec > 1 and len(cands) > 1 and left > 1:
+            steps, v, nid = [], dict(vocab), next_id
+            for a, b, _ in cands[:min(spec, left)]:
+                v[nid] = v[a] + v[b]
+                steps.append((a, b, nid))
+                nid = _next_free(v, nid + 1)
+            d = step_deltas(cur, steps, horizon)
+            drows = d.collect()
+            if delta:
+                cache.release()  # `cur` is materialised by the step job
+            deltas: dict[int, list] = {}
+            for r in drows:
+                deltas.setdefault(int(r["step"]), []).append(
+                    ((char_to_id(r["pair"][0]), char_to_id(r["pair"][1])), int(r["n"])))
+            chosen = verify_speculation(cands, truncated, steps, deltas, vocab, left, allow_extra=not delta)
+            if not chosen:  # the first candidate is always the true best
+                chosen = [cands[0][:2]]
+        else:
+            chosen = [(a, b) for a, b, _ in accept_batch(cands, truncated, left, cfg.batch_merges)]
         new: list[Merge] = []
-        for left, right, _ in accepted:
-            vocab[next_id] = vocab[left] + vocab[right]
+        for a, b in chosen:
+            vocab[next_id] = vocab[a] + vocab[b]
             kinds[next_id] = "merge"
-            new.append((left, right, next_id))
+            new.append((a, b, next_id))
             next_id = _next_free(vocab, next_id + 1)
         merges.extend(new)
         round_no += 1
         stats.append(RoundStat(round_no, len(new), time.time() - t0, cands[0][2]))
         if len(merges) >= budget:
             break
-        lineage.retire(cur)
+        cache.retire(cur)
+        nxt = cur.select(merge_expr("seq", new).alias("seq"), "n").where(F.length("seq") >= 2)
         if delta:
-            nxt = cur.where(F.length("seq") >= 2).select(
-                F.col("seq").alias("prev"), merge_expr("seq", new).alias("seq"), "n")
-            nxt = lineage.keep(nxt, round_no + 1)
-            changed = nxt.where(F.col("prev") != F.col("seq"))
-            from pairforge.operators.merges import update_counts
-            from pairforge.functions.expressions import pair_strings
-            d = (changed.select(F.explode(pair_strings("prev")).alias("pair"), (-F.col("n")).alias("n"))
-                 .unionByName(changed.select(F.explode(pair_strings("seq")).alias("pair"), "n")))
-            lineage.retire(counts)
-            counts = lineage.keep(update_counts(counts, d), round_no + 1)
-            cur = nxt
+            if drows is not None and len(new) <= len(drows) and all(
+                    (a, b) == (s[0], s[1]) for (a, b, _), s in zip(new, steps)):
+                upd = {}
+                for r in drows:
+                    if int(r["step"]) <= len(new):
+                        upd[r["pair"]] = upd.get(r["pair"], 0) + int(r["n"])
+                dd = spark.createDataFrame([(p_, n_) for p_, n_ in upd.items() if n_ != 0],
+                                           "pair STRING, n BIGINT")
+            else:
+                dd = delta_counts(cur, new)
+            cache.retire(counts)
+            counts = cache.keep(update_counts(counts, dd), round_no + 1)
+            cur = cache.keep(nxt, round_no + 1)
+            if drows is None:
+                counts.count()  # materialise while the previous word table is cached
+                cur.count()
+                cache.release()
         else:
-            nxt = cur.select(merge_expr("seq", new).alias("seq"), "n").where(F.length("seq") >= 2)
-            cur = lineage.keep(nxt, round_no + 1)
-    lineage.retire(cur)
-    if counts is not None:
-        lineage.retire(counts)
-    lineage.release()
+            cur = cache.keep(nxt, round_no + 1)
+    cache.retire(cur)
+    cache.retire(counts)
+    cache.release()
     model = BpeModel(vocab, kinds, merges, tuple(specials), stats)
     return model.relabel_specials_first() if cfg.specials_first else model
 

@@ -55,3 +55,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     import uuid
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ensure_parallel(df, spark: SparkSession | None = None):
+    """Spread a text table over at least two tasks per core before CPU-heavy work.
+
+    Regex pre-tokenization costs far more per byte than reading; a small input
+    (a few parquet row groups) would otherwise leave most cores idle.  Large
+    inputs already have many splits and pass through untouched (no shuffle).
+    """
+    spark = spark or df.sparkSession
+    want = 2 * spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+_CACHED: list = []
+
+
+def remember(df):
+    """Track a DataFrame persisted by an operator so ``release_caches`` can drop it."""
+    _CACHED.append(df)
+    return df
+
+
+def release_caches() -> None:
+    """Unpersist the compact tables operators cached (e.g. after a stream batch)."""
+    while _CACHED:
+        _CACHED.pop().unpersist()

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pairforge.functions.expressions import pretokens
 from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN
 from pairforge.operators.encode import encode
+from pairforge.session import release_caches
 
 
 def document_stream(spark: SparkSession, path: str, schema: str, glob: str | None = None,
@@ -41,6 +42,7 @@ def start_stream_encode(stream: DataFrame, model, out: str, checkpoint: str, key
         enc = encode(spark, df, model, key=key, text_col=text_col, unit=unit, skip_empty=True)
         enc = enc.observe(f"tokens_{batch_id}", F.sum("n_tokens").alias("tokens"))
         enc.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        release_caches()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
