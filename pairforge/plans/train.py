@@ -342,9 +342,26 @@ def train(spark: SparkSession, docs: DataFrame, cfg: TrainConfig, text_col: str
     """Train a byte-level BPE model on a document table (M4).
 
     ``docs`` is split at the special tokens, pre-tokenized and compacted to
-    distinct words before the rounds start.
+    distinct words before the rounds start.  With ``initial_alphabet='observed'``
+    (M8) the vocabulary starts from the bytes that occur (at most 256 rows reach
+    the driver) instead of all 256, leaving more room for merges; bytes never
+    seen are encoded as ``unk_token`` when one is configured.
     """
-    words = training_words(word_counts(docs, text_col, cfg.special_tokens))
-    if cfg.initial_alphabet == "observed":
-        raise NotImplementedError("initial_alphabet='observed' is handled by train_observed")
-    return train_words(spark, words, cfg)
+    wc = word_counts(docs, text_col, cfg.special_tokens)
+    if cfg.initial_alphabet != "observed":
+        return train_words(spark, training_words(wc), cfg)
+    from pairforge.operators.pretokenize import byte_histogram
+    wc = wc.persist()
+    present = sorted(int(r["byte"]) for r in byte_histogram(wc).select("byte").collect())
+    vocab = {b: bytes([b]) for b in present}
+    kinds = {b: "byte" for b in present}
+    specials = list(cfg.special_tokens) + ([cfg.unk_token] if cfg.unk_token and
+                                           cfg.unk_token not in cfg.special_tokens else [])
+    nid = 256
+    for sp in specials:
+        vocab[nid], kinds[nid] = sp.encode("utf-8"), "special"
+        nid += 1
+    model = train_words(spark, training_words(wc), cfg, vocab, kinds)
+    model.special_tokens = tuple(specials)
+    wc.unpersist()
+    return model

@@ -148,3 +148,18 @@ def test_brute_force_on_documents(spark, small_docs):
     texts = [r.text for r in small_docs.where("doc_id % 10 = 3").collect()]
     m = _train_texts(spark, texts, vocab_size=300, special_tokens=["<|endoftext|>"])
     assert m.merges_bytes() == brute_force(texts, 300, ["<|endoftext|>"])
+
+
+def test_observed_alphabet_and_unk(spark):
+    from pairforge.operators.encode import encode_texts
+    from pairforge.operators.decode import decode
+    m = _train_texts(spark, ["abab abab cab"], vocab_size=12, special_tokens=[], initial_alphabet="observed",
+                     unk_token="<unk>")
+    byte_ids = [i for i, k in m.kinds.items() if k == "byte"]
+    assert sorted(byte_ids) == [32, 97, 98, 99]
+    assert len(m.vocab) <= 12 and len(m.merges) == len(m.vocab) - 5
+    unk = m.special_ids()["<unk>"]
+    ids = encode_texts(spark, m, ["abz"])[0]
+    assert ids[-1] == unk
+    df = spark.createDataFrame([(ids,)], "ids array<int>")
+    assert decode(df, m, skip_special_tokens=True).first().decoded.startswith("ab")
