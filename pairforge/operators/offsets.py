@@ -30,14 +30,21 @@ def _bucket_col(df: DataFrame, lead: str, buckets: int) -> F.Column:
 
 
 def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str = "n_tokens",
-                  partition: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """Add ``start_pos BIGINT`` (exclusive running sum of ``n_col``)."""
+                  partition: Sequence[str] = (), buckets: int | None = None,
+                  keys_from: DataFrame | None = None) -> DataFrame:
+    """Add ``start_pos BIGINT`` (exclusive running sum of ``n_col``).
+
+    ``keys_from`` is a cheaper table with the same leading order key (e.g. the
+    input documents) used to place the range boundaries, so the quantile job
+    does not run the whole upstream plan (an encode) a second time.
+    """
     order, partition = list(order), list(partition)
     spark = df.sparkSession
     if buckets is None:
         buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, min(MAX_BUCKETS, buckets))
-    b = df.withColumn("_bucket", _bucket_col(df, order[0], buckets))
+    src = keys_from.select(order[0]) if keys_from is not None else df
+    b = df.withColumn("_bucket", _bucket_col(src, order[0], buckets))
     totals = b.groupBy(*partition, "_bucket").agg(F.sum(n_col).alias("_bt"))
     w_off = Window.partitionBy(*partition).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*partition, "_bucket",

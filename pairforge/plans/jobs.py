@@ -26,7 +26,7 @@ def encode_splits(spark: SparkSession, splits: Mapping[str, DataFrame], model, k
         tagged = t if tagged is None else tagged.unionByName(t)
     enc = encode(spark, tagged, model, key=("split", *key), text_col=text_col, unit=unit, skip_empty=True)
     order = list(key) + (["line_no"] if unit == "line" else [])
-    return token_offsets(enc, order=order, partition=["split"])
+    return token_offsets(enc, order=order, partition=["split"], keys_from=tagged)
 
 
 def split_totals(tokens: DataFrame) -> DataFrame:

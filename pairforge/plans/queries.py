@@ -261,8 +261,9 @@ def q_token_totals_by_role(spark, d):
 
 
 def q_token_offsets(spark, d):
-    enc = encode(spark, docs(spark, d), model_for(spark, d))
-    return token_offsets(enc, order=["doc_id"]).select("doc_id", "n_tokens", "start_pos")
+    src = docs(spark, d)
+    enc = encode(spark, src, model_for(spark, d))
+    return token_offsets(enc, order=["doc_id"], keys_from=src).select("doc_id", "n_tokens", "start_pos")
 
 
 def q_split_token_totals(spark, d):

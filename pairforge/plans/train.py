@@ -212,10 +212,15 @@ class _Cache:
         if df is not None:
             self.old.append(df)
 
-    def release(self) -> None:
+    def release(self, protect: DataFrame | None = None) -> None:
+        """Drop retired tables, except ``protect`` (still needed by a lazy successor)."""
+        keep = []
         for df in self.old:
-            df.unpersist()
-        self.old = []
+            if df is protect:
+                keep.append(df)
+            else:
+                df.unpersist()
+        self.old = keep
 
 
 def _next_free(vocab: dict[int, bytes], start: int) -> int:
@@ -260,6 +265,7 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
     cur = cache.keep(cur, 1)
     counts = cache.keep(pair_counts(cur, max_id=max(vocab)), 1) if delta else None
     round_no = 0
+    prev_cur = None
     while len(merges) < budget:
         t0 = time.time()
         left = budget - len(merges)
@@ -268,6 +274,10 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
         rows = pc.orderBy(F.desc("n")).limit(k).collect()
         if not delta:
             cache.release()  # `cur` is materialised now; older tables can go
+        else:
+            # counts are materialised; the current word table may still be lazy
+            # (computed from the previous one), so that one stays cached
+            cache.release(protect=prev_cur)
         if not rows:
             break
         cands = rank_candidates([(char_to_id(r["pair"][0]), char_to_id(r["pair"][1]), int(r["n"]))
@@ -310,6 +320,7 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
         if len(merges) >= budget:
             break
         cache.retire(cur)
+        prev_cur = cur
         nxt = cur.select(merge_expr("seq", new).alias("seq"), "n").where(F.length("seq") >= 2)
         if delta:
             if drows is not None and len(new) <= len(drows) and all(
@@ -325,10 +336,6 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
             cache.retire(counts)
             counts = cache.keep(update_counts(counts, dd), round_no + 1)
             cur = cache.keep(nxt, round_no + 1)
-            if drows is None:
-                counts.count()  # materialise while the previous word table is cached
-                cur.count()
-                cache.release()
         else:
             cur = cache.keep(nxt, round_no + 1)
     cache.retire(cur)

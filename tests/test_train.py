@@ -144,6 +144,28 @@ def test_against_brute_force(spark, texts, size, specials):
     assert m.merges_bytes() == brute_force(texts, size, specials)
 
 
+@pytest.mark.parametrize("mode", ["recount", "delta"])
+def test_speculation_against_brute_force(spark, mode):
+    texts = ["the cat sat on the mat, the hat", "aaaa aaa aa a abab baba", "then there these those them"]
+    m = _train_texts(spark, texts, vocab_size=300, special_tokens=[], speculate=8, count_mode=mode,
+                     checkpoint_every=3)
+    assert m.merges_bytes() == brute_force(texts, 300, [])
+
+
+def test_verify_speculation_rules():
+    from pairforge.plans.train import verify_speculation
+    vocab = {i: bytes([i]) for i in range(256)}
+    cands = [(1, 2, 10), (3, 4, 8), (5, 6, 3)]
+    steps = [(1, 2, 256), (3, 4, 257), (5, 6, 258)]
+    # merging (1,2) creates (256, 7) with count 9 > 8: it is the true second merge
+    deltas = {1: [((1, 2), -10), ((256, 7), 9), ((2, 7), -9)], 2: [((3, 4), -8)]}
+    assert verify_speculation(cands, False, steps, deltas, vocab, 10, allow_extra=True) == [(1, 2), (256, 7)]
+    assert verify_speculation(cands, False, steps, deltas, vocab, 10, allow_extra=False) == [(1, 2)]
+    # unseen pairs may reach the last fetched count
+    assert verify_speculation(cands, True, steps, {1: [((1, 2), -10)], 2: [((3, 4), -8)]}, vocab, 10,
+                              allow_extra=True) == [(1, 2), (3, 4)]
+
+
 def test_brute_force_on_documents(spark, small_docs):
     texts = [r.text for r in small_docs.where("doc_id % 10 = 3").collect()]
     m = _train_texts(spark, texts, vocab_size=300, special_tokens=["<|endoftext|>"])
