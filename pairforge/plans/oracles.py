@@ -219,6 +219,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, sum(n_tokens)::BIGINT AS n_tokens, "
         "count(*)::BIGINT AS n_rows FROM denc GROUP BY 1"))
     q["bundle_merges_roundtrip"] = q["train_merges_16"]
+    q["train_merges_16_text_files"] = q["train_merges_16"]
     q["text_export_roundtrip"] = q["train_merges_16"]
     q["token_shards_totals"] = with_(line_enc, (
         "SELECT CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, sum(n_tokens)::BIGINT AS n_tokens "

@@ -350,6 +350,19 @@ def q_stream_word_counts(spark, d):
     return spark.read.parquet(out).select("word", F.col("n").cast("bigint").alias("n"))
 
 
+def q_train_merges_16_text_files(spark, d):
+    """Documents written as special-delimited text files, scanned back
+    with delimiter-aligned splits (several files), then trained."""
+    from pairforge.session import scratch_path
+    from pairforge.sources.corpus import read_text_records
+    path = scratch_path(spark, "corpus-text")
+    docs(spark, d).select("text").repartition(4).write.option("lineSep", SP).text(path)
+    src = read_text_records(spark, path, SP)
+    m = train(spark, src, TrainConfig(vocab_size=257 + ORACLE_MERGES))
+    return m.merges_df(spark).select("rank", F.hex("left_bytes").alias("left_hex"),
+                                     F.hex("right_bytes").alias("right_hex"))
+
+
 QUERIES = {
     "pretoken_counts": q_pretoken_counts,
     "pretoken_counts_by_lang": q_pretoken_counts_by_lang,
@@ -386,6 +399,7 @@ QUERIES = {
     "decode_roundtrip": q_decode_roundtrip,
     "decode_skip_specials": q_decode_skip_specials,
     "train_merges_1000": q_train_merges_1000,
+    "train_merges_16_text_files": q_train_merges_16_text_files,
     "bundle_merges_roundtrip": q_bundle_merges_roundtrip,
     "text_export_roundtrip": q_text_export_roundtrip,
     "token_shards_totals": q_token_shards_totals,
