@@ -60,11 +60,22 @@ def test_token_counts_match_encode(spark, small_docs, model):
 
 def test_hot_word_salting_is_exact(spark, small_docs, model):
     a = encode(spark, small_docs, model)
-    b = encode(spark, small_docs, model, rows_per_salt=50)
+    b = encode(spark, small_docs, model, rows_per_salt=50, broadcast_bytes=0)  # salted shuffle join
     diff = a.join(b.withColumnRenamed("ids", "ids_b"), "doc_id").where(F.col("ids") != F.col("ids_b"))
     assert diff.count() == 0
 
 
+def test_salted_join_with_specials_and_lines(spark, small_docs, model):
+    src = small_docs.withColumn("text", F.replace("text", F.lit("\n"), F.lit("<|endoftext|>")))
+    a = encode(spark, src, model)
+    b = encode(spark, src, model, rows_per_salt=20, broadcast_bytes=0)
+    diff = a.join(b.withColumnRenamed("ids", "ids_b"), "doc_id").where(F.col("ids") != F.col("ids_b"))
+    assert diff.count() == 0 and b.count() == small_docs.count()
+    la = encode(spark, small_docs, model, unit="line")
+    lb = encode(spark, small_docs, model, unit="line", rows_per_salt=20, broadcast_bytes=0)
+    assert la.exceptAll(lb).count() == 0 and lb.exceptAll(la).count() == 0
+
+
 def test_lines_and_offsets(spark, small_docs, model):
     toks = encode_splits(spark, {"train": small_docs}, model, unit="line")
     rows = toks.orderBy("doc_id", "line_no").collect()
