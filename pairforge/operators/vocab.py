@@ -88,12 +88,17 @@ def byte_alphabet_frame(spark: SparkSession) -> DataFrame:
     return spark.range(256).select(b.alias("byte"), to_alphabet(F.unhex(F.lpad(F.hex(b), 2, "0"))).alias("ch"))
 
 
-def longest_token(vocab_df: DataFrame) -> DataFrame:
-    """Longest token by bytes, ties to the smallest id."""
-    key = F.struct(F.octet_length("bytes").alias("len"), (-F.col("id")).alias("neg_id"))
+def longest_token(vocab_df: DataFrame, by: str = "bytes") -> DataFrame:
+    """Longest token, ties to the smallest id.
+
+    ``by='bytes'`` measures the token's bytes; ``by='chars'`` the length of its
+    printable byte-alphabet form (the character-length report).
+    """
+    length = F.octet_length("bytes") if by == "bytes" else F.char_length(to_alphabet("bytes"))
+    key = F.struct(length.alias("len"), (-F.col("id")).alias("neg_id"))
     return vocab_df.agg(
         F.max_by("id", key).alias("id"),
-        F.max(F.octet_length("bytes")).alias("n_bytes"),
+        F.max_by(F.octet_length("bytes"), key).alias("n_bytes"),
         F.max_by(F.hex("bytes"), key).alias("hex"),
     )
 

@@ -85,3 +85,13 @@ def test_pair_counts_strings_count_overlaps(spark):
     words = spark.createDataFrame([(ids_to_seq([97, 97, 97]), 2)], "seq string, n bigint")
     got = {r.pair: r.n for r in pair_counts(words).collect()}
     assert got == {ids_to_seq([97, 97]): 4}
+
+
+def test_longest_token_forms(spark):
+    from pairforge.operators.vocab import longest_token
+    # b"\xc3\xa9" is 2 bytes and 2 alphabet characters; b" \n\t" is 3 bytes / 3 chars; ties -> smaller id
+    vocab = {0: b"ab", 1: b" \n\t", 2: b"xyz", 3: b"\xc3\xa9"}
+    df = vocab_frame(spark, vocab)
+    assert longest_token(df).first().id == 1
+    assert longest_token(df, by="chars").first().id == 1
+    assert longest_token(df).first().n_bytes == 3
