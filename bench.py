@@ -32,7 +32,8 @@ def main() -> None:
     from pairforge.sources.corpus import read_table
     from pairforge.sources.shards import write_token_shards
 
-    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), "pairforge-bench")
+    default_parts = max(8, int(cpus)) if str(cpus).isdigit() else 8
+    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", default_parts)), "pairforge-bench")
     spark.sparkContext.setLogLevel("ERROR")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     q: dict[str, float] = {}
