@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairforge.functions.expressions import pretokens, seq_from_word
+from pairforge.functions.expressions import seq_from_word
 from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN
 from pairforge.operators.compare import merges_diff, vocab_set_diff
 from pairforge.operators.decode import decode
