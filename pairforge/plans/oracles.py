@@ -128,6 +128,9 @@ def oracle_sql() -> dict[str, str]:
     q["pretoken_counts_conversations"] = with_(
         [f"t AS ({toks('conversations', 'conv_id, turn, role')})"],
         "SELECT role, w AS word, count(*)::BIGINT AS n FROM t GROUP BY role, w")
+    q["pretoken_counts_pages"] = with_(
+        [f"t AS ({toks('pages', 'page_id', 'html')})"],
+        "SELECT w AS word, count(*)::BIGINT AS n FROM t GROUP BY w")
     q["pretokens_per_document"] = (
         f"SELECT doc_id, len(flatten(list_transform(string_split(text, '{SP}'), lambda s: {pt('s')})))::BIGINT "
         f"AS n_pretokens FROM documents")

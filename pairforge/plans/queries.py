@@ -101,6 +101,11 @@ def q_pretoken_counts_conversations(spark, d):
     return word_counts(conv, "text", [SP], group=["role"])
 
 
+def q_pretoken_counts_pages(spark, d):
+    pages = read_table(spark, d, "pages")
+    return word_counts(pages, "html", [SP])
+
+
 def q_split_on_special(spark, d):
     return split_documents(_with_specials(docs(spark, d)), "text", [SP], keep=["doc_id"])
 
@@ -367,6 +372,7 @@ QUERIES = {
     "pretoken_counts": q_pretoken_counts,
     "pretoken_counts_by_lang": q_pretoken_counts_by_lang,
     "pretoken_counts_conversations": q_pretoken_counts_conversations,
+    "pretoken_counts_pages": q_pretoken_counts_pages,
     "pretokens_per_document": q_pretokens_per_document,
     "pretoken_alphabet": q_pretoken_alphabet,
     "split_on_special": q_split_on_special,
