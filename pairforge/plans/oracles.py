@@ -212,6 +212,12 @@ def oracle_sql() -> dict[str, str]:
     q["token_totals_by_role"] = with_(conv, (
         f"SELECT role, sum(n * len({split_tokens('cenc.seq')}))::BIGINT AS n_tokens FROM cw JOIN cenc USING (w) "
         "GROUP BY role"))
+    bench = train + [f"btoks AS ({toks('benchmark', 'item_id')})",
+                     "bw AS (SELECT w, count(*) AS n FROM btoks GROUP BY w)",
+                     f"benc AS ({apply_chain('a', 'bw')})"]
+    q["token_total_benchmark"] = with_(bench, (
+        f"SELECT coalesce(sum(bw.n * len({split_tokens('benc.seq')})), 0)::BIGINT AS n_tokens "
+        "FROM bw JOIN benc USING (w)"))
     q["token_offsets"] = with_(doc_enc, (
         "SELECT doc_id, n_tokens, coalesce(sum(n_tokens) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING "
         "AND 1 PRECEDING), 0)::BIGINT AS start_pos FROM denc"))

@@ -265,6 +265,11 @@ def q_token_totals_by_role(spark, d):
     return token_counts(spark, conv, model_for(spark, d), group=["role"])
 
 
+def q_token_total_benchmark(spark, d):
+    bench = read_table(spark, d, "benchmark")
+    return token_counts(spark, bench, model_for(spark, d))
+
+
 def q_token_offsets(spark, d):
     src = docs(spark, d)
     enc = encode(spark, src, model_for(spark, d))
@@ -399,6 +404,7 @@ QUERIES = {
     "token_totals_by_lang": q_token_totals_by_lang,
     "token_total_weighted": q_token_total_weighted,
     "token_totals_by_role": q_token_totals_by_role,
+    "token_total_benchmark": q_token_total_benchmark,
     "token_offsets": q_token_offsets,
     "split_token_totals": q_split_token_totals,
     "token_total_by_split_rows": q_token_total_by_split_rows,
