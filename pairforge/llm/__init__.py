@@ -13,8 +13,10 @@ from pairforge.llm import (
     packing,
     sentencepiece_codec,
     sharding,
+    simhash,
+    suffix_dedup,
     url_filter,
 )
 
-for _m in (chunks, common, graph, packing, sentencepiece_codec, sharding, url_filter):
+for _m in (chunks, common, graph, packing, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
     _cloudpickle.register_pickle_by_value(_m)

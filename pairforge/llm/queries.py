@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import packing, sentencepiece_codec, sharding, url_filter
+from pairforge.llm import packing, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
 from pairforge.llm.common import table
 
 #: Rules of the URL filter query: (host, path) as one key, verdict.
@@ -13,6 +13,10 @@ URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
              ("com/fr/", "allow"), ("com/de/", "block"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_sharding, op8_sentencepiece, op9_url_filter)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_best_fit_packing, op5_sharding, op8_sentencepiece,
+                                   op9_url_filter, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
