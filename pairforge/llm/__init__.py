@@ -9,8 +9,10 @@ from pyspark import cloudpickle as _cloudpickle
 from pairforge.llm import (
     chunks,
     common,
+    embed_dedup,
     graph,
     packing,
+    quality,
     sentencepiece_codec,
     sharding,
     simhash,
@@ -18,5 +20,5 @@ from pairforge.llm import (
     url_filter,
 )
 
-for _m in (chunks, common, graph, packing, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
+for _m in (chunks, common, embed_dedup, graph, packing, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
     _cloudpickle.register_pickle_by_value(_m)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import packing, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
+from pairforge.llm import embed_dedup, packing, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
 from pairforge.llm.common import table
 
 #: Rules of the URL filter query: (host, path) as one key, verdict.
@@ -13,6 +13,12 @@ URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
              ("com/fr/", "allow"), ("com/de/", "block"))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                           quality.trusted_keys(table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "llr")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
@@ -25,6 +31,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest_documents(table(spark, sf_dir, "documents"))
 
@@ -44,7 +54,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_best_fit_packing, op5_sharding, op8_sentencepiece,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_best_fit_packing, op5_sharding, op7_embedding_dedup, op8_sentencepiece,
                                    op9_url_filter, op10_simhash)}
 
 
