@@ -11,8 +11,10 @@ from pairforge.llm import (
     common,
     embed_dedup,
     graph,
+    html_extract,
     packing,
     quality,
+    secret_scan,
     sentencepiece_codec,
     sharding,
     simhash,
@@ -20,5 +22,5 @@ from pairforge.llm import (
     url_filter,
 )
 
-for _m in (chunks, common, embed_dedup, graph, packing, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
+for _m in (chunks, common, embed_dedup, graph, html_extract, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
     _cloudpickle.register_pickle_by_value(_m)

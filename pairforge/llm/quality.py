@@ -1,8 +1,8 @@
 """Operator 1, quality rules: base counts and a hashed n-gram log-likelihood ratio.
 
 Every text is seen as a bag of one- and two-word n-grams hashed to ``buckets``
-buckets.  Two multinomials with additive smoothing are counted over them: the raw
-corpus (all documents) and a trusted target (labelled documents; a bounded sample
+buckets.  Two multinomials with additive smoothing (``alpha`` in counts of the target,
+the same share of the raw corpus) are counted over them: the raw corpus (all documents) and a trusted target (labelled documents; a bounded sample
 of at most ``target_rows`` labels, chosen by the hash of the key, a parameter).  A
 document's score is the mean over its n-grams of log(target / raw); weights are
 rounded to millionths of a nat, so sums are exact and do not depend on order.  It
@@ -23,7 +23,6 @@ decide; an empty table gives an empty one; other columns are kept by ``judge``.
 from __future__ import annotations
 
 import json
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,7 +62,7 @@ def buckets_of(h: Column, buckets: int) -> Column:
 
 
 def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text",
-            buckets: int = 1 << 16, alpha: float = 1.0) -> list[int]:
+            buckets: int = 1 << 16, alpha: float = 10.0) -> list[int]:
     """log(target / raw) of each bucket in millionths; ``trusted`` holds a bounded set of keys."""
     mine = trusted.select(F.col(key).alias("__key"), F.lit(1).alias("__trusted")).dropDuplicates(["__key"])
     marked = docs.select(key, text).join(F.broadcast(mine), F.col(key) == F.col("__key"), "left")
@@ -72,10 +71,9 @@ def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
     n_raw, n_good = counted.agg(F.sum("raw"), F.sum("good")).first()
     if not n_good:
         return [0] * buckets
-    n = alpha * buckets
-    shift = math.log((n_raw + n) / (n_good + n))
-    of = F.log(F.col("good") + alpha) - F.log(F.col("raw") + alpha) + shift
-    out = [round(shift * 1e6)] * buckets  # buckets that no document has
+    share = n_good / n_raw
+    of = F.log(F.col("good") + alpha) - F.log(F.col("raw") * share + alpha)
+    out = [0] * buckets  # buckets that no document has
     for r in counted.select("b", F.round(of * 1e6).cast("long").alias("w")).collect():  # at most ``buckets`` rows
         out[r["b"]] = r["w"]
     return out
@@ -121,7 +119,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def judge(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = 1 << 16,
-          alpha: float = 1.0, threshold: float = -0.1) -> DataFrame:
+          alpha: float = 10.0, threshold: float = -0.09) -> DataFrame:
     """``docs`` with the base counts, base_failed, ``llr`` (null without words) and ``kept``."""
     own = weights(docs, trusted, key, text, buckets, alpha)
     # ``buckets`` numbers, folded to one literal array

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import embed_dedup, packing, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
+from pairforge.llm import embed_dedup, html_extract, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
 from pairforge.llm.common import table
 
 #: Rules of the URL filter query: (host, path) as one key, verdict.
@@ -27,10 +27,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -54,7 +62,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_best_fit_packing, op5_sharding, op7_embedding_dedup, op8_sentencepiece,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_best_fit_packing, op4_secret_scan, op5_sharding, op6_html_extraction,
+                                   op7_embedding_dedup, op8_sentencepiece,
                                    op9_url_filter, op10_simhash)}
 
 
