@@ -17,7 +17,8 @@ Three-word windows are compared by 64-bit hashes of three 64-bit word hashes.
 Edge cases: a null or empty text, or one of white space, has zero counts and fails
 the base rules; one word has one n-gram; repeated rows count as often as they come
 and get equal results; without trusted rows all weights are zero and the base rules
-decide; an empty table gives an empty one; other columns are kept by ``judge``.
+decide; an empty table gives an empty one; ``judge`` keeps other columns but replaces those
+named like its own.
 """
 
 from __future__ import annotations
@@ -127,7 +128,11 @@ def judge(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     d = base_counts(docs, text).withColumn("__b", buckets_of(F.col("__h"), buckets)).drop("__h")
     total = F.aggregate("__b", F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
     d = d.withColumn("llr", F.when(F.size("__b") > 0, total / F.size("__b") / 1e6)).drop("__b")
-    return d.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr") >= threshold, F.lit(False)))
+    d = d.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr") >= threshold, F.lit(False)))
+    # A generator of one row keeps a later filter on the verdict above these expressions: pushed
+    # below, it would be evaluated with all arrays inlined, once for each element.
+    made = [*COUNTS, "base_failed", "llr", "kept"]
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made], F.inline(F.array(F.struct(*made))))
 
 
 def trusted_keys(labels: DataFrame, key: str = "doc_id", target_rows: int = 20_000) -> DataFrame:
