@@ -26,6 +26,18 @@ def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def worker_cache() -> dict:
+    """A dictionary of the Python worker's process, for models that tasks after this one use again.
+
+    Worker code is pickled by value, so a module's globals are new in every task.
+    """
+    import sys
+    import types
+
+    name = "_pairforge_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Materialise once in the shared checkpoint folder (reliable, never ``localCheckpoint``).
 

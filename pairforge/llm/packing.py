@@ -24,9 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.chunks import ChunkTable, split_before_blanks
-from pairforge.llm.common import pin, text_batches
-
-_TABLES: dict = {}
+from pairforge.llm.common import pin, text_batches, worker_cache
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -82,7 +80,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
         import numpy as np
         import pyarrow as pa
 
-        tokens = _TABLES.get(path) or _TABLES.setdefault(path, Tokens(path))
+        cache = worker_cache()
+        tokens = cache.get(("tokens", path)) or cache.setdefault(("tokens", path), Tokens(path))
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             at, rows, held = [], [], []

@@ -23,9 +23,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 
 from pairforge.llm.chunks import ChunkTable, split_marked
-from pairforge.llm.common import text_batches
-
-_TABLES: dict = {}
+from pairforge.llm.common import text_batches, worker_cache
 
 
 def default_model() -> str:
@@ -97,7 +95,8 @@ def _map(docs, key, text, model_path, limit, digest):
 
         import pyarrow as pa
 
-        codec = _TABLES.get((path, limit)) or _TABLES.setdefault((path, limit), Codec(path, limit))
+        cache, name = worker_cache(), ("codec", path, limit)
+        codec = cache.get(name) or cache.setdefault(name, Codec(path, limit))
 
         def digested(s):
             return hashlib.sha256(s.encode()).hexdigest()
