@@ -1,6 +1,7 @@
-"""The one piece of per-row Python: BPE-encoding a single distinct word.
+"""The one piece of Python on the way of a row: BPE-encoding its distinct words.
 
-Spark pre-tokenizes, de-duplicates and joins; this helper only turns one
+Spark pre-tokenizes; Arrow batches arrive as arrays of words, distinct words are
+encoded once per batch and worker and put back by position.  The helper turns one
 word's bytes into ids by repeatedly merging its lowest-ranked adjacent pair
 (equivalent to replaying the merge list in rank order, since a merge that
 uses token t always ranks after the merge that made t).
@@ -9,6 +10,7 @@ uses token t always ranks after the merge that made t).
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +38,42 @@ def bpe_ids(ids: list[int], table: dict[tuple[int, int], tuple[int, int]]) -> li
     return ids
 
 
+def bpe_ids_long(ids: list[int], table: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """``bpe_ids`` for long words: a heap of (rank, position) over a linked list, O(n log n)."""
+    import heapq
+
+    n = len(ids)
+    left, right = list(range(-1, n - 1)), [*range(1, n), -1]
+    heap = [(*table[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in table]
+    heap = [(rank, i, a, b, new) for rank, new, i, a, b in heap]
+    heapq.heapify(heap)
+    while heap:
+        _, i, a, b, new = heapq.heappop(heap)
+        j = right[i]
+        if ids[i] != a or j < 0 or ids[j] != b:
+            continue  # one side has been merged meanwhile
+        ids[i], ids[j] = new, -1
+        right[i] = right[j]
+        if right[i] >= 0:
+            left[right[i]] = i
+        for at in (left[i], i):
+            to = right[at] if at >= 0 else -1
+            if to >= 0 and (ids[at], ids[to]) in table:
+                rank, made = table[ids[at], ids[to]]
+                heapq.heappush(heap, (rank, at, ids[at], ids[to], made))
+    return [x for x in ids if x >= 0]
+
+
+def word_ids(word: str, table, byte_ids=None, unk_id: int | None = None) -> list[int]:
+    """Ids of one pre-token; a byte outside the alphabet is ``unk_id``, or an error without one."""
+    raw = list(word.encode("utf-8"))
+    if byte_ids is not None:
+        raw = [byte_ids.get(b, unk_id) for b in raw]
+        if None in raw:
+            raise ValueError("a byte is outside the model's alphabet and the model has no unknown token")
+    return bpe_ids(raw, table) if len(raw) <= 64 else bpe_ids_long(raw, table)
+
+
 def make_encode_udf(broadcast_table, byte_ids_broadcast=None, unk_id: int | None = None):
     """Arrow UDF word STRING -> ARRAY<INT>; the merge table is a broadcast variable."""
 
@@ -43,13 +81,87 @@ def make_encode_udf(broadcast_table, byte_ids_broadcast=None, unk_id: int | None
     def encode_word(words: pd.Series) -> pd.Series:
         table = broadcast_table.value
         byte_ids = byte_ids_broadcast.value if byte_ids_broadcast is not None else None
-        out = []
-        for w in words:
-            raw = list(w.encode("utf-8"))
-            if byte_ids is not None:
-                raw = [byte_ids.get(b, unk_id) for b in raw]
-                raw = [b for b in raw if b is not None]
-            out.append(bpe_ids(raw, table))
-        return pd.Series(out)
+        return pd.Series([word_ids(w, table, byte_ids, unk_id) for w in words])
 
     return encode_word
+
+
+WORD_CACHE = 500_000      # words kept per worker, of at most WORD_CACHE_CHARS characters
+WORD_CACHE_CHARS = 64
+
+
+def _worker_words(model_id: str) -> dict:
+    """The worker's table of encoded words of one model.
+
+    Worker code is pickled by value, so its globals are new in every task; the
+    table lives on the process instead.
+    """
+    import sys
+    import types
+
+    name = "_pairforge_encoded_words"
+    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if held.get("of") != model_id or len(held["ids"]) > WORD_CACHE:
+        held.update(of=model_id, ids={})
+    return held["ids"]
+
+
+def make_row_udf(broadcast_table, byte_ids_broadcast, unk_id: int | None, special_ids: dict[str, int], counts: bool):
+    """Arrow UDF (words by segment, specials between the segments) -> ids of the row, or their number.
+
+    Words are encoded once per batch and worker: each batch is dictionary-encoded,
+    and a worker keeps what it has encoded in a bounded table.
+    """
+    import uuid
+
+    kind = T.IntegerType() if counts else T.ArrayType(T.IntegerType())
+    model_id = uuid.uuid4().hex
+
+    @F.arrow_udf(kind)
+    def encode_rows(words: pa.Array, found: pa.Array) -> pa.Array:
+        import numpy as np
+
+        table = broadcast_table.value
+        byte_ids = byte_ids_broadcast.value if byte_ids_broadcast is not None else None
+        known = _worker_words(model_id)
+
+        def ids_of(w):
+            got = known.get(w)
+            if got is None:
+                got = np.array(word_ids(w, table, byte_ids, unk_id), "int32")
+                if len(w) <= WORD_CACHE_CHARS:
+                    known[w] = got
+            return got
+
+        segments = words.flatten()                       # every row has one segment more than specials
+        flat = segments.flatten().dictionary_encode()
+        own = [ids_of(w) for w in flat.dictionary.to_pylist()]
+        marks = found.flatten().dictionary_encode()
+        own += [np.array([special_ids[w]], "int32") for w in marks.dictionary.to_pylist()]
+        word_code = np.asarray(flat.indices, "int64")
+        mark_code = np.asarray(marks.indices, "int64") + len(flat.dictionary)
+        per_row = np.asarray(words.value_lengths(), "int64")
+        per_segment = np.asarray(segments.value_lengths(), "int64")
+        row = np.repeat(np.arange(len(words)), per_row)
+        last = np.zeros(len(per_segment), bool)
+        last[np.cumsum(per_row) - 1] = True
+        # items in order: the words of a segment, then the special that ends it
+        items = per_segment + ~last
+        end = np.cumsum(items)
+        code = np.empty(int(items.sum()), "int64")
+        is_mark = np.zeros(len(code), bool)
+        is_mark[end[~last] - 1] = True
+        code[is_mark], code[~is_mark] = mark_code, word_code
+        sizes = np.array([len(x) for x in own], "int64")
+        token_ends = np.concatenate([[0], np.cumsum(sizes[code])]) if len(code) else np.zeros(1, "int64")
+        row_items = np.bincount(row, weights=items, minlength=len(words)).astype("int64")
+        bounds = token_ends[np.concatenate([[0], np.cumsum(row_items)])]
+        if counts:
+            return pa.array(np.diff(bounds).astype("int32"))
+        pool = np.concatenate(own) if own else np.zeros(0, "int32")
+        starts = np.cumsum(sizes) - sizes
+        at = np.repeat(starts[code] - token_ends[:-1], sizes[code]) + np.arange(token_ends[-1])
+        return pa.ListArray.from_arrays(pa.array(bounds.astype("int32")), pa.array(pool[at]))
+
+    # evaluated once: a filter on the result must not be pushed below and run it again
+    return encode_rows.asNondeterministic()

@@ -1,15 +1,10 @@
 """Encoding text tables into token ids (E1-E4, E9, E11, S3 unit, A5).
 
-Plan: pre-tokenize (JVM regex) -> distinct words with their frequency
-(partial aggregate) -> Arrow UDF over distinct words only -> join back on
-``(word, salt)`` -> reassemble each row's ids in position order.
-
-Skew: the H most frequent words are salted over ``ceil(n / rows_per_salt)``
-buckets; the token side draws a salt from a hash of its position and the
-dictionary side replicates those few words once per bucket, so a word holding
-a third of all tokens is spread over many join tasks.  The salted table is a
-broadcast of at most H rows with words capped in length (proven bound); all
-other words take the ordinary shuffle join.
+Row-local: the JVM regex cuts each text into words by segment between special
+tokens (one evaluation per row), and one Arrow UDF turns the row's words into
+ids with the merges as a broadcast variable (at most vocab_size entries).  No
+token leaves its row, so there is no shuffle, no skew, and rows need no key:
+equal keys stay separate rows.
 """
 
 from __future__ import annotations
@@ -25,30 +20,27 @@ from pairforge.functions.expressions import (
     split_on_specials,
 )
 from pairforge.functions.patterns import JAVA_PRETOKEN_PATTERN
-from pairforge.functions.udfs import make_encode_udf
-from pairforge.session import ensure_parallel, remember
-
-HOT_WORDS = 10_000          # at most this many salted words (broadcast rows)
-HOT_WORD_MAX_CHARS = 256    # salted words are short; caps the broadcast bytes
-ROWS_PER_SALT = 200_000     # target token rows per salted join key
+from pairforge.functions.udfs import make_encode_udf, make_row_udf
+from pairforge.session import ensure_parallel
 
 
 def _merge_table(model) -> dict[tuple[int, int], tuple[int, int]]:
     return {(a, b): (r, n) for r, (a, b, n) in enumerate(model.merges)}
 
 
-def encoder_udf(spark: SparkSession, model):
-    """The word -> ids UDF of a model, with its merges as a broadcast variable."""
+def _encoder_parts(spark: SparkSession, model):
+    """(merges, byte ids or None, id of the unknown token or None); the first two as broadcast variables."""
     sc = spark.sparkContext
-    table = sc.broadcast(_merge_table(model))
-    byte_ids = None
-    unk = None
     present = {b[0]: i for i, b in model.vocab.items() if model.kinds.get(i) == "byte"}
-    if len(present) < 256 or any(present.get(b) != b for b in range(256)):
-        byte_ids = sc.broadcast(present)
-        sp = model.special_ids()
-        unk = sp.get("<unk>")
-    return make_encode_udf(table, byte_ids, unk)
+    if len(present) == 256 and all(present[b] == b for b in range(256)):
+        return sc.broadcast(_merge_table(model)), None, None
+    unk = model.special_ids().get(model.unk_token) if model.unk_token else None
+    return sc.broadcast(_merge_table(model)), sc.broadcast(present), unk
+
+
+def encoder_udf(spark: SparkSession, model):
+    """The word -> ids UDF of a model, with its merges as a broadcast variable."""
+    return make_encode_udf(*_encoder_parts(spark, model))
 
 
 def work_partitions(spark: SparkSession) -> int:
@@ -61,49 +53,12 @@ def work_partitions(spark: SparkSession) -> int:
                int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _items(text: Column, specials: Sequence[str], sp_ids: dict) -> Column:
-    """ARRAY<STRUCT<seg, sub, pos, word, special_id>> of one text, in order."""
-    pat = F.lit(JAVA_PRETOKEN_PATTERN)
-    segs = split_on_specials(text, specials)
-    found = specials_in_order(text, specials)
-    sp_map = (F.create_map(*[x for s_, i in sp_ids.items() for x in (F.lit(s_), F.lit(i))])
-              if sp_ids else None)
-
-    def per_segment(seg: Column, i: Column) -> Column:
-        words = F.transform(F.regexp_extract_all(seg, pat, F.lit(0)), lambda w, j: F.struct(
-            i.alias("seg"), F.lit(0).alias("sub"), j.alias("pos"), w.alias("word"),
-            F.lit(None).cast("int").alias("special_id")))
-        if sp_map is None:
-            return words
-        mark = F.struct(i.alias("seg"), F.lit(1).alias("sub"), F.lit(0).alias("pos"),
-                        F.lit(None).cast("string").alias("word"),
-                        F.try_element_at(sp_map, F.try_element_at(found, i + 1)).cast("int").alias("special_id"))
-        return F.concat(words, F.filter(F.array(mark), lambda _: i < F.size(found)))
-
-    return F.flatten(F.transform(segs, per_segment))
-
-
-def token_rows(df: DataFrame, model, key: Sequence[str] = ("doc_id",), text_col: str = "text",
-               unit: str = "document") -> DataFrame:
-    """One row per pre-token or special-token occurrence, in a single pass.
-
-    Columns: ``key..., [line_no], seg, sub, pos, word, special_id``.  Order inside a
-    row is ``(seg, sub, pos)``: segment between specials, 0 = words / 1 = the special
-    that ends the segment, position.  A row with no token at all yields one row
-    whose fields are null (so it survives to the output with an empty id list).
-    ``unit='line'`` works on text-mode lines.
-    """
-    key = list(key)
-    if unit == "line":
-        df = df.select(*key, F.posexplode(split_lines(text_col)).alias("line_no", text_col))
-        key = key + ["line_no"]
-    items = _items(F.col(text_col), list(model.special_tokens), model.special_ids())
-    return df.select(*key, F.explode_outer(items).alias("t")).select(*key, "t.*")
-
-
-def word_table(tokens: DataFrame) -> DataFrame:
-    """Distinct words with frequencies (partial aggregate before the shuffle)."""
-    return tokens.where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def _words_and_specials(text: Column, specials: Sequence[str]) -> tuple[Column, Column]:
+    """Words of each segment between special tokens, and those tokens in order; null is an empty text."""
+    t = F.coalesce(text, F.lit(""))
+    words = F.transform(split_on_specials(t, specials),
+                        lambda s: F.regexp_extract_all(s, F.lit(JAVA_PRETOKEN_PATTERN), F.lit(0)))
+    return words, specials_in_order(t, specials)
 
 
 def encode_words(spark: SparkSession, words: DataFrame, model, word_col: str = "word") -> DataFrame:
@@ -116,59 +71,29 @@ def encode_words(spark: SparkSession, words: DataFrame, model, word_col: str = "
         "ids", encoder_udf(spark, model)(F.col(word_col)))
 
 
-NON_WORD_SPREAD = 64  # salt range for special / empty rows (their join key is null)
-BROADCAST_DICT_BYTES = 256 << 20  # encoded dictionary up to this size is broadcast
+def _units(spark: SparkSession, df: DataFrame, key: Sequence[str], text_col: str, unit: str) -> tuple[DataFrame, list[str]]:
+    df = ensure_parallel(df.select(*key, text_col), spark)
+    if unit != "line":
+        return df, list(key)
+    lines = df.select(*key, F.posexplode(split_lines(text_col)).alias("line_no", text_col))
+    return lines, [*key, "line_no"]
 
 
 def encode(spark: SparkSession, df: DataFrame, model, key: Sequence[str] = ("doc_id",),
-           text_col: str = "text", unit: str = "document", skip_empty: bool = False,
-           rows_per_salt: int = ROWS_PER_SALT, broadcast_bytes: int = BROADCAST_DICT_BYTES) -> DataFrame:
+           text_col: str = "text", unit: str = "document", skip_empty: bool = False) -> DataFrame:
     """Encode every row of ``df``: ``key..., [line_no], ids, n_tokens``.
 
     ``unit='document'`` encodes whole texts (training's view); ``unit='line'``
     encodes text-mode lines, each keeping its LF (the corpus-encoding view).
-    ``skip_empty`` drops rows without tokens (P9).
-
-    The distinct-word table is cached (it is compact) and measured: when the
-    encoded dictionary is below ``broadcast_bytes`` it is broadcast and the
-    token stream is never shuffled for the join; above it, the join shuffles on
-    ``(word, salt)`` with the hottest words salted.
+    ``skip_empty`` drops rows without tokens (P9).  ``key`` are columns to keep;
+    they need not be unique.  A null or empty text has no ids.  Rows per Arrow
+    batch (E12) are ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
-    toks = token_rows(ensure_parallel(df.select(*key, text_col), spark), model, key, text_col, unit)
-    rkey = list(key) + (["line_no"] if unit == "line" else [])
-    words = remember(word_table(toks).persist())
-    st = words.agg(F.count(F.lit(1)).alias("w"), F.sum(F.octet_length("word")).alias("b")).first()
-    n_words, n_bytes = int(st["w"] or 0), int(st["b"] or 0)
-    longest = max(len(b) for b in model.vocab.values()) if model.vocab else 1
-    dictionary = encode_words(spark, words.select("word"), model)
-    # ids cost 4 bytes each and a word holds at most one id per byte: bounded above
-    est = 2 * n_bytes + 4 * n_bytes // max(1, min(longest, 4)) + 48 * n_words
-    if est <= broadcast_bytes:
-        joined = toks.join(F.broadcast(dictionary), "word", "left")
-    else:
-        # at most HOT_WORDS rows of at most HOT_WORD_MAX_CHARS characters: a proven bound
-        hot = (words.orderBy(F.desc("n")).limit(HOT_WORDS)
-               .where((F.col("n") > rows_per_salt) & (F.length("word") <= HOT_WORD_MAX_CHARS))
-               .select("word", F.ceil(F.col("n") / F.lit(rows_per_salt)).cast("int").alias("factor")))
-        hot = F.broadcast(hot)
-        spread = F.when(F.col("word").isNull(), F.lit(NON_WORD_SPREAD)).otherwise(F.coalesce("factor", F.lit(1)))
-        salted = (toks.join(hot, "word", "left")
-                  .withColumn("salt", F.pmod(F.xxhash64(*rkey, "seg", "sub", "pos"), spread).cast("int"))
-                  .drop("factor"))
-        dict_salted = (dictionary.join(hot, "word", "left")
-                       .select("word", "ids", F.explode(F.sequence(F.lit(0), F.coalesce("factor", F.lit(1)) - 1))
-                               .alias("salt")))
-        joined = salted.join(dict_salted, ["word", "salt"], "left")
-    joined = joined.select(
-        *rkey, "seg", "sub", "pos",
-        F.coalesce("ids", F.when(F.col("special_id").isNotNull(), F.array("special_id"))).alias("ids"))
-    out = joined.groupBy(*rkey).agg(
-        F.sort_array(F.collect_list(F.struct("seg", "sub", "pos", "ids"))).alias("parts"))
-    ids = F.flatten(F.transform(F.filter("parts", lambda p: p["ids"].isNotNull()), lambda p: p["ids"]))
-    out = out.select(*rkey, ids.alias("ids")).withColumn("n_tokens", F.size("ids"))
-    if skip_empty:
-        out = out.where(F.col("n_tokens") > 0)
-    return out
+    rows, kept = _units(spark, df, key, text_col, unit)
+    udf = make_row_udf(*_encoder_parts(spark, model), model.special_ids(), counts=False)
+    ids = udf(*_words_and_specials(F.col(text_col), list(model.special_tokens)))
+    out = rows.select(*kept, ids.alias("ids")).withColumn("n_tokens", F.size("ids"))
+    return out.where(F.col("n_tokens") > 0) if skip_empty else out
 
 
 def encode_texts(spark: SparkSession, model, texts: Sequence[str]) -> list[list[int]]:
@@ -182,15 +107,10 @@ def token_counts(spark: SparkSession, df: DataFrame, model, text_col: str = "tex
                  group: Sequence[str] = ()) -> DataFrame:
     """Token totals without materialising ids (E11, A5): ``group..., n_tokens``.
 
-    Each distinct (group, word) is counted once, its word encoded once, and the
-    length weighted by the frequency; every special token counts one.
+    One scan: each row is counted where it is read, and only partial sums are shuffled.
     """
-    group = list(group)
-    toks = token_rows(ensure_parallel(df.select(*group, text_col), spark), model, group, text_col)
-    words = toks.where(F.col("word").isNotNull()).groupBy(*group, "word").agg(F.count(F.lit(1)).alias("n"))
-    enc = encode_words(spark, words.select("word").distinct(), model).select(
-        "word", F.size("ids").alias("len"))
-    per_word = words.join(enc, "word").select(*group, (F.col("n") * F.col("len")).alias("t"))
-    per_special = toks.where(F.col("word").isNull()).select(*group, F.lit(1).cast("bigint").alias("t"))
-    return (per_word.unionByName(per_special).groupBy(*group)
-            .agg(F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("n_tokens")))
+    rows, kept = _units(spark, df, group, text_col, "document")
+    udf = make_row_udf(*_encoder_parts(spark, model), model.special_ids(), counts=True)
+    n = udf(*_words_and_specials(F.col(text_col), list(model.special_tokens)))
+    return (rows.select(*kept, n.alias("__n")).groupBy(*kept)
+            .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_tokens")))

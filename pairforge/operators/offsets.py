@@ -1,11 +1,15 @@
 """Write positions of token rows in a contiguous stream.
 
-``start_pos`` = tokens of all earlier rows in ``order`` (per stream
-``partition`` such as the train/val split).  No global single-partition
-window: rows are cut into B ranges by approximate quantiles of the leading
-order key (B boundaries reach the driver), each range is summed, the range
-offsets are a running sum over at most B rows per stream, and inside a range
-a window runs per range.
+``start_pos`` = tokens of all earlier rows in ``order`` (per stream ``partition``
+such as the train/val split).  No one-task window and no second run of the input:
+
+1. the rows are written once below the checkpoint folder (the input may be an encode),
+2. that table is range-partitioned by the full order, so rows that share their
+   leading key are still spread, sorted, and summed up inside each task,
+3. only the first stream of a task can continue one from an earlier task; its base
+   is a running sum over at most one row per task and stream end.
+
+Order and partition keys may be of any orderable type and may be null (nulls first).
 """
 
 from __future__ import annotations
@@ -14,43 +18,69 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pairforge.session import spill_table
+
+TOKENS_PER_RANGE = 16 << 20
+
+
+def _running(n_col: str, keys: Sequence[str]):
+    """Arrow batches in order -> the same with task, exclusive sum in the stream, first-stream flag."""
 
-MAX_BUCKETS = 4096
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
 
+        task, before, held, first = TaskContext.get().partitionId(), 0, None, True
+        for b in batches:
+            n = np.asarray(b.column(n_col).fill_null(0), "int64")
+            if not len(n):
+                continue
+            new = np.zeros(len(n), bool)  # a row that starts a stream
+            for i, k in enumerate(keys):
+                codes = np.asarray(b.column(k).dictionary_encode(null_encoding="encode").indices, "int64")
+                new[1:] |= codes[1:] != codes[:-1]
+                new[0] |= held is not None and held[i] != b.column(k)[0].as_py()
+            held = [b.column(k)[len(n) - 1].as_py() for k in keys]
+            ends = np.cumsum(n)
+            starts = np.flatnonzero(new)
+            stream = np.cumsum(new)
+            base = np.concatenate([[-before], (ends - n)[starts]])[stream]
+            out = ends - n - base
+            before = int(out[-1] + n[-1])
+            is_first = (stream == 0) & first
+            first = bool(is_first[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(len(n), task, "int32")), pa.array(out), pa.array(is_first)],
+                names=[*b.schema.names, "_task", "_in", "_first"])
 
-def _bucket_col(df: DataFrame, lead: str, buckets: int) -> F.Column:
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(lead, probs, 1.0 / (4 * buckets)))) if probs else []
-    bounds = [b for b in bounds if b is not None]
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    # number of boundaries <= key: the range index (boundaries are sorted)
-    return F.size(F.filter(arr, lambda b: b <= F.col(lead).cast("double")))
+    return run
 
 
 def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str = "n_tokens",
-                  partition: Sequence[str] = (), buckets: int | None = None,
-                  keys_from: DataFrame | None = None) -> DataFrame:
+                  partition: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Add ``start_pos BIGINT`` (exclusive running sum of ``n_col``).
 
-    ``keys_from`` is a cheaper table with the same leading order key (e.g. the
-    input documents) used to place the range boundaries, so the quantile job
-    does not run the whole upstream plan (an encode) a second time.
+    ``buckets``: number of ranges; by default it follows the token total.  Rows that
+    agree on the whole order get positions in the order in which they were sorted.
     """
     order, partition = list(order), list(partition)
     spark = df.sparkSession
+    rows = spill_table(df, "offset-input")
     if buckets is None:
-        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(MAX_BUCKETS, buckets))
-    src = keys_from.select(order[0]) if keys_from is not None else df
-    b = df.withColumn("_bucket", _bucket_col(src, order[0], buckets))
-    totals = b.groupBy(*partition, "_bucket").agg(F.sum(n_col).alias("_bt"))
-    w_off = Window.partitionBy(*partition).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*partition, "_bucket",
-                            F.coalesce(F.sum("_bt").over(w_off), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inner = b.withColumn("_in", F.coalesce(F.sum(n_col).over(w_in), F.lit(0)))
-    out = inner.join(F.broadcast(offsets), partition + ["_bucket"])
-    return out.withColumn("start_pos", (F.col("_off") + F.col("_in")).cast("bigint")).drop(
-        "_bucket", "_off", "_in")
+        total = rows.agg(F.sum(n_col)).first()[0] or 0
+        buckets = max(spark.sparkContext.defaultParallelism, -(-int(total) // TOKENS_PER_RANGE))
+    schema = T.StructType([*rows.schema, T.StructField("_task", T.IntegerType()), T.StructField("_in", T.LongType()),
+                           T.StructField("_first", T.BooleanType())])
+    by = [*partition, *order]
+    ranged = rows.repartitionByRange(max(1, buckets), *by).sortWithinPartitions(*by)
+    placed = spill_table(ranged.mapInArrow(_running(n_col, partition), schema), "offset-ranges")
+    totals = placed.groupBy("_task", *partition).agg(F.sum(n_col).alias("_n"), F.max("_first").alias("_first"))
+    earlier = Window.partitionBy(*partition).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (totals.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).where("_first")
+             .select(F.col("_task").alias("_t"), "_base"))  # one row per task
+    out = placed.join(F.broadcast(bases), F.col("_first") & (F.col("_task") == F.col("_t")), "left")
+    return out.withColumn("start_pos", (F.col("_in") + F.coalesce("_base", F.lit(0))).cast("bigint")).drop(
+        "_task", "_in", "_first", "_t", "_base")

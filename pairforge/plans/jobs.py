@@ -16,9 +16,9 @@ def encode_splits(spark: SparkSession, splits: Mapping[str, DataFrame], model, k
                   text_col: str = "text", unit: str = "line") -> DataFrame:
     """Encode several corpora in one plan (S14): ``split, key..., ids, n_tokens, start_pos``.
 
-    The inputs are tagged and unioned, so distinct words of all splits are
-    encoded once; ``start_pos`` restarts at 0 in each split.  Rows without
-    tokens are skipped, as the binary writers do (P9).
+    The inputs are tagged and unioned; ``start_pos`` restarts at 0 in each split.
+    Rows without tokens are skipped, as the binary writers do (P9).  The ids are
+    written once and positions are made from that copy.
     """
     tagged = None
     for name, df in splits.items():
@@ -26,7 +26,7 @@ def encode_splits(spark: SparkSession, splits: Mapping[str, DataFrame], model, k
         tagged = t if tagged is None else tagged.unionByName(t)
     enc = encode(spark, tagged, model, key=("split", *key), text_col=text_col, unit=unit, skip_empty=True)
     order = list(key) + (["line_no"] if unit == "line" else [])
-    return token_offsets(enc, order=order, partition=["split"], keys_from=tagged)
+    return token_offsets(enc, order=order, partition=["split"])
 
 
 def split_totals(tokens: DataFrame) -> DataFrame:

@@ -227,6 +227,37 @@ def oracle_sql() -> dict[str, str]:
     q["token_total_by_split_rows"] = with_(doc_enc, (
         "SELECT CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, sum(n_tokens)::BIGINT AS n_tokens, "
         "count(*)::BIGINT AS n_rows FROM denc GROUP BY 1"))
+    t64 = [f"atoks AS ({toks('documents', 'doc_id')})", f"awords AS ({words_of('atoks')})", *chain("a", "awords", 64),
+           merges_cte("a", 64)]
+    q["train_merges_64"] = with_(t64, "SELECT rank, left_hex, right_hex FROM amerges")
+    talk = train + ["r AS MATERIALIZED (SELECT row_number() OVER () AS rid, conv_id, text FROM conversations)",
+                    f"rtoks AS ({toks('r', 'rid')})", "rw AS (SELECT DISTINCT w FROM rtoks)",
+                    f"renc AS ({apply_chain('a', 'rw')})"] + encoded_ids("r", "rtoks", "rid", "renc")
+    q["encode_conversations_16"] = with_(talk, (
+        "SELECT conv_id, count(i.id)::INTEGER AS n_tokens, "
+        "coalesce(string_agg(i.id::VARCHAR, ' ' ORDER BY i.seg, i.pos, i.tp), '') AS ids_text "
+        "FROM r LEFT JOIN rids i USING (rid) GROUP BY rid, conv_id"))
+    q["token_counts_blank_texts"] = with_(doc_enc, (
+        "SELECT doc_id % 10 AS m, sum(CASE WHEN doc_id % 10 < 2 THEN 0 ELSE n_tokens END)::BIGINT AS n_tokens "
+        "FROM denc GROUP BY 1"))
+    many = train + [f"s AS (SELECT doc_id, replace(text, ' ', '{SP}') AS text FROM documents)",
+                    f"stoks AS ({toks('s', 'doc_id')})", "sw AS (SELECT DISTINCT w FROM stoks)",
+                    f"senc AS (SELECT w, len({split_tokens('seq')}) AS k FROM ({apply_chain('a', 'sw')}))",
+                    "sn AS (SELECT doc_id, sum(k) AS k FROM stoks JOIN senc USING (w) GROUP BY doc_id)"]
+    q["encode_many_specials"] = with_(many, (
+        "SELECT doc_id, (coalesce(k, 0) + length(text) - length(replace(text, ' ', '')))::INTEGER AS n_tokens "
+        "FROM documents LEFT JOIN sn USING (doc_id)"))
+    q["token_strings_16"] = with_(doc_enc + [f"av AS (SELECT id, {alpha_hex('hex')} AS a FROM avocab)"], (
+        "SELECT x.doc_id, coalesce(string_agg(a, ' ' ORDER BY i.seg, i.pos, i.tp), '') AS tokens "
+        "FROM documents x LEFT JOIN (dids JOIN av USING (id)) i USING (doc_id) GROUP BY x.doc_id"))
+    q["token_offsets_by_lang"] = with_(doc_enc, (
+        "SELECT stream, source, doc_id, n_tokens, coalesce(sum(n_tokens) OVER (PARTITION BY stream ORDER BY source, doc_id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_pos FROM ("
+        "SELECT CASE WHEN x.lang <> 'de' THEN x.lang END AS stream, source, doc_id, n_tokens "
+        "FROM denc x JOIN documents d USING (doc_id))"))
+    q["token_shards_ids"] = with_(line_enc, (
+        "SELECT split, (row_number() OVER (PARTITION BY split ORDER BY doc_id, line_no, seg, pos, tp) - 1)::BIGINT AS pos, "
+        "id FROM (SELECT *, CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split FROM lids)"))
     q["bundle_merges_roundtrip"] = q["train_merges_16"]
     q["train_merges_16_text_files"] = q["train_merges_16"]
     q["text_export_roundtrip"] = q["train_merges_16"]

@@ -46,22 +46,16 @@ SP = DEFAULT_SPECIAL_TOKEN
 SECOND_SPECIAL = "<|end"
 ORACLE_MERGES = 16
 
-_MODELS: dict = {}
-
-
 def docs(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "documents")
 
 
 def model_for(spark: SparkSession, d: str, lang: str | None = None, merges: int = ORACLE_MERGES,
               count_mode: str = "recount"):
-    key = (d, lang, merges, count_mode)
-    if key not in _MODELS:
-        src = docs(spark, d)
-        if lang is not None:
-            src = src.where(F.col("lang") == lang)
-        _MODELS[key] = train(spark, src, TrainConfig(vocab_size=257 + merges, count_mode=count_mode))
-    return _MODELS[key]
+    src = docs(spark, d)
+    if lang is not None:
+        src = src.where(F.col("lang") == lang)
+    return train(spark, src, TrainConfig(vocab_size=257 + merges, count_mode=count_mode))
 
 
 def _words(spark, d):
@@ -231,6 +225,12 @@ def q_vocab_set_difference(spark, d):
     return vocab_set_diff(a, b)
 
 
+def q_train_merges_64(spark, d):
+    m = model_for(spark, d, merges=64)
+    return m.merges_df(spark).select("rank", F.hex("left_bytes").alias("left_hex"),
+                                     F.hex("right_bytes").alias("right_hex"))
+
+
 def q_train_merges_1000(spark, d):
     """Larger training (vocab 1000); no SQL oracle (checked by pytest)."""
     m = model_for(spark, d, merges=1000 - 257)
@@ -273,7 +273,7 @@ def q_token_total_benchmark(spark, d):
 def q_token_offsets(spark, d):
     src = docs(spark, d)
     enc = encode(spark, src, model_for(spark, d))
-    return token_offsets(enc, order=["doc_id"], keys_from=src).select("doc_id", "n_tokens", "start_pos")
+    return token_offsets(enc, order=["doc_id"]).select("doc_id", "n_tokens", "start_pos")
 
 
 def q_split_token_totals(spark, d):
@@ -302,6 +302,39 @@ def q_token_total_by_split_rows(spark, d):
                        group=["split"])
 
 
+def q_encode_conversations_16(spark, d):
+    """Rows that share their key (several turns of one conversation) are encoded one by one."""
+    return _ids_text(encode(spark, read_table(spark, d, "conversations"), model_for(spark, d), key=["conv_id"]))
+
+
+def q_token_counts_blank_texts(spark, d):
+    """Empty and null texts count nothing."""
+    m = F.col("doc_id") % 10
+    src = docs(spark, d).withColumn("text", F.when(m == 0, F.lit(None)).when(m == 1, F.lit("")).otherwise(F.col("text")))
+    return token_counts(spark, src.withColumn("m", m), model_for(spark, d), group=["m"])
+
+
+def q_encode_many_specials(spark, d):
+    """A special token for each blank: up to thousands in a row."""
+    src = docs(spark, d).withColumn("text", F.replace("text", F.lit(" "), F.lit(SP)))
+    return encode(spark, src, model_for(spark, d)).select("doc_id", "n_tokens")
+
+
+def q_token_strings_16(spark, d):
+    from pairforge.operators.decode import token_strings
+    m = model_for(spark, d)
+    enc = encode(spark, docs(spark, d), m)
+    return enc.select("doc_id", F.array_join(token_strings("ids", m), " ").alias("tokens"))
+
+
+def q_token_offsets_by_lang(spark, d):
+    """Null stream keys and a string order key."""
+    src = docs(spark, d).withColumn("stream", F.when(F.col("lang") != "de", F.col("lang")))
+    enc = encode(spark, src, model_for(spark, d), key=["stream", "source", "doc_id"])
+    return token_offsets(enc, order=["source", "doc_id"], partition=["stream"]).select(
+        "stream", "source", "doc_id", "n_tokens", "start_pos")
+
+
 # -- sinks, bundles, streams (each reads back what it wrote) ---------------------
 
 DOC_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -341,6 +374,18 @@ def q_token_shards_totals(spark, d):
     return shard_listing(spark, path).groupBy("split").agg(F.sum("n_tokens").cast("bigint").alias("n_tokens"))
 
 
+def q_token_shards_ids(spark, d):
+    """Every id of the written shards with its place in the stream."""
+    from pairforge.sources.shards import read_token_shards, write_token_shards
+    from pairforge.session import scratch_path
+    src = docs(spark, d)
+    toks = encode_splits(spark, {"train": src.where(~(F.col("doc_id") % 10 == 0)),
+                                 "val": src.where(F.col("doc_id") % 10 == 0)}, model_for(spark, d), unit="line")
+    path = scratch_path(spark, "shards")
+    write_token_shards(toks, path)
+    return read_token_shards(spark, path)
+
+
 def q_stream_encode_totals(spark, d):
     from pairforge.session import scratch_path
     from pairforge.streaming.encode_stream import document_stream, start_stream_encode
@@ -353,11 +398,11 @@ def q_stream_encode_totals(spark, d):
 
 def q_stream_word_counts(spark, d):
     from pairforge.session import scratch_path
-    from pairforge.streaming.encode_stream import document_stream, start_word_counts
+    from pairforge.streaming.encode_stream import document_stream, latest_word_counts, start_word_counts
     out, ck = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
     st = document_stream(spark, d, DOC_SCHEMA, glob="documents.parquet")
     start_word_counts(st, out, ck).awaitTermination()
-    return spark.read.parquet(out).select("word", F.col("n").cast("bigint").alias("n"))
+    return latest_word_counts(spark, out).select("word", F.col("n").cast("bigint").alias("n"))
 
 
 def q_train_merges_16_text_files(spark, d):
@@ -410,7 +455,14 @@ QUERIES = {
     "token_total_by_split_rows": q_token_total_by_split_rows,
     "decode_roundtrip": q_decode_roundtrip,
     "decode_skip_specials": q_decode_skip_specials,
+    "train_merges_64": q_train_merges_64,
     "train_merges_1000": q_train_merges_1000,
+    "encode_conversations_16": q_encode_conversations_16,
+    "token_counts_blank_texts": q_token_counts_blank_texts,
+    "encode_many_specials": q_encode_many_specials,
+    "token_strings_16": q_token_strings_16,
+    "token_offsets_by_lang": q_token_offsets_by_lang,
+    "token_shards_ids": q_token_shards_ids,
     "train_merges_16_text_files": q_train_merges_16_text_files,
     "bundle_merges_roundtrip": q_bundle_merges_roundtrip,
     "text_export_roundtrip": q_text_export_roundtrip,

@@ -70,6 +70,7 @@ class BpeModel:
     merges: list[Merge]
     special_tokens: tuple[str, ...] = ()
     rounds: list[RoundStat] = field(default_factory=list)
+    unk_token: str | None = None
 
     def merges_bytes(self) -> list[tuple[bytes, bytes]]:
         return [(self.vocab[a], self.vocab[b]) for a, b, _ in self.merges]
@@ -106,7 +107,7 @@ class BpeModel:
         vocab = {remap.get(i, i): b for i, b in self.vocab.items()}
         kinds = {remap.get(i, i): k for i, k in self.kinds.items()}
         merges = [(remap.get(a, a), remap.get(b, b), remap.get(n, n)) for a, b, n in self.merges]
-        return BpeModel(vocab, kinds, merges, self.special_tokens, self.rounds)
+        return BpeModel(vocab, kinds, merges, self.special_tokens, self.rounds, self.unk_token)
 
 
 def rank_candidates(rows: Sequence[tuple[int, int, int]], vocab: dict[int, bytes]
@@ -357,7 +358,7 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
     cache.retire(cur)
     cache.retire(counts)
     cache.release()
-    model = BpeModel(vocab, kinds, merges, tuple(specials), stats)
+    model = BpeModel(vocab, kinds, merges, tuple(specials), stats, cfg.unk_token)
     return model.relabel_specials_first() if cfg.specials_first else model
 
 

@@ -57,30 +57,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def ensure_parallel(df, spark: SparkSession | None = None):
-    """Spread a text table over at least two tasks per core before CPU-heavy work.
+def spill_table(df, name: str):
+    """Write ``df`` as Parquet below the checkpoint folder and read it back.
 
-    Regex pre-tokenization costs far more per byte than reading; a small input
-    (a few parquet row groups) would otherwise leave most cores idle.  Large
-    inputs already have many splits and pass through untouched (no shuffle).
+    Cuts the lineage with a copy that survives the loss of an executor and whose
+    columns later readers can prune.
     """
-    spark = spark or df.sparkSession
-    want = 2 * spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
-_CACHED: list = []
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remember(df):
-    """Track a DataFrame persisted by an operator so ``release_caches`` can drop it."""
-    _CACHED.append(df)
-    return df
-
+def ensure_parallel(df, spark: SparkSession | None = None):
+    """Spread an input that cannot be split at read time before CPU-heavy work.
 
-def release_caches() -> None:
-    """Unpersist the compact tables operators cached (e.g. after a stream batch)."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
+    Spark splits files for at least one task per core by itself; only inputs too
+    small or of too few row groups for that come here with fewer partitions.
+    """
+    spark = spark or df.sparkSession
+    if df.isStreaming or df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(2 * spark.sparkContext.defaultParallelism)

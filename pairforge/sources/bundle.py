@@ -23,7 +23,7 @@ def save_model(spark: SparkSession, model: BpeModel, path: str, mode: str = "ove
     """Persist a model bundle."""
     model.vocab_df(spark).write.mode(mode).parquet(f"{path}/vocab")
     model.merges_df(spark).write.mode(mode).parquet(f"{path}/merges")
-    cfg = json.dumps({"special_tokens": list(model.special_tokens), "format": 1})
+    cfg = json.dumps({"special_tokens": list(model.special_tokens), "unk_token": model.unk_token, "format": 1})
     spark.createDataFrame([(cfg,)], "value STRING").coalesce(1).write.mode(mode).text(f"{path}/config")
 
 
@@ -35,7 +35,7 @@ def load_model(spark: SparkSession, path: str) -> BpeModel:
     vocab = {int(r["id"]): bytes(r["bytes"]) for r in vrows}
     kinds = {int(r["id"]): r["kind"] for r in vrows}
     merges = [(int(r["left_id"]), int(r["right_id"]), int(r["new_id"])) for r in mrows]
-    return BpeModel(vocab, kinds, merges, tuple(cfg.get("special_tokens", ())))
+    return BpeModel(vocab, kinds, merges, tuple(cfg.get("special_tokens", ())), unk_token=cfg.get("unk_token"))
 
 
 def merges_lines(merges_df: DataFrame, lossy: bool = False) -> DataFrame:
@@ -58,7 +58,11 @@ def vocab_json(vocab_df: DataFrame, form: str = "token_to_id") -> DataFrame:
 
     ``token_to_id`` (S7b): byte-alphabet token -> id.  ``id_to_text`` (S7): id ->
     UTF-8 text with undecodable bytes dropped (lossy, as some exporters do).
+    Ids that share their bytes (special tokens listed twice) have one entry in
+    ``token_to_id``, for the smallest id; encoding never gives the others.
     """
+    if form == "token_to_id":
+        vocab_df = vocab_df.groupBy("bytes").agg(F.min("id").alias("id"))
     if form == "token_to_id":
         entries = F.struct(to_alphabet("bytes").alias("k"), F.col("id").alias("v"))
     else:
@@ -82,14 +86,16 @@ def read_vocab_json(spark: SparkSession, path: str) -> DataFrame:
 def read_merges_text(spark: SparkSession, path: str) -> DataFrame:
     """Byte-alphabet merges file (S9) -> ``rank, left_bytes, right_bytes``.
 
-    Line order is the rank: files are read in order and numbered with
-    ``monotonically_increasing_id`` (ordered within and across partitions).
+    Line order is the rank: lines are numbered by (file name, position in the
+    file), so several files are one list in the order of their names.  A merge
+    list has at most vocab_size lines, so one window over them is bounded.
     """
-    raw = spark.read.text(path).where(F.length(F.rtrim("value")) > 0)
-    raw = raw.withColumn("_o", F.monotonically_increasing_id())
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"),
+                                       F.col("_metadata.file_block_start").alias("_block"))
+    raw = raw.withColumn("_o", F.monotonically_increasing_id()).where(F.length(F.rtrim("value")) > 0)
     parts = F.split(F.rtrim("value"), " ")
     return raw.select(
-        (F.row_number().over(Window.orderBy("_o")) - 1).cast("int").alias("rank"),
+        (F.row_number().over(Window.orderBy("_file", "_block", "_o")) - 1).cast("int").alias("rank"),
         from_alphabet(parts[0]).alias("left_bytes"), from_alphabet(parts[1]).alias("right_bytes"))
 
 

@@ -1,12 +1,16 @@
 """Contiguous uint16 token shards (S12, S13, J3) as a Python data source.
 
-Rows ``split, start_pos, ids`` are range-partitioned by their order key and
-sorted inside each partition, so every task writes one contiguous run of the
-stream to ``{path}/{split}/shard-{first start_pos:020d}.bin`` (little-endian
-uint16); listing a split's files by name gives the stream in order.  Files
-are written under a task-attempt name and renamed at job commit, so retried
-or lost tasks leave nothing behind; overwrite replaces the whole output.
-Paths may be any pyarrow filesystem URI (local, HDFS, S3, ...).
+Rows ``split, start_pos, ids`` are range-partitioned by position and sorted inside
+each partition, so every task writes one contiguous run of the stream to
+``{path}/{split}/shard-{first start_pos:020d}.bin`` (little-endian uint16); listing a
+split's files by name gives the stream in order.  Files are written under a folder
+of the job with task-attempt names and moved at job commit, so retried or lost tasks
+leave nothing behind.  Overwrite removes older shards only at commit, after all new
+files are complete; a failed job leaves the old output as it was.
+
+Paths are qualified on the driver by Spark's own file systems, so a bare path means
+the cluster's default store, never an executor's disk; the resulting URI is opened
+with pyarrow (``file``, ``hdfs``, ``s3``/``s3a``, ``gs``, ...), other schemes are an error.
 """
 
 from __future__ import annotations
@@ -25,20 +29,32 @@ class ShardCommit(WriterCommitMessage):
     files: list  # [(tmp_path, final_path, n_tokens)]
 
 
+def qualified(spark, path: str) -> str:
+    """``path`` with the scheme that Spark's default file system gives it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def _fs(path: str):
-    """(filesystem, path) for a local path, Hadoop-style ``file:/x`` or any pyarrow URI."""
+    """(filesystem, path) of a qualified URI."""
     import re
 
     from pyarrow import fs
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + re.sub(r"^file:/*", "", path)
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        raise ValueError(f"{path}: shard paths need a scheme; see qualified()")
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
 
 
 class TokenShardWriter(DataSourceWriter):
     def __init__(self, options, overwrite: bool):
+        import uuid
+
         self.path = options["path"]
         self.overwrite = overwrite
+        self.job = f"_temporary-{uuid.uuid4().hex}"
 
     def write(self, iterator):
         import numpy as np
@@ -52,16 +68,15 @@ class TokenShardWriter(DataSourceWriter):
         def close():
             if out is not None:
                 out.close()
-                final = f"{root}/{cur_split}/shard-{first:020d}.bin"
-                files.append((tmp, final, n))
+                files.append((tmp, f"{root}/{cur_split}/shard-{first:020d}.bin", n))
 
         for row in iterator:
             split = row["split"]
             if split != cur_split:
                 close()
                 cur_split, first, n = split, int(row["start_pos"]), 0
-                filesystem.create_dir(f"{root}/_temporary", recursive=True)
-                tmp = f"{root}/_temporary/{split}-{first:020d}-{tag}.bin"
+                filesystem.create_dir(f"{root}/{self.job}", recursive=True)
+                tmp = f"{root}/{self.job}/{split}-{first:020d}-{tag}.bin"
                 out = filesystem.open_output_stream(tmp)
             ids = np.asarray(row["ids"], dtype=np.int64)
             if ids.size and (ids.max() > UINT16_MAX or ids.min() < 0):
@@ -72,16 +87,31 @@ class TokenShardWriter(DataSourceWriter):
         return ShardCommit(files)
 
     def commit(self, messages):
+        from concurrent.futures import ThreadPoolExecutor
+
+        from pyarrow import fs
+
         filesystem, root = _fs(self.path)
-        for m in messages:
-            for tmp, final, _ in m.files:
-                filesystem.create_dir(final.rsplit("/", 1)[0], recursive=True)
-                filesystem.move(tmp, final)
-        filesystem.delete_dir_contents(f"{root}/_temporary", missing_dir_ok=True)
+        files = [f for m in messages if m is not None for f in m.files]
+        new = {final for _, final, _ in files}
+        old = [f.path for f in filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True))
+               if f.path.endswith(".bin") and f"/{self.job}/" not in f.path]
+        if not self.overwrite and (both := sorted(new.intersection(old))):
+            raise ValueError(f"append would replace {both[0]}; shift start_pos past the stream's end")
+        for folder in {final.rsplit("/", 1)[0] for final in new}:
+            filesystem.create_dir(folder, recursive=True)
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda f: filesystem.move(f[0], f[1]), files))
+            if self.overwrite:
+                list(pool.map(filesystem.delete_file, [f for f in old if f not in new]))
+        self.abort(messages)
 
     def abort(self, messages):
+        from pyarrow import fs
+
         filesystem, root = _fs(self.path)
-        filesystem.delete_dir_contents(f"{root}/_temporary", missing_dir_ok=True)
+        if filesystem.get_file_info(f"{root}/{self.job}").type != fs.FileType.NotFound:
+            filesystem.delete_dir(f"{root}/{self.job}")
 
 
 class TokenShardSource(DataSource):
@@ -93,9 +123,6 @@ class TokenShardSource(DataSource):
         return "split STRING, start_pos BIGINT, ids ARRAY<INT>"
 
     def writer(self, schema, overwrite):
-        if overwrite:
-            filesystem, root = _fs(self.options["path"])
-            filesystem.delete_dir_contents(root, missing_dir_ok=True)
         return TokenShardWriter(self.options, overwrite)
 
 
@@ -110,17 +137,45 @@ def check_uint16(tokens: DataFrame, ids_col: str = "ids") -> None:
         raise ValueError(f"max token id {mx} exceeds {UINT16_MAX}; use a wider dtype")
 
 
-def write_token_shards(tokens: DataFrame, path: str, order=("doc_id",), shards: int | None = None) -> None:
-    """Write ``split, start_pos, ids`` rows as ordered uint16 shards."""
+def write_token_shards(tokens: DataFrame, path: str, order=None, shards: int | None = None,
+                       mode: str = "overwrite", tokens_per_shard: int = 64 << 20) -> None:
+    """Write ``split, start_pos, ids`` rows as ordered uint16 shards.
+
+    ``start_pos`` orders the rows (``order`` is accepted for rows without gaps but
+    not needed).  By default the number of shards follows the number of tokens.
+    Ids that do not fit are found by the task that would write them.
+    """
     spark = tokens.sparkSession
     register(spark)
-    check_uint16(tokens)
-    order = ["split", *order]
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (tokens.where(F.size("ids") > 0)
-     .repartitionByRange(shards, *order).sortWithinPartitions(*order)
-     .select("split", "start_pos", "ids")
-     .write.format("token_shards").mode("overwrite").option("path", path).save())
+    rows = tokens.where(F.size("ids") > 0).select("split", "start_pos", "ids")
+    if shards is None:
+        n = rows.agg(F.sum(F.size("ids"))).first()[0] or 0
+        shards = max(spark.sparkContext.defaultParallelism, -(-int(n) // tokens_per_shard))
+    (rows.repartitionByRange(shards, "split", "start_pos").sortWithinPartitions("split", "start_pos")
+     .write.format("token_shards").mode(mode).option("path", qualified(spark, path)).save())
+
+
+def read_token_shards(spark, path: str) -> DataFrame:
+    """``split, pos, id`` of every token in written shards."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "shard-*.bin").load(path)
+
+    def ids(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for i in range(b.num_rows):
+                one = np.frombuffer(b.column(2)[i].as_py(), "<u2").astype("int32")
+                for at in range(0, len(one), 1 << 16):
+                    part = one[at:at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b.column(0)[i].as_py()] * len(part), pa.string()),
+                         pa.array(np.arange(len(part)) + (b.column(1)[i].as_py() + at)), pa.array(part)],
+                        names=["split", "pos", "id"])
+
+    name = r"/([^/]+)/shard-(\d+)\.bin$"
+    cols = (F.regexp_extract("path", name, 1).alias("split"), F.regexp_extract("path", name, 2).cast("bigint").alias("first"))
+    return raw.select(*cols, "content").mapInArrow(ids, "split string, pos long, id int")
 
 
 def shard_listing(spark, path: str) -> DataFrame:

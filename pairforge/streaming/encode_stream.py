@@ -1,14 +1,15 @@
 """Incremental corpus encoding and word statistics with Structured Streaming.
 
-* T1/T2: each micro-batch of new documents is encoded with the batch plan
-  (distinct words, Arrow UDF, join back) inside ``foreachBatch`` and written to
-  ``{out}/batch_id={id}`` in overwrite mode, so a replayed batch after a failure
-  or restart replaces its own output: exactly-once with the checkpoint.
+* T1/T2: encoding is row-local, so each micro-batch is one projection; inside
+  ``foreachBatch`` it is written to ``{out}/batch_id={id}`` in overwrite mode, so a
+  replayed batch after a failure or restart replaces its own output: exactly-once
+  with the checkpoint.
 * T3: the running total is a query over what was written (``stream_totals``)
   and is also reported per batch with ``observe``.
 * T4: progress is Spark's own ``StreamingQueryProgress``.
-* T5: streaming word counts (stateful ``groupBy(word).count()``), snapshot
-  written per batch, feeding retraining.
+* T5: streaming word counts (stateful ``groupBy(word).count()`` in update mode):
+  each batch writes only the words it changed, under its ``batch_id``;
+  ``latest_word_counts`` reads the last value of each word.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 from pairforge.functions.expressions import pretokens
 from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN
 from pairforge.operators.encode import encode
-from pairforge.session import release_caches
 
 
 def document_stream(spark: SparkSession, path: str, schema: str, glob: str | None = None,
@@ -42,7 +42,6 @@ def start_stream_encode(stream: DataFrame, model, out: str, checkpoint: str, key
         enc = encode(spark, df, model, key=key, text_col=text_col, unit=unit, skip_empty=True)
         enc = enc.observe(f"tokens_{batch_id}", F.sum("n_tokens").alias("tokens"))
         enc.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        release_caches()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -58,13 +57,18 @@ def stream_totals(spark: SparkSession, out: str) -> DataFrame:
 
 def start_word_counts(stream: DataFrame, out: str, checkpoint: str, text_col: str = "text",
                       special_tokens=(DEFAULT_SPECIAL_TOKEN,), available_now: bool = True):
-    """Maintained word counts (T5): stateful aggregate, snapshot per batch."""
+    """Maintained word counts (T5): stateful aggregate; the changed words of each batch are written."""
     counts = (stream.select(F.explode(pretokens(text_col, special_tokens)).alias("word"))
               .groupBy("word").count().withColumnRenamed("count", "n"))
 
-    def snapshot(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(out)
+    def changes(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    w = counts.writeStream.outputMode("complete").foreachBatch(snapshot).option("checkpointLocation", checkpoint)
+    w = counts.writeStream.outputMode("update").foreachBatch(changes).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def latest_word_counts(spark: SparkSession, out: str) -> DataFrame:
+    """``word, n`` after the last written batch."""
+    return spark.read.parquet(out).groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))

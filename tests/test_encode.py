@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pairforge.functions.expressions import split_lines
 from pairforge.operators.decode import decode, roundtrip_violations, token_strings
 from pairforge.operators.encode import encode, encode_texts, token_counts
 from pairforge.plans.jobs import encode_splits
@@ -58,22 +59,110 @@ def test_token_counts_match_encode(spark, small_docs, model):
     assert token_counts(spark, small_docs, model).first().n_tokens == total
 
 
-def test_hot_word_salting_is_exact(spark, small_docs, model):
-    a = encode(spark, small_docs, model)
-    b = encode(spark, small_docs, model, rows_per_salt=50, broadcast_bytes=0)  # salted shuffle join
-    diff = a.join(b.withColumnRenamed("ids", "ids_b"), "doc_id").where(F.col("ids") != F.col("ids_b"))
-    assert diff.count() == 0
+def joined_ids(spark, model, texts):
+    """Ids of texts put together from the encodings of their distinct words (another way than the row UDF)."""
+    from pairforge.functions.expressions import pretokens
+    from pairforge.operators.encode import encode_words
+    pieces = texts.select("doc_id", F.posexplode(pretokens("text")).alias("pos", "word"))
+    known = encode_words(spark, pieces.select("word").distinct(), model)
+    parts = pieces.join(known, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("p"))
+    return {r.doc_id: [i for x in r.p for i in x.ids] for r in parts.collect()}
+
+
+def test_row_encoding_equals_word_by_word(spark, small_docs, model):
+    got = {r.doc_id: r.ids for r in encode(spark, small_docs, model).collect()}
+    assert got == joined_ids(spark, model, small_docs)
 
 
-def test_salted_join_with_specials_and_lines(spark, small_docs, model):
+def test_specials_and_lines_are_encoded_in_order(spark, small_docs, model):
     src = small_docs.withColumn("text", F.replace("text", F.lit("\n"), F.lit("<|endoftext|>")))
-    a = encode(spark, src, model)
-    b = encode(spark, src, model, rows_per_salt=20, broadcast_bytes=0)
-    diff = a.join(b.withColumnRenamed("ids", "ids_b"), "doc_id").where(F.col("ids") != F.col("ids_b"))
-    assert diff.count() == 0 and b.count() == small_docs.count()
-    la = encode(spark, small_docs, model, unit="line")
-    lb = encode(spark, small_docs, model, unit="line", rows_per_salt=20, broadcast_bytes=0)
-    assert la.exceptAll(lb).count() == 0 and lb.exceptAll(la).count() == 0
+    for r in encode(spark, src, model).join(src, "doc_id").select("ids", "text").collect():
+        parts = r.text.split("<|endoftext|>")
+        assert r.ids.count(256) == len(parts) - 1
+    lines = encode(spark, small_docs, model, unit="line")
+    whole = joined_ids(spark, model, lines.select((F.col("doc_id") * 1_000_000 + F.col("line_no")).alias("doc_id"), "ids")
+                       .join(small_docs.select(F.posexplode(split_lines("text")).alias("line_no", "text"), "doc_id")
+                             .select((F.col("doc_id") * 1_000_000 + F.col("line_no")).alias("doc_id"), "text"), "doc_id"))
+    got = {r.doc_id * 1_000_000 + r.line_no: r.ids for r in lines.collect()}
+    assert got == whole
+
+
+def test_rows_that_share_a_key_stay_apart(spark, model):
+    df = spark.createDataFrame([(1, "the cat"), (1, "a hat"), (None, "the cat")], "doc_id long, text string")
+    alone = encode_texts(spark, model, ["the cat", "a hat"])
+    got = sorted((r.doc_id is None, r.ids) for r in encode(spark, df, model).collect())
+    assert got == sorted([(False, alone[0]), (False, alone[1]), (True, alone[0])])
+
+
+def test_empty_and_null_texts_count_nothing(spark, model):
+    df = spark.createDataFrame([(1, "", "en"), (2, None, "de"), (3, "a", "fr")], "doc_id long, text string, lang string")
+    assert {r.lang: r.n_tokens for r in token_counts(spark, df, model, group=["lang"]).collect()} == {"en": 0, "de": 0, "fr": 1}
+    assert {r.doc_id: r.ids for r in encode(spark, df, model).collect()} == {1: [], 2: [], 3: [97]}
+    none = df.limit(0)
+    assert encode(spark, none, model).count() == 0 and token_counts(spark, none, model).first().n_tokens == 0
+
+
+def test_many_specials_in_one_row(spark, model):
+    n = 20_000
+    df = spark.createDataFrame([(1, "a<|endoftext|>" * n)], "doc_id long, text string")
+    assert encode(spark, df, model).first().ids == [97, 256] * n
+
+
+def test_unknown_token_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "ab ab ab")], "doc_id long, text string")
+    m = train(spark, docs, TrainConfig(vocab_size=262, initial_alphabet="observed", unk_token="[UNK]"))
+    unk = m.special_ids()["[UNK]"]
+    assert encode_texts(spark, m, ["abz"])[0][-1] == unk
+    bare = train(spark, docs, TrainConfig(vocab_size=262, initial_alphabet="observed"))
+    with pytest.raises(Exception, match="no unknown token"):
+        encode_texts(spark, bare, ["abz"])
+
+
+def test_long_words_equal_the_plain_procedure():
+    import random
+
+    from pairforge.functions.udfs import bpe_ids, bpe_ids_long
+    rng = random.Random(5)
+    table, new = {}, 4
+    for rank in range(12):
+        pair = (rng.randrange(new), rng.randrange(new))
+        if pair not in table:
+            table[pair] = (rank, new)
+            new += 1
+    for _ in range(500):
+        ids = [rng.randrange(4) for _ in range(rng.randint(0, 60))]
+        assert bpe_ids_long(list(ids), table) == bpe_ids(list(ids), table)
+
+
+def test_offsets_with_null_keys_and_string_order(spark):
+    from pairforge.operators.offsets import token_offsets
+    rows = [(s, k, n) for s in ("a", None, "b") for k in ("x", "y", None, "zz", "y") for n in (3, 0, 5)]
+    df = spark.createDataFrame(rows, "split string, name string, n_tokens long")
+    for buckets in (1, 4, 40):
+        out = token_offsets(df, order=["name", "n_tokens"], partition=["split"], buckets=buckets).collect()
+        assert len(out) == len(rows)
+        for s in ("a", None, "b"):
+            mine = sorted((r for r in out if r.split == s), key=lambda r: (r.start_pos, r.n_tokens))
+            at = 0
+            for r in mine:
+                assert r.start_pos == at
+                at += r.n_tokens
+            names = [r.name for r in sorted(mine, key=lambda r: r.start_pos) if r.n_tokens]
+            assert names == sorted(names, key=lambda x: (x is not None, x or ""))
+
+
+def test_shards_overwrite_and_read_back(spark, small_docs, model, tmpdir_run):
+    from pairforge.sources.shards import read_token_shards, write_token_shards
+    toks = encode_splits(spark, {"train": small_docs, "val": small_docs.where("doc_id < 9")}, model, unit="line")
+    path = f"{tmpdir_run}/bin"
+    write_token_shards(toks, path, shards=7)
+    write_token_shards(toks, path, shards=3)
+    assert len(glob.glob(f"{path}/*/*.bin")) <= 4 and not glob.glob(f"{path}/_temporary*")
+    want = toks.select("split", F.posexplode("ids").alias("i", "id"), "start_pos").selectExpr("split", "start_pos + i AS pos", "id")
+    got = read_token_shards(spark, path)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    with pytest.raises(Exception, match="append would replace"):
+        write_token_shards(toks, path, shards=3, mode="append")
 
 
 def test_lines_and_offsets(spark, small_docs, model):
@@ -126,3 +215,25 @@ def test_bundle_and_text_roundtrip(spark, model, tmpdir_run):
     write_vocab_json(model.vocab_df(spark), f"{tmpdir_run}/v")
     m3 = model_from_text(spark, f"{tmpdir_run}/v", f"{tmpdir_run}/m", ["<|endoftext|>"])
     assert m3.vocab == model.vocab and m3.merges == model.merges
+
+
+def test_merges_of_several_files_keep_their_order(spark, tmpdir_run):
+    import os
+
+    from pairforge.sources.bundle import read_merges_text
+    os.makedirs(f"{tmpdir_run}/m")
+    for name, lines in (("part-0", "a b\n\nb c\n"), ("part-1", "c " + "d" * 5000 + "\n" + "e f\n")):
+        with open(f"{tmpdir_run}/m/{name}", "w") as f:
+            f.write(lines)
+    rows = read_merges_text(spark, f"{tmpdir_run}/m").orderBy("rank").collect()
+    assert [bytes(r.left_bytes) for r in rows] == [b"a", b"b", b"c", b"e"]
+
+
+def test_vocab_json_of_duplicate_specials(spark):
+    import json
+
+    from pairforge.operators.vocab import initial_vocab, vocab_frame
+    from pairforge.sources.bundle import vocab_json
+    v, k = initial_vocab(["<s>", "<s>"])
+    got = json.loads(vocab_json(vocab_frame(spark, v, k)).first().value)
+    assert got["<s>"] == 256 and len(got) == 257
