@@ -31,13 +31,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.functions.expressions import char_to_id
+from pairforge.functions.expressions import char_to_id, id_to_char, pair_left_id, pair_right_id
 from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN, byte_alphabet
 from pairforge.operators.merges import Merge, merge_expr
 from pairforge.operators.pairs import pair_counts, top_pairs
 from pairforge.operators.pretokenize import training_words, word_counts
 from pairforge.operators.vocab import initial_vocab, vocab_frame
-from pairforge.session import checkpoint_dir
+from pairforge.session import checkpoint_dir, scratch_path
 
 
 @dataclass
@@ -242,15 +242,17 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
     The rounds run with adaptive execution off: each round is a small job whose
     only shuffle carries pre-aggregated pair counts (no skew to split, nothing
     worth coalescing), and AQE's per-stage re-planning costs more than it saves
-    (measured 36 s vs 41-57 s of round time at sf0.1).  The setting is restored.
+    (measured 36 s vs 41-57 s of round time at sf0.1).  That holds in a session of
+    the training's own; queries and streams of the caller's session keep theirs.
+    The word table is written once below the checkpoint folder for it.
     """
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        return _train_words(spark, words, cfg, vocab, kinds)
-    finally:
-        spark.conf.set(key, before)
+    path = scratch_path(spark, "train-words")
+    words.select("seq", F.col("n").cast("bigint").alias("n")).write.parquet(path)
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    return _train_words(own, own.read.schema("seq STRING, n BIGINT").parquet(path), cfg, vocab, kinds)
 
 
 def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
@@ -312,8 +314,12 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
                 v[nid] = v[a] + v[b]
                 steps.append((a, b, nid))
                 nid = _next_free(v, nid + 1)
-            d = step_deltas(cur, steps, horizon)
-            drows = d.collect()
+            d = step_deltas(cur, steps, horizon).persist(StorageLevel.MEMORY_AND_DISK)
+            # The check asks for candidates and for pairs with a new token only: at most
+            # steps x (candidates + 2 x vocab_size) rows reach the driver.
+            asked = (F.col("pair").isin([id_to_char(a) + id_to_char(b) for a, b, _ in cands])
+                     | (pair_left_id("pair") >= next_id) | (pair_right_id("pair") >= next_id))
+            drows = d.where(asked).collect()
             if delta:
                 cache.release()  # `cur` is materialised by the step job
             deltas: dict[int, list] = {}
@@ -332,6 +338,8 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
             new.append((a, b, next_id))
             next_id = _next_free(vocab, next_id + 1)
         merges.extend(new)
+        if drows is not None:
+            cache.retire(d)
         round_no += 1
         stats.append(RoundStat(round_no, len(new), time.time() - t0, cands[0][2]))
         if len(merges) >= budget:
@@ -340,14 +348,10 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
         prev_cur = cur
         nxt = cur.select(merge_expr("seq", new).alias("seq"), "n").where(F.length("seq") >= 2)
         if delta:
-            if drows is not None and len(new) <= len(drows) and all(
-                    (a, b) == (s[0], s[1]) for (a, b, _), s in zip(new, steps)):
-                upd = {}
-                for r in drows:
-                    if int(r["step"]) <= len(new):
-                        upd[r["pair"]] = upd.get(r["pair"], 0) + int(r["n"])
-                dd = spark.createDataFrame([(p_, n_) for p_, n_ in upd.items() if n_ != 0],
-                                           "pair STRING, n BIGINT")
+            if drows is not None and len(new) <= len(steps) and all(
+                    (x, y) == (t[0], t[1]) for (x, y, _), t in zip(new, steps)):
+                dd = (d.where(F.col("step") <= len(new)).groupBy("pair").agg(F.sum("n").cast("bigint").alias("n"))
+                      .where(F.col("n") != 0))
             else:
                 dd = delta_counts(cur, new)
             cache.retire(counts)

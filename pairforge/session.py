@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
@@ -32,7 +33,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set on
     the SparkContext).  Only when neither is set *and* the master is local (tests)
     a fresh temporary directory is created; on a cluster that is an error, since a
-    machine-local folder would not survive the loss of an executor.
+    machine-local folder would not survive the loss of an executor.  Set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` there, as ``local_session``
+    does: Spark then deletes a checkpoint once nothing refers to it any more.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
