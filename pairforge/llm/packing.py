@@ -20,12 +20,17 @@ checksum; an empty table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.chunks import ChunkTable, split_before_blanks
 from pairforge.llm.common import pin, text_batches, worker_cache
 
+#: Pre-tokens always end between a letter or digit and one of these, and after them before a letter or digit.
+_WORD_END = re.compile(r"(?<=[^\W_])(?=[.,\n])|(?<=[.,]\n)(?=[^\W_])")
+
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -42,7 +47,7 @@ class Tokens:
     character follows, so ids of the chunks between such cuts concatenate.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
@@ -53,10 +58,18 @@ class Tokens:
         self.table = ChunkTable(self._segment, limit)
 
     def _segment(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that are not in the table: of their words, each looked up there first."""
         import numpy as np
 
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        words = [_WORD_END.split(c) for c in chunks]
+        table, own = self.table, {}
+        for w in set().union(*words):
+            own[w] = table.young.get(w) or table.old.get(w)
+        missing = [w for w, v in own.items() if v is None]
+        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        own.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(missing, found))
+        table.young.update((w, own[w]) for w in missing if len(w) <= table.max_chars)
+        return [b"".join(map(own.__getitem__, w)) for w in words]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         chunked = [split_before_blanks(t) if t else [] for t in texts]
