@@ -70,7 +70,35 @@ QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_best
 def oracle_sql() -> dict[str, str]:
     listed = ", ".join(f"('{k.partition('/')[0]}', '/{k.partition('/')[2]}', '{k}', '{v}', 1)" for k, v in URL_RULES)
     spam = ", ".join(f"('{h}', '/', '{h}/', 'block', 0)" for h in url_filter.SPAM_HOSTS)
-    return {"op9_url_filter": f"""
+    windows = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 99))) AS i FROM d),
+m AS MATERIALIZED (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS m FROM w),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS n FROM m),
+g AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS new
+      FROM f WHERE n > 1),
+k AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
+s AS (SELECT doc_id, k, min(i) AS s, max(i) + 100 AS e FROM k GROUP BY doc_id, k),
+p AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY k), 0) AS b FROM s),
+r AS (SELECT doc_id, sum(e - s) AS removed, count(*) AS spans, max(e) AS last,
+        string_agg(substr(h, 2 * b + 1, 2 * (s - b)), '' ORDER BY k) AS head FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+  coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)"""
+    links = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS id, vec_id AS root FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) AS root FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, root AS component_id, vec_id = root AS kept
+FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id"""
+    return {"op2_suffix_dedup": windows, "op7_embedding_dedup": links, "op9_url_filter": f"""
 WITH listed(h, p, key, verdict, own) AS (VALUES {listed}, {spam}),
 u AS (
   SELECT page_id, row_number() OVER () AS rid,

@@ -13,7 +13,8 @@ only passes more keys to the join.  It reaches the tasks as one literal array.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path and no
 key; an empty list blocks nothing; repeated rows give repeated rows; entries
-listed twice count once; other columns are kept.
+listed twice count once; other columns are kept, but for those named host, path,
+rule and verdict.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def judge(pages: DataFrame, listed: DataFrame, url: str = "url", bits_per_key: i
     blocks = max(1, min(max_blocks, -(-n * bits_per_key // 512)))
     base = pages.withColumn("host", url_host(url)).withColumn("path", url_path(url))
     if not n:
-        return base.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+        return base.drop("rule", "verdict").select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -97,8 +98,8 @@ def judge(pages: DataFrame, listed: DataFrame, url: str = "url", bits_per_key: i
     rank = F.struct((F.col("source") == "rule").alias("own"), F.length("key").alias("n"),
                     (F.col("verdict") == default).alias("mild"), "key")
     best = (hits.join(listed, "key").groupBy("host", "path")
-            .agg(F.max_by(F.struct("key", "verdict", "source"), rank).alias("best")))
+            .agg(F.max_by(F.struct("key", "verdict", "source"), rank).alias("__best")))
+    kept = [f"`{c}`" for c in base.columns if c not in ("rule", "verdict")]
     return base.join(best, ["host", "path"], "left").select(
-        *[base[c] for c in base.columns],
-        F.when(F.col("best.source") == "rule", F.col("best.key")).alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+        *kept, F.when(F.col("__best.source") == "rule", F.col("__best.key")).alias("rule"),
+        F.coalesce("__best.verdict", F.lit(default)).alias("verdict"))

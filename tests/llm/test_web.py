@@ -125,7 +125,9 @@ def test_pipeline(spark, tmp_path):
     passage = prose(rng, 60)
     rows += [(200 + i, prose(rng, 70) + " " + passage + " " + prose(rng, 50)) for i in range(6)]
     rows += [(300 + i, rows[20 + i][1]) for i in range(10)]
-    rows += [(400 + i, " ".join(w + "###" for w in prose(rng, 120).split())) for i in range(8)]
+    # a small corpus tells junk by its vocabulary only if that recurs
+    junk = [f"spam{i}###" for i in range(12)]
+    rows += [(400 + i, " ".join(rng.choices(junk, k=120))) for i in range(8)]
     rows += [(500, prose(rng, 80) + ' token = "abcdef0123456789" ' + prose(rng, 80))]
     docs = frame(spark, rows, clash=True).withColumn("n_chars", url_filter.F.length("text").cast("long"))
     labels = spark.createDataFrame([(i, 1, 0) for i, _ in rows if 100 <= i < 160], "doc_id long, quality int, toxic int")
