@@ -55,22 +55,46 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocab = self.tokenizer.get_vocab()
+        import numpy as np
+
+        self.sizes = np.zeros(max(vocab.values()) + 1, "int64")  # bytes of each id: a token's characters are bytes
+        self.sizes[list(vocab.values())] = [len(t) for t in vocab]
         self.table = ChunkTable(self._segment, limit)
 
     def _segment(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks that are not in the table: of their words, each looked up there first."""
-        import numpy as np
-
         words = [_WORD_END.split(c) for c in chunks]
         table, own = self.table, {}
         for w in set().union(*words):
             own[w] = table.young.get(w) or table.old.get(w)
         missing = [w for w, v in own.items() if v is None]
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        own.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(missing, found))
+        own.update(self._encode(missing))
         table.young.update((w, own[w]) for w in missing if len(w) <= table.max_chars)
         return [b"".join(map(own.__getitem__, w)) for w in words]
 
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids by the library.  Words that start with one blank are joined for it (a text's pre-token
+        always ends there) and told apart again by the bytes that their ids stand for."""
+        import numpy as np
+
+        joined = [w for w in words if w[:1] == " " and not w[1:2].isspace() and len(w) > 1]
+        lone = [w for w in words if not (w[:1] == " " and not w[1:2].isspace() and len(w) > 1)]
+        found = self.tokenizer.encode_batch_fast(lone, add_special_tokens=False)
+        out = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(lone, found)}
+        if joined:
+            texts = ["".join(joined[i:i + 256]) for i in range(0, len(joined), 256)]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
+            ends = np.cumsum(self.sizes[ids])
+            word_ends = np.cumsum([len(w.encode()) for w in joined])
+            at = np.searchsorted(ends, word_ends)
+            if not np.array_equal(ends[at], word_ends):
+                raise AssertionError("a pre-token crosses a blank; the chunk table does not fit this tokenizer")
+            raw, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+            out.update((w, raw[s:e]) for w, s, e in zip(joined, cuts, cuts[1:]))
+        return out
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         chunked = [split_before_blanks(t) if t else [] for t in texts]
         return [b"".join(v) for v in self.table.look_up(chunked)]
