@@ -6,8 +6,8 @@ the pass and the dimension).  All passes are ordered lexicographically at once b
 (pass, dimension, key, vector) and numbered without a one-task window; blocks of
 ``block`` consecutive rows, each with the ``window`` rows before it, are compared: a
 row with its ``window`` predecessors of the same pass.  Pairs whose cosine in double
-precision reaches the threshold are verified links; their union over all passes
-gives classes.
+precision reaches the threshold are verified links; a block emits a spanning forest of
+them, and their union over all passes gives classes.
 
 Link counts are exact inside a class: members are compared block by block with the
 other members of their class (never with vectors outside), so a window does not cap
@@ -87,12 +87,33 @@ def _windows(window: int, threshold: float):
                     found.append((ids[x[i]], ids[y[i]]))
         a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, "i8")
         b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, "i8")
-        pair = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+        pair = _forest(np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1))
         return pa.table({"a": pair[0], "b": pair[1]})
 
     return run
 
 
+def _forest(pairs):
+    """Those of a block's verified pairs that join two parts: fewer than its rows, with the same classes."""
+    import numpy as np
+
+    up: dict[int, int] = {}
+
+    def top(x):
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    kept = []
+    for i, (a, b) in enumerate(pairs.T.tolist()):
+        a, b = top(a), top(b)
+        if a != b:
+            up[a] = b
+            kept.append(i)
+    return pairs[:, np.array(kept, "int64")]
+
+
 def _degrees(threshold: float):
     """One class block: copies linked to each vector of block ``x`` among those of block ``y``."""
 
