@@ -17,10 +17,11 @@ at most ``2 * length - k`` bytes instead of one string per suffix.
 3. Contexts of the remaining anchors are first aggregated by a 128-bit digest: of equal
    contexts the first holder stands for all, the others lose all their suffixes.  So a
    passage that a third of the documents hold is one context before anything is sorted.
-4. Buckets with two or more distinct contexts are sorted, one block of whole buckets at
-   a time, by the first 64 bytes of each suffix.  Longer ties are resolved by ranks of
-   the cover sample (positions whose residue modulo ``V`` lies in a perfect difference
-   set), computed once per task: for two suffixes i and j some d < V has i + d and j + d
+4. Of buckets with two or more distinct contexts, suffixes whose rolling hash is the only
+   one in their bucket are set aside.  The others are sorted, one block of whole buckets
+   at a time, by the first 64 bytes of each suffix.  Longer ties that do not all agree are
+   resolved by ranks of the cover sample (positions whose residue modulo ``V`` lies in a
+   perfect difference set), computed once per block: for two suffixes i and j some d < V has i + d and j + d
    in the sample, and their ranks decide.  Neighbours that agree on ``length`` bytes form
    a class, and all but its first suffix are marked.
 5. An anchor with more than ``hot`` distinct contexts does not fit one block; its
@@ -64,6 +65,17 @@ def words_at(data: bytes):
     return out
 
 
+def _segments(offsets, size: int):
+    """Bounds of runs of whole documents of about ``size`` bytes."""
+    import numpy as np
+
+    at = 0
+    while at < len(offsets) - 1:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
+        yield offsets[at:to + 1]
+        at = to
+
+
 def anchors(data: bytes, offsets, length: int, k: int):
     """(anchor position, first suffix, number of suffixes, anchor hash) of each run of suffixes.
 
@@ -71,13 +83,28 @@ def anchors(data: bytes, offsets, length: int, k: int):
     """
     import numpy as np
 
+    found = []
+    for own in _segments(np.asarray(offsets, "int64"), 1 << 17):  # small enough for a core's cache
+        a, first, many, h = _anchors(data[own[0]:own[-1]], own - own[0], length, k)
+        found.append((a + own[0], first + own[0], many, h))
+    if not found:
+        z = np.zeros(0, "int64")
+        return z, z, z, z.astype("u8")
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _anchors(data: bytes, offsets, length: int, k: int):
+    import numpy as np
+
     w, n = length - k + 1, len(data)
-    offsets = np.asarray(offsets, "int64")
-    lasts = np.maximum(offsets[1:] - length + 1, offsets[:-1])  # one past the last suffix of each document
-    many = lasts - offsets[:-1]
-    if not many.sum():
+    valid = np.zeros(n + 1, "int8")  # suffixes with ``length`` bytes before their document ends
+    starts, lasts = offsets[:-1], offsets[1:] - length + 1
+    long = lasts > starts
+    if not long.any():
         z = np.zeros(0, "int64")
         return z, z, z, z.astype("u8")
+    valid[starts[long]] += 1
+    valid[lasts[long]] -= 1
     word = words_at(data)
     m = n - k + 1
     h = word[:m] * np.uint64(0x9E3779B97F4A7C15)
@@ -90,12 +117,14 @@ def anchors(data: bytes, offsets, length: int, k: int):
     h ^= h >> np.uint64(32)
     # 24 bits of the hash choose, the position below them makes the leftmost win
     key = np.full(-(-m // w) * w, np.uint64(2**64 - 1))
-    key[:m] = (h & np.uint64(0xFFFFFF << 40)) | np.arange(m, dtype="u8")
+    np.bitwise_and(h, np.uint64(0xFFFFFF << 40), out=key[:m])
+    key[:m] |= np.arange(m, dtype="u8")
     rows = key.reshape(-1, w)
     before = np.minimum.accumulate(rows, axis=1).ravel()
     after = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    start = np.repeat(offsets[:-1] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-    anchor = (np.minimum(after[start], before[start + w - 1]) & np.uint64((1 << 40) - 1)).astype("int64")
+    low = np.minimum(after[:n - length + 1], before[w - 1:w - 1 + n - length + 1])
+    start = np.flatnonzero(np.cumsum(valid[:n - length + 1]))
+    anchor = (low[start] & np.uint64((1 << 40) - 1)).astype("int64")
     first = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1])
     runs = np.diff(np.concatenate([first, [len(anchor)]]))
     a = anchor[first]
@@ -297,7 +326,14 @@ def _facts(b, i):
     return a, first, many, code
 
 
-def _send_contested(batches, length):
+_CONTESTED = ("chunk long, bucket int, at array<int>, key array<long>, anchor array<long>, before array<int>, "
+              "context array<binary>, gram array<binary>")
+
+
+def _send_contested(batches, length, buckets):
+    """A chunk's contested contexts, one row for each bucket they go to."""
+    import zlib
+
     import numpy as np
     import pyarrow as pa
 
@@ -305,16 +341,25 @@ def _send_contested(batches, length):
         for i in range(b.num_rows):
             a, first, many, code = _facts(b, i)
             data, offsets = b.column("data")[i].as_py(), np.asarray(b.column("offsets").slice(i, 1).flatten())
-            keys = [-2**63 if x is None else x for x in b.column("keys").slice(i, 1).flatten().to_pylist()]
+            keys = np.array([-2**63 if x is None else x for x in b.column("keys").slice(i, 1).flatten().to_pylist()], "i8")
             at = np.flatnonzero(code == CONTESTED)
-            doc = (np.searchsorted(offsets, a[at], side="right") - 1).tolist()
-            chunk = b.column("chunk")[i].as_py()
+            bucket = np.array([zlib.crc32(data[p:p + 16]) % buckets for p in a[at].tolist()], "int64")
+            at = at[np.argsort(bucket, kind="stable")]
+            bucket = np.sort(bucket)
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(at)]])[:None if len(at) else 1]
+            lists = pa.array(cuts, pa.int32())
+            key = keys[np.searchsorted(offsets, a[at], side="right") - 1] if len(at) else keys[:0]
+
+            def column(values, kind):
+                return pa.ListArray.from_arrays(lists, pa.array(values, kind))
+
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array([keys[d] for d in doc], pa.int64()),
-                 pa.array(a[at], pa.int64()), pa.array(a[at] - first[at], pa.int32()),
-                 pa.array([data[s:s + n + length - 1] for s, n in zip(first[at].tolist(), many[at].tolist())], pa.binary()),
-                 pa.array([data[p:p + 16] for p in a[at].tolist()], pa.binary())],
-                names=["chunk", "at", "key", "anchor", "before", "context", "gram"])
+                [pa.array([b.column("chunk")[i].as_py()] * (len(cuts) - 1), pa.int64()),
+                 pa.array(bucket[cuts[:-1]], pa.int32()), column(at, pa.int32()), column(key, pa.int64()),
+                 column(a[at], pa.int64()), column(a[at] - first[at], pa.int32()),
+                 column([data[s:s + n + length - 1] for s, n in zip(first[at].tolist(), many[at].tolist())], pa.binary()),
+                 column([data[p:p + 16] for p in a[at].tolist()], pa.binary())],
+                names=["chunk", "bucket", "at", "key", "anchor", "before", "context", "gram"])
 
 
 def cover_table():
@@ -330,67 +375,123 @@ def cover_table():
     return both.argmax(axis=2), member
 
 
-def sort_suffixes(data: bytes, positions, groups, length: int, block: int = 1 << 20):
-    """Order of the suffixes at ``positions`` by (group, first ``length`` bytes), as blocks of whole groups.
-
-    Yields (indices in order, True where a suffix agrees with the one before on
-    group and ``length`` bytes).  Suffixes that agree may come in any order.
-    """
+def _cover_ranks(word, positions, member, length: int):
+    """Ranks, by ``length`` bytes, of the sampled positions that suffixes at ``positions`` can ask for."""
     import numpy as np
 
-    shift, member = cover_table()
-    n = len(data)
-    word = np.concatenate([words_at(data).byteswap(), np.zeros(length + V + 72, "u8")])
+    n = len(word)
+    asked = np.zeros(n + 1, "int32")
+    np.add.at(asked, positions, 1)
+    np.add.at(asked, positions + V, -1)
+    at = np.flatnonzero(np.cumsum(asked)[:-1] > 0)
+    sample = at[member[at % V]]
     depth = range(0, length, 8)
-    sample = np.flatnonzero(member[np.arange(n + V) % V])
     by = np.lexsort([word[sample + o] for o in reversed(depth)])
-    rank = np.zeros(n + V, "int32")
     differs = np.zeros(len(by), bool)
     for o in depth:
         x = word[sample[by] + o]
         differs[1:] |= x[1:] != x[:-1]
+    rank = np.zeros(n, "int32")
     rank[sample[by]] = np.cumsum(differs)
+    return rank
+
+
+def _resolve_ties(order, p, tie, word, length: int) -> None:
+    """Put ties (numbered by ``tie``, in order) in the order of their cover ranks, in place.
+
+    All ties are partitioned at once, three ways around one pivot each.
+    """
+    import numpy as np
+
+    shift, member = cover_table()
+    slots = np.flatnonzero(tie >= 0)
+    part = tie[slots]
+    rank = _cover_ranks(word, p[slots], member, length)
+    x, own = p[slots], order[slots]
+    while len(slots):
+        heads = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
+        sizes = np.diff(np.concatenate([heads, [len(part)]]))
+        pivot = np.repeat(x[heads + sizes // 2], sizes)
+        d = shift[pivot % V, x % V]
+        side = np.sign(rank[x + d] - rank[pivot + d])
+        again = np.argsort(part * 3 + side, kind="stable")
+        x, own, side = x[again], own[again], side[again]
+        label = np.concatenate([[0], np.cumsum((np.diff(part) != 0) | (np.diff(side) != 0))])
+        go = (side != 0) & (np.bincount(label)[label] > 1)
+        done = ~go
+        order[slots[done]], p[slots[done]] = own[done], x[done]
+        slots, part, x, own = slots[go], label[go], x[go], own[go]
+
+
+def sort_suffixes(data: bytes, positions, groups, length: int, block: int = 1 << 20):
+    """Order of the suffixes at ``positions`` by (group, first ``length`` bytes), as blocks of whole groups.
+
+    Yields (indices in order, True where a suffix agrees with the one before on
+    group and ``length`` bytes).  Suffixes that agree may come in any order.
+    """
+    import numpy as np
+
+    word = np.concatenate([words_at(data).byteswap(), np.zeros(length + V + 72, "u8")])
     whole = np.argsort(groups, kind="stable")
     ends = np.concatenate([np.flatnonzero(np.diff(groups[whole])) + 1, [len(whole)]])
+
+    def agree(x, y, start):
+        """Same bytes from ``start`` up to ``length``?"""
+        same = np.ones(len(x), bool)
+        for o in range(start, length, 8):
+            a, b = word[x + o], word[y + o]
+            if o + 8 > length:
+                cut = np.uint64(8 * (o + 8 - length))
+                a, b = a >> cut, b >> cut
+            same &= a == b
+        return same
+
     start = 0
     while start < len(whole):
         stop = int(ends[max(np.searchsorted(ends, start + block, side="right") - 1, np.searchsorted(ends, start, side="right"))])
         mine = whole[start:stop]
         start = stop
         pos, group = positions[mine], groups[mine]
-        order = np.lexsort([word[pos + o] for o in (56, 48, 40, 32, 24, 16, 8, 0)] + [group])
+        order = np.lexsort([word[pos + o] for o in range(min(56, (length - 1) // 8 * 8), -8, -8)] + [group])
         p, g = pos[order], group[order]
-        tied = g[1:] == g[:-1]
-        for o in range(0, 64, 8):
-            tied &= word[p[1:] + o] == word[p[:-1] + o]
-        tie = np.concatenate([[0], np.cumsum(~tied)])
-        size = np.bincount(tie)[tie]
-        slots = np.flatnonzero(size > 1)
-        part = tie[slots]
-        while len(slots):  # three-way partition of all ties at once around one pivot each
-            heads = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
-            sizes = np.diff(np.concatenate([heads, [len(part)]]))
-            x = p[slots]
-            pivot = np.repeat(x[heads + sizes // 2], sizes)
-            d = shift[pivot % V, x % V]
-            side = np.sign(rank[x + d] - rank[pivot + d])
-            again = np.lexsort((side, part))
-            order[slots], side = order[slots][again], side[again]
-            p = pos[order]
-            label = np.concatenate([[0], np.cumsum((np.diff(part) != 0) | (np.diff(side) != 0))])
-            go = (side != 0) & (np.bincount(label)[label] > 1)
-            slots, part = slots[go], label[go]
-        agrees = np.zeros(len(order), bool)
-        if len(order) > 1:
-            same = g[1:] == g[:-1]
-            for o in depth:
-                x, y = word[p[1:] + o], word[p[:-1] + o]
-                if o + 8 > length:
-                    cut = np.uint64(8 * (o + 8 - length))
-                    x, y = x >> cut, y >> cut
-                same &= x == y
-            agrees[1:] = same
-        yield mine[order], agrees
+        # (a word that reaches past ``length`` only orders suffixes that agree)
+        near = g[1:] == g[:-1]
+        tied = near & agree(p[1:], p[:-1], 0) if length <= 64 else near.copy()
+        if length > 64:
+            for o in range(0, 64, 8):
+                tied &= word[p[1:] + o] == word[p[:-1] + o]
+            agrees = tied.copy()
+            agrees[tied] = agree(p[1:][tied], p[:-1][tied], 64)
+            # ties that all agree are one class; the others need an order
+            tie = np.concatenate([[0], np.cumsum(~tied)])
+            mixed = np.bincount(tie[1:], weights=tied & ~agrees, minlength=tie[-1] + 1) > 0
+            if mixed.any():
+                _resolve_ties(order, p, np.where(mixed[tie], tie, -1), word, length)
+                again = np.flatnonzero(mixed[tie[1:]] & tied)
+                agrees[again] = agree(p[again + 1], p[again], 64)
+        else:
+            agrees = tied
+        yield mine[order], np.concatenate([[False], agrees])
+
+
+def _hash_repeats(data: bytes, positions, groups, length: int):
+    """False where a suffix cannot agree with another of its group: its rolling hash is the only one."""
+    import numpy as np
+
+    base = 0x9E3779B97F4A7C15
+    n = len(data)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(n, base, "u8"))
+        sums = np.concatenate([np.zeros(1, "u8"), np.cumsum((np.frombuffer(data, "u1").astype("u8") + np.uint64(1)) * power)])
+        back = np.cumprod(np.full(n, pow(base, -1, 1 << 64), "u8"))
+        h = (sums[positions + length] - sums[positions]) * back[positions]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + groups.astype("u8") * np.uint64(0xBF58476D1CE4E5B9)
+    order = np.argsort(h, kind="stable")
+    same = h[order][1:] == h[order][:-1]
+    out = np.zeros(len(h), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
 
 
 def _sort_bucket(length, t):
@@ -398,26 +499,32 @@ def _sort_bucket(length, t):
     import numpy as np
     import pyarrow as pa
 
-    blobs = t.column("context").to_pylist()
-    key, chunk, anchor, before = (np.asarray(t.column(c)) for c in ("key", "chunk", "anchor", "before"))
+    t = t.combine_chunks()
+    rows = np.asarray(t.column("at").chunk(0).value_lengths(), "int64")
+    at_, key, anchor, before = (np.asarray(t.column(c).chunk(0).flatten()) for c in ("at", "key", "anchor", "before"))
+    chunk = np.repeat(np.asarray(t.column("chunk")), rows)
+    blobs = t.column("context").chunk(0).flatten().to_pylist()
     sizes = np.array([len(x) for x in blobs])
     many = sizes - length + 1
     base = np.cumsum(sizes) - sizes
     rank = np.empty(len(key), "int64")
     rank[np.lexsort((anchor, chunk, key))] = np.arange(len(key))
-    _, gram = np.unique(np.array(t.column("gram").to_pylist(), "S16"), return_inverse=True)
+    _, gram = np.unique(np.array(t.column("gram").chunk(0).flatten().to_pylist(), "S16"), return_inverse=True)
     of = np.repeat(np.arange(len(key)), many)
     step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
     groups = gram[of] * (length + 1) + (before[of] - step)  # the anchor and how far it is ahead
+    positions = base[of] + step
+    data = b"".join(blobs)
     gone = np.zeros(len(of), bool)
-    for order, agrees in sort_suffixes(b"".join(blobs), base[of] + step, groups, length):
+    may = np.flatnonzero(_hash_repeats(data, positions, groups, length))
+    for order, agrees in sort_suffixes(data, positions[may], groups[may], length) if len(may) else ():
         heads = np.flatnonzero(~agrees)
-        mine = rank[of[order]]
+        mine = rank[of[may[order]]]
         low = np.minimum.reduceat(mine, heads)[np.cumsum(~agrees) - 1]
-        gone[order] = mine != low
+        gone[may[order]] = mine != low
     at = np.concatenate([[0], np.cumsum(many)])
-    hit = np.flatnonzero(np.add.reduceat(gone, at[:-1]) > 0) if len(gone) else []
-    return pa.table({"chunk": t.column("chunk").take(pa.array(hit, pa.int64())), "at": t.column("at").take(pa.array(hit, pa.int64())),
+    hit = np.flatnonzero(np.add.reduceat(gone.astype("int64"), at[:-1]) > 0)
+    return pa.table({"chunk": pa.array(chunk[hit], pa.int64()), "at": pa.array(at_[hit], pa.int32()),
                      "bits": pa.array([np.packbits(gone[at[j]:at[j + 1]]).tobytes() for j in hit], pa.binary())})
 
 
@@ -458,20 +565,18 @@ def _gone(b, i, length):
         gone[s:s + n] = np.unpackbits(np.frombuffer(x["bits"], "u1"), count=n) != 0
     if "firsts" in b.schema.names:
         gone[[x["pos"] for x in b.column("firsts")[i].as_py() or []]] = False
-    cover = np.zeros(size + 1, "int32")
-    at = np.flatnonzero(gone)
-    np.add.at(cover, at, 1)
-    np.add.at(cover, np.minimum(at + length, size), -1)
-    return np.cumsum(cover)[:size] > 0
+    upto = np.concatenate([[0], np.cumsum(gone)])  # a byte goes if one of ``length`` suffixes up to it does
+    return upto[1:] > upto[np.maximum(np.arange(1, size + 1) - length, 0)]
 
 
 def _finish(docs: DataFrame, key: str, text: str, make, schema: str, store, length: int = 100, k: int = 20,
-            chunk_bytes: int = 4 << 20, bucket_anchors: int = 1 << 20, bucket_bytes: int = 16 << 20,
-            hot: int = 200_000) -> DataFrame:
+            chunk_bytes: int = 4 << 20, bucket_anchors: int = 1 << 20, bucket_bytes: int = 1 << 20,
+            hot: int = 50_000) -> DataFrame:
     if not 16 <= k <= length - 8:
         raise ValueError("16 <= k <= length - 8")
     spark = docs.sparkSession
     checkpoint_dir(spark)
+    rows_per_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     chunks, name, total = _chunk_table(docs, key, text, chunk_bytes)
     try:
         expected = 2 * total // (length - k + 2)
@@ -491,13 +596,11 @@ def _finish(docs: DataFrame, key: str, text: str, make, schema: str, store, leng
             _by_chunk(ranked.select("chunk", "bucket", "codes"), "codes"), "chunk", "left")
         known = spill_table(own, "suffix-codes")
         coded = _join(chunks, known)
-        contested = coded.mapInArrow(
-            lambda it: _send_contested(it, length),
-            "chunk long, at int, key long, anchor long, before int, context binary, gram binary")
         # contexts of an anchor meet in one bucket; a bucket holds some MB of them
         buckets = max(16, total // (4 * bucket_bytes))
-        bits_found = pin(contested.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int"))
-                         .groupBy("bucket").applyInArrow(lambda t: _sort_bucket(length, t), "chunk long, at int, bits binary"))
+        contested = coded.mapInArrow(lambda it: _send_contested(it, length, buckets), _CONTESTED)
+        bits_found = pin(contested.groupBy("bucket").applyInArrow(lambda t: _sort_bucket(length, t),
+                                                                  "chunk long, at int, bits binary"))
         coded = _join(coded, _by_chunk(bits_found, "bits"))
         if ranked.where("hot").limit(1).count():
             suffixes = _join(chunks, known).mapInArrow(lambda it: _send_hot(it, length),
@@ -506,6 +609,7 @@ def _finish(docs: DataFrame, key: str, text: str, make, schema: str, store, leng
             coded = _join(coded, _by_chunk(pin(firsts), "firsts"))
         return store(coded.mapInArrow(lambda it: make(it, length), schema))
     finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
         with contextlib.suppress(Exception):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
