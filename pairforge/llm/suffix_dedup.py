@@ -171,7 +171,8 @@ def _chunk_table(docs: DataFrame, key: str, text: str, chunk_bytes: int) -> tupl
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).cast("binary").alias("__text"), *others)
     chunks = rows.mapInArrow(run, "chunk long, keys array<long>, offsets array<long>, data binary, rest binary")
-    buckets = max(8, docs.rdd.getNumPartitions())
+    # with fewer buckets than shuffle partitions a join would deal the texts anew
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     name = f"suffix_chunks_{uuid.uuid4().hex[:12]}"
     (chunks.repartition(buckets, "chunk").write.format("parquet").option("compression", "zstd")
      .bucketBy(buckets, "chunk").saveAsTable(name))
