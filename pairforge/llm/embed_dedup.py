@@ -9,6 +9,15 @@ row with its ``window`` predecessors of the same pass.  Pairs whose cosine in do
 precision reaches the threshold are verified links; a block emits a spanning forest of
 them, and their union over all passes gives classes.
 
+Windows miss more pairs the longer or the more crowded the table is.  So further passes
+compare, with every other row of its key, each row that is not yet in the same class: no
+window, so a pair is missed only if its keys differ in all passes.  Two vectors at the
+threshold agree on a sign with p = 1 - arccos(threshold) / pi whatever lies around them,
+so ceil(ln(1 - recall) / ln(1 - p ** k)) passes of k signs find a pair with at least
+``recall``.  k is the cheapest by the row count and by the density of a sample's keys;
+k = 0 compares all pairs, so small tables and those in one crowd are exact.  Keys with
+many rows are compared by pairs of blocks.
+
 Link counts are exact inside a class: members are compared block by block with the
 other members of their class (never with vectors outside), so a window does not cap
 the number of partners.  These comparisons also rest on verified cosines only.
@@ -21,8 +30,11 @@ name; an empty table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairforge.llm.common import global_rank, parts_for, pin
 from pairforge.llm.graph import components
@@ -48,6 +60,7 @@ def _unit(column):
 
 
 def _keys(batches, passes: int, bits: int, seed: int):
+    """The other columns, the dimension and one key of ``bits`` signs for each pass."""
     import numpy as np
     import pyarrow as pa
 
@@ -60,11 +73,14 @@ def _keys(batches, passes: int, bits: int, seed: int):
             d = m.shape[1]
             if d not in planes:
                 planes[d] = np.random.default_rng([seed, d]).standard_normal((d, passes * bits))
-            sign = (m @ planes[d] > 0).reshape(len(rows), passes, bits)
-            out[rows] = sign @ weight
+            step = max(1, 480 // max(1, bits))  # passes at once: bounds the signs in memory
+            for at in range(0, passes, step):
+                some = planes[d][:, at * bits:(at + step) * bits]
+                out[rows, at:at + step] = (m @ some > 0).reshape(len(rows), min(step, passes - at), bits) @ weight
             dim[rows] = d
+        others = [c for c in b.schema.names if c != "vector"]
         yield pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.array(dim), pa.array(list(out), pa.list_(pa.int64()))], names=["id", "dim", "keys"])
+            [*map(b.column, others), pa.array(dim), pa.array(list(out), pa.list_(pa.int64()))], names=[*others, "dim", "keys"])
 
 
 def _windows(window: int, threshold: float):
@@ -114,6 +130,83 @@ def _forest(pairs):
     return pairs[:, np.array(kept, "int64")]
 
 
+def passes_for(bits: int, threshold: float, recall: float) -> int:
+    """Passes of ``bits`` signs after which a pair at ``threshold`` has shared a key with probability ``recall``."""
+    agree = (1 - math.acos(threshold) / math.pi) ** bits
+    return 1 if agree >= recall else math.ceil(math.log(1 - recall) / math.log1p(-agree))
+
+
+def cheapest_bits(dim, key, cls, bits: int, n: int, threshold: float, recall: float, block: int) -> int:
+    """Signs of a key that cost least for ``n`` rows of which ``dim``, ``key`` (``bits`` signs) and ``cls`` are a sample.
+
+    Costs are counted in cosines; a row sent to a block costs about as much as 1,500 of them.
+    The sample steers the cost only: the number of passes keeps the recall for any k.
+    """
+    import numpy as np
+
+    def sizes(*columns):
+        return np.unique(np.stack(columns), axis=1, return_counts=True)[1]
+
+    scale, cost = n / max(1, len(key)), []
+    for k in range(bits + 1):
+        prefix = key >> (bits - k)
+        rows, same = sizes(dim, prefix), sizes(dim, prefix, cls)
+        pairs = scale * scale * ((rows * (rows - 1)).sum() - (same * (same - 1)).sum()) / 2
+        sent = (scale * rows * np.ceil(scale * rows / block)).sum()
+        cost.append(passes_for(k, threshold, recall) * (1500 * sent + pairs))
+    return int(np.argmin(cost))
+
+
+def _crossings(threshold: float):
+    """Classes joined by links between block ``x`` and block ``y`` of one key: a spanning forest of them."""
+
+    def run(t):
+        import numpy as np
+        import pyarrow as pa
+
+        t = t.combine_chunks().sort_by("cls")
+        names, cls = np.unique(np.asarray(t.column("cls")), return_inverse=True)
+        left, right = np.asarray(t.column("left")), np.asarray(t.column("right"))
+        found = [np.zeros((2, 0), "int64")]
+        for rows, m in _unit(t.column("vector").chunk(0)):
+            x, every = np.flatnonzero(left[rows]), np.flatnonzero(right[rows])
+            for at in range(0, len(x), 1024):
+                part, y = x[at:at + 1024], every
+                a = cls[rows[part]]
+                if a[0] == a[-1]:  # one class (rows are in its order) has no news of itself
+                    y = y[cls[rows[y]] != a[0]]
+                b = cls[rows[y]]
+                i, j = np.nonzero((m[part] @ m[y].T >= threshold) & (a[:, None] != b[None, :]))
+                code = np.unique(np.maximum(a[i], b[j]) * len(names) + np.minimum(a[i], b[j]))
+                found.append(_forest(np.stack([code // len(names), code % len(names)])))
+        pair = _forest(np.concatenate(found, axis=1))
+        return pa.table({"a": names[pair[0]], "b": names[pair[1]]})
+
+    return run
+
+
+def _missed(known: DataFrame, threshold: float, recall: float, bits: int, block: int, seed: int, sample: int = 65_536) -> DataFrame:
+    """Links (a, b) between classes of ``known`` (id, cls, vector; ids are ranks by a hash, so the first are a sample)."""
+    spark, n = known.sparkSession, known.count()
+    schema = "id long, cls long, dim int, keys array<long>"
+    pilot = (known.where(F.col("id") < sample).mapInArrow(lambda it: _keys(it, 1, bits, seed + 1), schema)
+             .select("dim", F.col("keys")[0].alias("key"), "cls").toArrow())
+    k = cheapest_bits(*(c.to_numpy() for c in pilot.columns), bits, n, threshold, recall, block)
+    passes = passes_for(k, threshold, recall)
+    keyed = known.mapInArrow(lambda it: _keys(it, passes, k, seed + 2), schema)
+    rows = pin(keyed.select("id", "cls", "dim", F.posexplode("keys").alias("pass", "key")))
+    of = ["pass", "dim", "key"]
+    # a key all of one class has nothing to tell
+    split = rows.groupBy(*of).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n"), F.min("cls").alias("low"),
+                                  F.max("cls").alias("high")).where("low < high").drop("low", "high")
+    own = F.pmod(F.xxhash64("id"), F.col("n")).cast("int")
+    dealt = rows.join(split, of).select("id", *of, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+    sent = dealt.select("id", *of, F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own")
+    sent = sent.join(known, "id").select(*of, "x", "y", "cls", "vector", (F.col("own") == F.col("x")).alias("left"),
+                                         (F.col("own") == F.col("y")).alias("right"))
+    return sent.groupBy(*of, "x", "y").applyInArrow(_crossings(threshold), "a long, b long")
+
+
 def _degrees(threshold: float):
     """One class block: copies linked to each vector of block ``x`` among those of block ``y``."""
 
@@ -138,11 +231,13 @@ def _degrees(threshold: float):
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9,
-                    passes: int = 12, bits: int = 40, window: int = 24, block: int = 4096, seed: int = 7) -> DataFrame:
-    """(key, n_links, component_id, kept) of every row."""
+                    passes: int = 12, bits: int = 40, window: int = 24, block: int = 4096, seed: int = 7,
+                    recall: float = 0.999) -> DataFrame:
+    """(key, n_links, component_id, kept) of every row; a link is found with probability ``recall`` at least."""
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    v = vectors.select(F.col(key).alias("__key"), F.col(vector).cast("array<double>").alias("vector"))
+    kind = "array<float>" if vectors.schema[vector].dataType == T.ArrayType(T.FloatType()) else "array<double>"  # half the bytes
+    v = vectors.select(F.col(key).alias("__key"), F.col(vector).cast(kind).alias("vector"))
     v = pin(v.withColumn("ok", _valid(F.col("vector"))))
     good = v.where("ok")
     # equal vectors meet in one row; its id is a rank, so names of any kind will do
@@ -162,7 +257,14 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     placed = placed.withColumn("halo", F.col("home") != F.col("block")).drop("home")
     edges = (placed.join(distinct.select("id", "vector"), "id").groupBy("block")
              .applyInArrow(_windows(window, threshold), "a long, b long"))
-    linked = components(edges)
+    near = components(edges)
+    known = distinct.select("id", "vector").join(near.withColumnRenamed("node", "id"), "id", "left")
+    known = pin(known.select("id", F.coalesce("component", "id").alias("cls"), "vector"))
+    joined = components(_missed(known, threshold, recall, bits, block, seed)).withColumnRenamed("node", "cls")
+    moved = known.select("id", "cls").join(joined, "cls", "left").select("id", F.coalesce("component", "cls").alias("component"))
+    moved = moved.where("id <> component")  # a class is named by its smallest id
+    linked = moved.withColumnRenamed("id", "node").union(
+        moved.select(F.col("component").alias("node"), "component").distinct())
     members = pin(distinct.join(linked.withColumnRenamed("node", "id"), "id"))
     # Degrees inside a class, by pairs of blocks of at most about ``block`` members
     split = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / (block / 2)).cast("int").alias("n"))

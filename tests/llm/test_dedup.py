@@ -242,6 +242,42 @@ def test_embeddings_empty(spark):
     assert embed_dedup.near_duplicates(none).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"block": 256}])
+def test_embeddings_in_a_crowd(spark, options):
+    rng = np.random.default_rng(4)
+    centre = 2 * rng.standard_normal(64)
+    crowd = centre + rng.standard_normal((3000, 64))  # about 0.8 alike: no links, but neighbours in every order
+    base = crowd[:150]
+    across = rng.standard_normal(base.shape)
+    across -= (across * base).sum(1, keepdims=True) / (base * base).sum(1, keepdims=True) * base
+    unit = [m / np.linalg.norm(m, axis=1, keepdims=True) for m in (base, across)]
+    crowd = np.concatenate([crowd, 0.91 * unit[0] + np.sqrt(1 - 0.91 ** 2) * unit[1]]).astype("f4")
+    crowd = crowd[rng.permutation(len(crowd))]
+    m = crowd.astype("f8") / np.linalg.norm(crowd.astype("f8"), axis=1, keepdims=True)
+    near = (m @ m.T >= 0.9) & ~np.eye(len(m), dtype=bool)
+    assert 300 <= near.sum() < 3000
+    lab = np.arange(len(m))
+    while True:
+        new = np.minimum(lab, np.where(near, lab[None, :], len(m)).min(1))
+        if (new == lab).all():
+            break
+        lab = new
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(crowd)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(df, **options).collect()}
+    assert got == {i: (int(near[i].sum()), int(lab[i]), bool(lab[i] == i)) for i in range(len(m))}
+
+
+def test_passes_keep_the_recall_whatever_the_density():
+    rng = np.random.default_rng(5)
+    one = np.ones(60_000, "int64")
+    spread = rng.integers(0, 1 << 40, len(one))
+    bits = [embed_dedup.cheapest_bits(one, spread, np.arange(len(one)), 40, n, 0.9, 0.999, 4096) for n in (10_000, 10**6, 10**8)]
+    assert bits[0] == 0 < bits[1] < bits[2]
+    agree = 1 - np.arccos(0.9) / np.pi
+    for k in range(0, 41):
+        assert 1 - (1 - agree ** k) ** embed_dedup.passes_for(k, 0.9, 0.999) >= 0.999
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randrange(80), 100 + rng.randrange(80)) for _ in range(60)] \
