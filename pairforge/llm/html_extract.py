@@ -12,8 +12,13 @@ more).  Paths nest the valid classes into the host's template.  Hosts of fewer t
 What is between template tokens are slots, named by the innermost template element
 around them.  The host's main slot is the one with the most text outside menus,
 headers, footers, sidebars, notices, adverts, forms and comments, an article or main
-element before others.  A page's text is what its main slot holds; a page without
-text there (another layout) takes its own best slot by the same rule.
+element before others.  Without such an element an article's title, intro and body may
+be slots of their own, so the main slot is widened to the lowest template element
+around it and around all other slots with such text on ``support`` of the pages; slots
+that hold the same text on every page are template and do not widen it, unless all do.
+A page's text is all that its main slot holds outside menus and the like; a page without
+text there (another layout) takes its own article or main element, else the lowest
+element around all containers of such text.
 
 Blocks are the runs of text between block elements or line breaks; character
 references are decoded, white space in a block becomes one blank, blocks are joined
@@ -177,18 +182,28 @@ def article_root(path: str) -> str:
     return path
 
 
+def _within(path: str, root: str) -> bool:
+    return path == root or path.startswith(root + "/")
+
+
 def main_text(html: str | None, slot: str | None) -> str:
     """Text of the main slot, or of the page's own best slot where that holds none."""
     if not html:
         return ""
     blocks = [(p, t) for p, dropped, t in parse(html)[0] if not dropped]
-    own = [t for p, t in blocks if slot is not None and (p == slot or p.startswith(slot + "/"))]
+    own = [t for p, t in blocks if slot is not None and _within(p, slot)]
     if not own and blocks:
         mass: dict[str, int] = {}
         for p, t in blocks:
             mass[article_root(p)] = mass.get(article_root(p), 0) + len(t)
         best = max(sorted(mass), key=lambda p: (_weight(p), mass[p]))
-        own = [t for p, t in blocks if article_root(p) == best]
+        if _weight(best):
+            own = [t for p, t in blocks if article_root(p) == best]
+        else:  # the lowest element around all containers
+            paths = [p.split("/") for p in mass if p] or [[""]]
+            low, high = min(paths), max(paths)
+            same = next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+            own = [t for p, t in blocks if _within(p, "/".join(low[:same]))]
     return "\n".join(own)
 
 
@@ -197,6 +212,8 @@ def main_slots(pages: DataFrame, key: str = "page_id", html: str = "html", suppo
     """((host, slot) for hosts with a template of their own, the whole table's slot); ``pages`` has column host."""
 
     def run(batches):
+        import zlib
+
         import pyarrow as pa
 
         for b in batches:
@@ -204,23 +221,26 @@ def main_slots(pages: DataFrame, key: str = "page_id", html: str = "html", suppo
             for i, h in enumerate(b.column(2).to_pylist()):
                 blocks, opened = parse(h or "")
                 chars: dict[str, int] = {}
+                texts: dict[str, int] = {}
                 for p, dropped, t in blocks:
                     if not dropped:
                         chars[p] = chars.get(p, 0) + len(t)
+                        texts[p] = zlib.crc32((t + "\n").encode("utf-8", "surrogatepass"), texts.get(p, 0))
                 for p in sorted({*opened, *chars}):
-                    rows.append((i, p, opened.get(p, 0), chars.get(p, 0)))
-            at, path, n, c = zip(*rows) if rows else ((), (), (), ())
+                    rows.append((i, p, opened.get(p, 0), chars.get(p, 0), texts.get(p)))
+            at, path, n, c, x = zip(*rows) if rows else ((), (), (), (), ())
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(take), b.column(1).take(take), pa.array(path, pa.string()), pa.array(n, pa.int64()),
-                 pa.array(c, pa.int64())], names=["host", "page", "path", "n", "chars"])
+                 pa.array(c, pa.int64()), pa.array(x, pa.int64())], names=["host", "page", "path", "n", "chars", "text"])
 
     per_page = pages.select("host", F.xxhash64(F.col(key)).alias("page"), html).mapInArrow(
-        run, "host string, page long, path string, n long, chars long")
+        run, "host string, page long, path string, n long, chars long, text long")
     # one row per host and path: signature of the occurrence vector, support, text
     tokens = pin(per_page.groupBy("host", "path").agg(
         F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("signature"),
-        F.count(F.lit(1)).alias("support"), F.sum("n").alias("n"), F.sum("chars").alias("chars")))
+        F.count(F.lit(1)).alias("support"), F.sum("n").alias("n"), F.sum("chars").alias("chars"),
+        F.count("text").alias("held"), F.min("text").alias("low"), F.max("text").alias("high")))
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
 
     def slots(tokens, sizes):
@@ -228,32 +248,48 @@ def main_slots(pages: DataFrame, key: str = "page_id", html: str = "html", suppo
         of_class = Window.partitionBy("host", "signature", "support")
         template = (frequent.withColumn("__size", F.count(F.lit(1)).over(of_class)).where(F.col("__size") >= size)
                     .select("host", F.col("path").alias("prefix"), F.lit(True).alias("valid")))
-        texts = tokens.where("chars > 0").select("host", "path", "chars")
+        # text that is the same on all pages of a frequent path is the template's own
+        usual = F.col("held") >= support * F.col("pages")
+        varies = (F.col("low") != F.col("high")) | ~usual | (F.col("pages") < 2)
+        texts = tokens.where("chars > 0").join(sizes, "host").select("host", "path", "chars", "held", "pages", varies.alias("varies"))
         parts = F.split("path", "/")
-        nested = texts.select("host", "path", "chars", F.explode(F.transform(
+        carried = ["chars", "held", "pages", "varies"]
+        nested = texts.select("host", "path", *carried, F.explode(F.transform(
             F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).alias("prefix"))
         known = nested.join(template, ["host", "prefix"], "left")
         valid = F.coalesce("valid", F.col("prefix") == "")
         depth = F.length("prefix")
         first_gap = F.min(F.when(~valid, depth))
-        inner = known.groupBy("host", "path", "chars").agg(
+        inner = known.groupBy("host", "path", *carried).agg(
             first_gap.alias("gap"), F.sort_array(F.collect_list(F.struct(depth.alias("d"), "prefix"))).alias("all"))
         slot = F.element_at(F.filter("all", lambda x: F.col("gap").isNull() | (x["d"] < F.col("gap"))), -1)["prefix"]
-        weighed = inner.select("host", F.coalesce(slot, F.lit("")).alias("slot"), "path", "chars")
+        weighed = inner.select("host", F.coalesce(slot, F.lit("")).alias("slot"), "path", *carried)
         tag = r"(^|/)%s([.#/]|$)"
         cut = F.when(F.col("slot").rlike(tag % "article"), F.regexp_extract("slot", r"^(.*?/article[^/]*)", 1)).when(
             F.col("slot").rlike(tag % "main"), F.regexp_extract("slot", r"^(.*?/main[^/]*)", 1)).otherwise(F.col("slot"))
         weight = F.when(cut.rlike(tag % "article"), 2).when(cut.rlike(tag % "main"), 1).otherwise(0)
-        mass = weighed.select("host", cut.alias("slot"), weight.alias("w"), "chars").groupBy("host", "slot", "w").agg(
-            F.sum("chars").alias("chars"))
+        mass = weighed.select("host", cut.alias("slot"), weight.alias("w"), *carried).groupBy("host", "pages", "slot", "w").agg(
+            F.sum("chars").alias("chars"), F.sum("held").alias("held"), F.max("varies").alias("varies"))
         first = F.struct(-F.col("w"), -F.col("chars"), F.col("slot"))
-        return mass.groupBy("host").agg(F.min_by("slot", first).alias("slot"))
+        # steps that the first and the last of some paths share are shared by all
+        steps = F.split("slot", "/")
+        plain = F.when((F.col("w") == 0) & usual, steps)
+        best = mass.groupBy("host").agg(
+            F.min_by("slot", first).alias("slot"), F.max("w").alias("w"),
+            F.min(F.when(F.col("varies"), plain)).alias("low"), F.max(F.when(F.col("varies"), plain)).alias("high"),
+            F.min(plain).alias("any_low"), F.max(plain).alias("any_high"))
+        best = best.select("host", "slot", "w", F.least(F.coalesce("low", "any_low"), steps).alias("low"),
+                           F.greatest(F.coalesce("high", "any_high"), steps).alias("high"))
+        short = F.least(F.size("low"), F.size("high"))
+        apart = F.filter(F.sequence(F.lit(0), short - 1), lambda i: F.get("low", i) != F.get("high", i))
+        wide = F.array_join(F.slice("low", 1, F.coalesce(F.array_min(apart), short)), "/")
+        return best.select("host", F.when(F.col("w") == 0, wide).otherwise(F.col("slot")).alias("slot"))
 
     own = slots(tokens, sizes.where(F.col("pages") >= min_pages)).join(
         sizes.where(F.col("pages") >= min_pages).select("host"), "host", "left_semi")
     whole = tokens.groupBy(F.lit("").alias("host"), "path").agg(
         F.sum("signature").alias("signature"), F.sum("support").alias("support"), F.sum("n").alias("n"),
-        F.sum("chars").alias("chars"))
+        F.sum("chars").alias("chars"), F.sum("held").alias("held"), F.min("low").alias("low"), F.max("high").alias("high"))
     all_pages = sizes.agg(F.sum("pages").alias("pages")).select(F.lit("").alias("host"), F.coalesce("pages", F.lit(0)).alias("pages"))
     found = slots(whole, all_pages).first()
     return own, found["slot"] if found else None

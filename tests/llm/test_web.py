@@ -59,6 +59,32 @@ def test_extraction_over_hosts(spark):
     assert html_extract.extract(none).count() == 0
 
 
+def test_extraction_of_articles_in_sibling_slots(spark):
+    rng = random.Random(8)
+    top, end = '<div class="logo">The Site</div>', '<div class="legal">All rights of this site and its many long texts</div>'
+    shapes = {
+        "post.example.org": '<div class="post"><h1>{}</h1><div class="intro"><p>{}</p></div><div class="body"><p>{}</p></div></div>',
+        "flat.example.org": '<h1>{}</h1><div class="intro">{}</div><div class="body"><p>{}</p></div>',
+        "apart.example.org": '<div id="page"><div class="title"><h1>{}</h1></div><div class="lead">{}</div><div class="text"><p>{}</p></div></div>',
+        "alone.example.org": '<div class="box"><h1>{}</h1><div class="a">{}</div><div class="b"><p>{}</p></div></div>',
+    }
+    rows, want = [], {}
+    for host, shape in shapes.items():
+        for i in range(1 if host.startswith("alone") else 6):
+            parts = [prose(rng, n) for n in (3, 10, 80)]
+            sides = host.startswith(("post", "apart"))
+            related = f'<div class="related">{prose(rng, 200)}</div>'
+            body = (top if sides else "") + shape.format(*parts) + related + (end if sides else "")
+            rows.append((len(rows), f"https://{host}/{i}", f"<html><body>{body}</body></html>"))
+            want[rows[-1][0]] = "\n".join(parts)
+    for _ in range(3):  # the same page again and again
+        rows.append((len(rows), "https://same.example.org/", "<html><body>" + shapes["post.example.org"].format("T", "A", "B") + "</body></html>"))
+        want[rows[-1][0]] = "T\nA\nB"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == want
+    assert html_extract.main_text("<body>" + shapes["alone.example.org"].format("T", "A", "B") + "</body>", "/elsewhere") == "T\nA\nB"
+
+
 # 9. URLs
 
 RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
