@@ -13,7 +13,8 @@ and at most ``hosts`` further bins with the most room, and emits the rest: a mer
 task reads at most ``fan_in * (hosts + 1)`` bins at any input size, and no row is
 dropped.
 
-Edge cases: a null or empty text is one piece that holds only the end id; rows
+Edge cases: the tokenizer's added tokens (its special token among them) are one id where
+their string is in a text, as by the library's default; a null or empty text is one piece that holds only the end id; rows
 that repeat are packed as often as they come; ties in length go by key, piece and
 checksum; an empty table gives an empty one; other columns are ignored.
 """
@@ -45,19 +46,28 @@ class Tokens:
 
     The tokenizer's pre-tokenizer always cuts before a blank that a non-white
     character follows, so ids of the chunks between such cuts concatenate.
+
+    With ``added`` the strings of added tokens are these tokens, as by the library's
+    default: texts are cut around them first, and what is between is chunked.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000, added: bool = False):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # of chunks, which hold none or hold them as ordinary text
+        tokens = self.tokenizer.get_added_tokens_decoder() if added else {}
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()}
+        # at one place the longest goes first
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if tokens else None
+        # tokens that take white space with them, need word ends or see other text: left to the library
+        self.whole = Tokenizer.from_file(path) if self.tokenizer.normalizer is not None or any(
+            t.lstrip or t.rstrip or t.single_word for t in tokens.values()) else None
         vocab = self.tokenizer.get_vocab()
-        import numpy as np
-
         self.sizes = np.zeros(max(vocab.values()) + 1, "int64")  # bytes of each id: a token's characters are bytes
         self.sizes[list(vocab.values())] = [len(t) for t in vocab]
         self.table = ChunkTable(self._segment, limit)
@@ -96,6 +106,26 @@ class Tokens:
         return out
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
+        held = [i for i, t in enumerate(texts) if t and self.cut.search(t)] if self.cut else []
+        if not held:
+            return self._plain(texts)
+        marked = set(held)
+        out = self._plain([None if i in marked else t for i, t in enumerate(texts)])
+        if self.whole is not None:
+            import numpy as np
+
+            found = self.whole.encode_batch_fast([texts[i] for i in held], add_special_tokens=False)
+            for i, e in zip(held, found):
+                out[i] = np.array(e.ids, "<u4").tobytes()
+            return out
+        parts = [self.cut.split(texts[i]) for i in held]  # text, token, text, ...
+        between = iter(self._plain([t for p in parts for t in p[::2]]))
+        for i, p in zip(held, parts):
+            out[i] = b"".join(self.added[t] if j % 2 else next(between) for j, t in enumerate(p))
+        return out
+
+    def _plain(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of texts without added tokens."""
         chunked = [split_before_blanks(t) if t else [] for t in texts]
         return [b"".join(v) for v in self.table.look_up(chunked)]
 
@@ -118,7 +148,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
         import pyarrow as pa
 
         cache = worker_cache()
-        tokens = cache.get(("tokens", path)) or cache.setdefault(("tokens", path), Tokens(path))
+        tokens = cache.get(("tokens", path)) or cache.setdefault(("tokens", path), Tokens(path, added=True))
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             at, rows, held = [], [], []

@@ -92,6 +92,25 @@ def test_tokens_equal_the_library():
         assert own.ids(part) == want
 
 
+def test_special_tokens_equal_the_unmodified_library(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(13)
+    end = "<|endoftext|>"
+    parts = [end, end, "a", " ", "  ", "\n", ".", "b c", "é漢", "<|", "|>", "endoftext", "it's", "\t", "word.\nword "]
+    texts = [end, f"a {end} b", f"a  {end}  b", f"{end}{end}", f"x.{end}.y\n{end}\n", f" {end} ", "", None, f"<|{end}|>"] \
+        + ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(2000)]
+    t = Tokenizer.from_file(packing.default_tokenizer())
+    own = packing.Tokens(packing.default_tokenizer(), limit=500, added=True)
+    want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == want
+    assert want[1] == [64, 220, 50256, 275]
+    rows = [r for r in enumerate(texts) if r[0] < 300]
+    got = packing.pack_documents(frame(spark, rows), capacity=4096).collect()
+    assert {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in got} == {
+        (i, 0, len(want[i]) + 1, zlib.crc32(np.array(want[i] + [0], "<u4").tobytes())) for i, _ in rows}
+
+
 def check_packing(rows, got, capacity):
     from tokenizers import Tokenizer
 
