@@ -13,6 +13,7 @@ from pairforge.llm import (
     graph,
     html_extract,
     packing,
+    prefix_trie,
     quality,
     secret_scan,
     sentencepiece_codec,
@@ -22,5 +23,5 @@ from pairforge.llm import (
     url_filter,
 )
 
-for _m in (chunks, common, embed_dedup, graph, html_extract, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
+for _m in (chunks, common, embed_dedup, graph, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
     _cloudpickle.register_pickle_by_value(_m)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import embed_dedup, html_extract, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
+from pairforge.llm import embed_dedup, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
 from pairforge.llm.common import table
 
 #: Rules of the URL filter query: (host, path) as one key, verdict.
@@ -62,9 +62,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_best_fit_packing, op4_secret_scan, op5_sharding, op6_html_extraction,
                                    op7_embedding_dedup, op8_sentencepiece,
-                                   op9_url_filter, op10_simhash)}
+                                   op9_url_filter, op10_simhash, op11_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -98,7 +102,41 @@ c AS (SELECT id, min(root) AS root FROM r GROUP BY id),
 n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, root AS component_id, vec_id = root AS kept
 FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id"""
-    return {"op2_suffix_dedup": windows, "op7_embedding_dedup": links, "op9_url_filter": f"""
+    # crc32 by its table of 256 remainders; digests and order of turns as in the operator
+    trie = """
+WITH RECURSIVE steps AS (
+  SELECT b::BIGINT AS b, b::BIGINT AS v, 0 AS i FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, i + 1 FROM steps WHERE i < 8),
+crc AS (SELECT list(v ORDER BY b) AS t FROM steps WHERE i = 8),
+ranked AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), item) - 1 AS pos, item, words
+  FROM (SELECT *, substr(sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS item,
+          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+        FROM conversations WHERE conv_id IS NOT NULL)),
+ids AS MATERIALIZED (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM ranked), crc),
+turns AS (
+  SELECT i.conv_id, 0 AS part, r.pos, r.item, r.words FROM ids i JOIN ranked r ON r.conv_id = i.base AND r.pos < i.h
+  UNION ALL SELECT i.conv_id, 1, r.pos, r.item, r.words FROM ids i JOIN ranked r ON r.conv_id = i.conv_id AND r.pos >= i.h),
+convs AS MATERIALIZED (
+  SELECT i.conv_id, coalesce(string_agg(item, '' ORDER BY part, pos), '') AS path, list(words ORDER BY part, pos) AS w, count(item) AS n
+  FROM ids i LEFT JOIN turns USING (conv_id) GROUP BY i.conv_id),
+nodes AS MATERIALIZED (
+  SELECT substr(path, 1, 32 * d) AS key, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d > 0 THEN w[d] ELSE 0 END) AS words,
+    string_agg(CASE WHEN d = n THEN conv_id END::VARCHAR, ',' ORDER BY conv_id) AS ends
+  FROM (SELECT *, unnest(range(n + 1)) AS d FROM convs) GROUP BY 1, 2),
+kids AS (SELECT substr(key, 1, 32 * (d - 1)) AS key, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1),
+flat AS MATERIALIZED (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN kids USING (key)),
+sums AS (
+  SELECT substr(key, 1, 32 * a) AS key, sum(CASE WHEN k = 0 THEN 1 ELSE 0 END) AS leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT key, k, n_convs, words, unnest(range(d + 1)) AS a FROM flat) GROUP BY 1)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.k::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM flat f JOIN sums USING (key) LEFT JOIN nodes p ON f.d > 0 AND p.key = substr(f.key, 1, 32 * (f.d - 1))"""
+    return {"op11_prefix_trie": trie, "op2_suffix_dedup": windows, "op7_embedding_dedup": links, "op9_url_filter": f"""
 WITH listed(h, p, key, verdict, own) AS (VALUES {listed}, {spam}),
 u AS (
   SELECT page_id, row_number() OVER () AS rid,
