@@ -11,6 +11,7 @@ from pairforge.llm import (
     common,
     embed_dedup,
     graph,
+    hard_negatives,
     html_extract,
     packing,
     prefix_trie,
@@ -23,5 +24,5 @@ from pairforge.llm import (
     url_filter,
 )
 
-for _m in (chunks, common, embed_dedup, graph, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
+for _m in (chunks, common, embed_dedup, graph, hard_negatives, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
     _cloudpickle.register_pickle_by_value(_m)

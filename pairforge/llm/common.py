@@ -47,13 +47,23 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spill_table(df: DataFrame, name: str) -> DataFrame:
-    """Write as Parquet below the shared checkpoint folder and read back.
+def own_session(spark: SparkSession, rows: int) -> SparkSession:
+    """A session with the caller's settings but ``rows`` to an Arrow batch, so the caller's stay as they are."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return own
+
+
+def spill_table(df: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
+    """Write as Parquet below the shared checkpoint folder and read back, in ``session`` if given.
 
     Unlike ``checkpoint`` the copy is columnar and compressed, and later
     readers prune its columns.
     """
-    spark = df.sparkSession
+    spark = session or df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

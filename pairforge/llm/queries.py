@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import embed_dedup, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
+from pairforge.llm import embed_dedup, hard_negatives, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
 from pairforge.llm.common import table
 
 #: Rules of the URL filter query: (host, path) as one key, verdict.
@@ -66,9 +66,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.quantised(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_best_fit_packing, op4_secret_scan, op5_sharding, op6_html_extraction,
                                    op7_embedding_dedup, op8_sentencepiece,
-                                   op9_url_filter, op10_simhash, op11_prefix_trie)}
+                                   op9_url_filter, op10_simhash, op11_prefix_trie, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -136,7 +140,20 @@ sums AS (
 SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.k::BIGINT AS n_children,
   leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
 FROM flat f JOIN sums USING (key) LEFT JOIN nodes p ON f.d > 0 AND p.key = substr(f.key, 1, 32 * (f.d - 1))"""
-    return {"op11_prefix_trie": trie, "op2_suffix_dedup": windows, "op7_embedding_dedup": links, "op9_url_filter": f"""
+    # whole numbers below 2^53, so sums in doubles are exact
+    mined = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3"""
+    return {"op11_prefix_trie": trie, "op13_hard_negatives": mined, "op2_suffix_dedup": windows, "op7_embedding_dedup": links, "op9_url_filter": f"""
 WITH listed(h, p, key, verdict, own) AS (VALUES {listed}, {spam}),
 u AS (
   SELECT page_id, row_number() OVER () AS rid,
