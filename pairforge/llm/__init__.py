@@ -14,6 +14,7 @@ from pairforge.llm import (
     hard_negatives,
     html_extract,
     packing,
+    pii,
     prefix_trie,
     quality,
     secret_scan,
@@ -24,5 +25,5 @@ from pairforge.llm import (
     url_filter,
 )
 
-for _m in (chunks, common, embed_dedup, graph, hard_negatives, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
+for _m in (chunks, common, embed_dedup, graph, hard_negatives, html_extract, packing, pii, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter):
     _cloudpickle.register_pickle_by_value(_m)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,18 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int = TEXT_ROWS):
+    """Arrow batches of ``rows`` for the jobs that run inside; the session's own setting comes back after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def own_session(spark: SparkSession, rows: int) -> SparkSession:
     """A session with the caller's settings but ``rows`` to an Arrow batch, so the caller's stay as they are."""
     own = spark.newSession()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import embed_dedup, hard_negatives, html_extract, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
+from pairforge.llm import embed_dedup, hard_negatives, html_extract, packing, pii, prefix_trie, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, url_filter
 from pairforge.llm.common import table
 
 #: Rules of the URL filter query: (host, path) as one key, verdict.
@@ -66,13 +66,17 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.quantised(table(spark, sf_dir, "embeddings")))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_best_fit_packing, op4_secret_scan, op5_sharding, op6_html_extraction,
                                    op7_embedding_dedup, op8_sentencepiece,
-                                   op9_url_filter, op10_simhash, op11_prefix_trie, op13_hard_negatives)}
+                                   op9_url_filter, op10_simhash, op11_prefix_trie, op12_pii, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
