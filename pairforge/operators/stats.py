@@ -16,14 +16,14 @@ def token_total(tokens: DataFrame, group: Sequence[str] = (), n_col: str = "n_to
 
 def train_report(spark: SparkSession, model, seconds: float, n_words: int | None = None,
                  n_pretokens: int | None = None) -> DataFrame:
-    """One-row run report (S16): sizes, rounds, timing and the longest token."""
+    """One-row run report (S16): sizes, rounds, how often pairs were counted anew, timing and the longest token."""
     longest = max(model.vocab.items(), key=lambda kv: (len(kv[1]), -kv[0])) if model.vocab else (None, b"")
     rounds = len(model.rounds)
-    row = (len(model.vocab), len(model.merges), rounds, float(seconds),
+    row = (len(model.vocab), len(model.merges), rounds, sum(r.recount for r in model.rounds), float(seconds),
            float(seconds) / rounds if rounds else 0.0,
            len(model.merges) / rounds if rounds else 0.0,
            longest[0], len(longest[1]), longest[1].hex().upper(), n_words, n_pretokens)
-    return spark.createDataFrame([row], "vocab_size INT, merges INT, rounds INT, seconds DOUBLE, "
+    return spark.createDataFrame([row], "vocab_size INT, merges INT, rounds INT, recounts INT, seconds DOUBLE, "
                                  "seconds_per_round DOUBLE, merges_per_round DOUBLE, longest_id INT, "
                                  "longest_bytes INT, longest_hex STRING, distinct_words BIGINT, "
                                  "pretokens BIGINT")

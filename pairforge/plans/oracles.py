@@ -165,8 +165,8 @@ def oracle_sql() -> dict[str, str]:
         "lh AS left_hex, rh AS right_hex, n FROM c ORDER BY n DESC, lh DESC, rh DESC LIMIT 20"))
     one = base + chain("m", "dwords", 1)
     q["merge_once"] = with_(one, f"SELECT w AS word, len({split_tokens('seq')})::INTEGER AS n_tokens FROM mw1")
-    q["affected_words"] = with_(one, "SELECT w AS word, mw0.n FROM mw0, mp1 "
-                                     "WHERE contains(seq, '<' || l || '><' || r || '>')")
+    q["affected_words"] = with_(base + chain("m", "dwords", 1)[:2], (
+        "SELECT w AS word, n FROM mw0 WHERE contains(seq, (SELECT '<' || l || '><' || r || '>' FROM mp1))"))
     q["pair_counts_after_merge_delta"] = with_(one, (
         "SELECT t[i] AS left_hex, t[i + 1] AS right_hex, sum(n)::BIGINT AS n FROM ("
         f"SELECT t, n, unnest(range(1, len(t))) AS i FROM (SELECT {split_tokens('seq')} AS t, n FROM mw1)) "
@@ -230,6 +230,12 @@ def oracle_sql() -> dict[str, str]:
     t64 = [f"atoks AS ({toks('documents', 'doc_id')})", f"awords AS ({words_of('atoks')})", *chain("a", "awords", 64),
            merges_cte("a", 64)]
     q["train_merges_64"] = with_(t64, "SELECT rank, left_hex, right_hex FROM amerges")
+    q["train_merges_64_delta"] = q["train_merges_64_index"] = q["train_merges_64"]
+    q["train_report_64"] = with_([*t64, vocab_cte("a", 64)], (
+        "SELECT (SELECT count(*) FROM avocab)::INTEGER AS vocab_size, (SELECT count(*) FROM amerges)::INTEGER AS merges, "
+        "true AS fewer_recounts, id AS longest_id, (strlen(hex) // 2)::INTEGER AS longest_bytes, hex AS longest_hex, "
+        "(SELECT count(*) FROM awords)::BIGINT AS distinct_words, (SELECT sum(n) FROM awords)::BIGINT AS pretokens "
+        "FROM avocab ORDER BY strlen(hex) DESC, id LIMIT 1"))
     talk = train + ["r AS MATERIALIZED (SELECT row_number() OVER () AS rid, conv_id, text FROM conversations)",
                     f"rtoks AS ({toks('r', 'rid')})", "rw AS (SELECT DISTINCT w FROM rtoks)",
                     f"renc AS ({apply_chain('a', 'rw')})"] + encoded_ids("r", "rtoks", "rid", "renc")

@@ -40,6 +40,7 @@ from pairforge.operators.vocab import (
 )
 from pairforge.plans.jobs import encode_splits, split_totals
 from pairforge.plans.train import TrainConfig, train
+from pairforge.session import spill_table
 from pairforge.sources.corpus import line_counts, read_table, split_documents
 
 SP = DEFAULT_SPECIAL_TOKEN
@@ -51,7 +52,7 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model_for(spark: SparkSession, d: str, lang: str | None = None, merges: int = ORACLE_MERGES,
-              count_mode: str = "recount"):
+              count_mode: str = "frontier"):
     src = docs(spark, d)
     if lang is not None:
         src = src.where(F.col("lang") == lang)
@@ -231,6 +232,36 @@ def q_train_merges_64(spark, d):
                                      F.hex("right_bytes").alias("right_hex"))
 
 
+def _merges(spark, model):
+    return model.merges_df(spark).select("rank", F.hex("left_bytes").alias("left_hex"), F.hex("right_bytes").alias("right_hex"))
+
+
+def q_train_merges_64_delta(spark, d):
+    """Counts kept as a bucketed log of signed changes (M3)."""
+    return _merges(spark, model_for(spark, d, merges=64, count_mode="delta"))
+
+
+def q_train_merges_64_index(spark, d):
+    """Words found through the maintained inverted index (Jn2, A2, P10)."""
+    return _merges(spark, model_for(spark, d, merges=64, count_mode="index"))
+
+
+def q_train_report_64(spark, d):
+    """Run report of a training (S16) without its times."""
+    import time
+
+    from pairforge.operators.stats import train_report
+    from pairforge.plans.train import train_words
+
+    start = time.time()
+    words = spill_table(_words(spark, d), "report-words")
+    totals = words.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("pretokens")).first()
+    model = train_words(spark, training_words(words), TrainConfig(vocab_size=257 + 64))
+    report = train_report(spark, model, time.time() - start, totals["words"], totals["pretokens"])
+    return report.select("vocab_size", "merges", (F.col("recounts") < F.col("rounds")).alias("fewer_recounts"), "longest_id",
+                         "longest_bytes", "longest_hex", "distinct_words", "pretokens")
+
+
 def q_train_merges_1000(spark, d):
     """Larger training (vocab 1000); no SQL oracle (checked by pytest)."""
     m = model_for(spark, d, merges=1000 - 257)
@@ -456,6 +487,9 @@ QUERIES = {
     "decode_roundtrip": q_decode_roundtrip,
     "decode_skip_specials": q_decode_skip_specials,
     "train_merges_64": q_train_merges_64,
+    "train_merges_64_delta": q_train_merges_64_delta,
+    "train_merges_64_index": q_train_merges_64_index,
+    "train_report_64": q_train_report_64,
     "train_merges_1000": q_train_merges_1000,
     "encode_conversations_16": q_encode_conversations_16,
     "token_counts_blank_texts": q_token_counts_blank_texts,

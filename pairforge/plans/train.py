@@ -1,10 +1,7 @@
 """BPE training as distributed DataFrame rounds (M4-M8, F1).
 
-Each round is one Spark job over the compacted word table: explode adjacent
-pairs, partial + final hash aggregate, TakeOrderedAndProject of the top K
-counts.  Only those K rows reach the driver, which orders them by the exact
-rank (count, left bytes, right bytes, smaller ids) and accepts the longest
-prefix that one-at-a-time training would also have chosen:
+Each round fetches the best pairs with their exact counts, accepts the longest prefix that
+one-at-a-time training would also have chosen, and applies it to the compacted words:
 
 * the first candidate is always the true best pair;
 * a later candidate q = (c, d) with count m is accepted only if
@@ -13,12 +10,12 @@ prefix that one-at-a-time training would also have chosen:
   (2) no pair with count >= m (ties included) has right == a or left == b for an
       accepted p: every pair created by merging p is bounded by such a pair, so
       none can reach m and outrank q;  pairs not touching p only lose counts.
-* when K rows were fetched and m equals the smallest fetched count, unseen ties
-  may exist and the round stops.
+* a candidate that ties with the bound of the unseen pairs ends the round.
 
-The driver then rewrites every word with one projection of nested
-``replace`` calls.  The word table is persisted each round and reliably
-checkpointed (to ``spark.checkpoint.dir``) every few rounds to cut lineage.
+Where counts come from is ``TrainConfig.count_mode``.  ``recount`` explodes the pairs of all words in
+every round, aggregates them partially and finally, and takes the top K; the word table is persisted
+each round and reliably checkpointed (to ``spark.checkpoint.dir``) every few rounds to cut lineage.  The
+other modes (``pairforge.plans.incremental``) keep the best counts on the driver and touch what changes.
 """
 
 from __future__ import annotations
@@ -47,9 +44,11 @@ class TrainConfig:
     specials_first: bool = False      # P6b: specials at id 0.., bytes after them
     batch_merges: bool = True         # False: one merge per round (test oracle)
     candidates: int = 1024            # K rows fetched per round
-    speculate: int = 0                # >1: try this many merges per round, verified exactly
-    count_mode: str = "recount"       # "recount" | "delta" (M3)
+    speculate: int = 0                # >1: recount, and try this many merges per round, verified exactly
+    count_mode: str = "frontier"      # "frontier" (O2) | "delta" (M3) | "index" (Jn2) | "recount"
     checkpoint_every: int = 10
+    buckets: int | None = None        # delta, index: buckets of the logged tables
+    fold_every: int = 8               # delta, index: rounds between folds
     initial_alphabet: str = "all"     # "all" | "observed" (M8)
     unk_token: str | None = None      # M8: extra special for unknown bytes
     word_partitions: int | None = None
@@ -61,6 +60,7 @@ class RoundStat:
     merges: int
     seconds: float
     top_count: int
+    recount: bool = True              # were the pairs counted anew?
 
 
 @dataclass
@@ -213,15 +213,11 @@ class _Cache:
         if df is not None:
             self.old.append(df)
 
-    def release(self, protect: DataFrame | None = None) -> None:
-        """Drop retired tables, except ``protect`` (still needed by a lazy successor)."""
-        keep = []
+    def release(self) -> None:
+        """Drop retired tables."""
         for df in self.old:
-            if df is protect:
-                keep.append(df)
-            else:
-                df.unpersist()
-        self.old = keep
+            df.unpersist()
+        self.old = []
 
 
 def _next_free(vocab: dict[int, bytes], start: int) -> int:
@@ -258,7 +254,7 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
 def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
                  vocab: dict[int, bytes] | None, kinds: dict[int, str] | None) -> BpeModel:
     from pairforge.operators.encode import work_partitions
-    from pairforge.operators.merges import delta_counts, step_deltas, update_counts
+    from pairforge.operators.merges import step_deltas
 
     checkpoint_dir(spark)
     specials = list(cfg.special_tokens)
@@ -268,11 +264,14 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
         vocab, kinds = initial_vocab(specials)
     vocab = dict(vocab)
     kinds = dict(kinds or {i: "byte" if i < 256 else "special" for i in vocab})
+    if cfg.count_mode not in ("recount", "frontier", "delta", "index"):
+        raise ValueError(f"unknown count_mode {cfg.count_mode!r}")
+    if cfg.count_mode != "recount" and not cfg.speculate:  # speculation needs the recounted words
+        return _train_incrementally(spark, words, cfg, vocab, kinds, specials)
     budget = max(0, cfg.vocab_size - len(vocab))
     next_id = _next_free(vocab, 256)
     merges: list[Merge] = []
     stats: list[RoundStat] = []
-    delta = cfg.count_mode == "delta"
     spec = max(0, cfg.speculate)
     k = max(2, cfg.candidates)
     cache = _Cache(cfg.checkpoint_every)
@@ -282,21 +281,14 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
     cur = (words.select("seq", F.col("n").cast("bigint").alias("n")).where(F.length("seq") >= 2)
            .repartition(cfg.word_partitions or work_partitions(spark)))
     cur = cache.keep(cur, 1)
-    counts = cache.keep(pair_counts(cur, max_id=max(vocab)), 1) if delta else None
     round_no = 0
-    prev_cur = None
     while len(merges) < budget:
         t0 = time.time()
         left = budget - len(merges)
         horizon = max(vocab) + max(spec, k, left) + 1  # largest id that may appear this round
-        pc = counts if delta else pair_counts(cur, max_id=horizon)
+        pc = pair_counts(cur, max_id=horizon)
         rows = pc.orderBy(F.desc("n")).limit(k).collect()
-        if not delta:
-            cache.release()  # `cur` is materialised now; older tables can go
-        else:
-            # counts are materialised; the current word table may still be lazy
-            # (computed from the previous one), so that one stays cached
-            cache.release(protect=prev_cur)
+        cache.release()  # `cur` is materialised now; older tables can go
         if not rows:
             break
         cands = rank_candidates([(char_to_id(r["pair"][0]), char_to_id(r["pair"][1]), int(r["n"]))
@@ -320,13 +312,11 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
             asked = (F.col("pair").isin([id_to_char(a) + id_to_char(b) for a, b, _ in cands])
                      | (pair_left_id("pair") >= next_id) | (pair_right_id("pair") >= next_id))
             drows = d.where(asked).collect()
-            if delta:
-                cache.release()  # `cur` is materialised by the step job
             deltas: dict[int, list] = {}
             for r in drows:
                 deltas.setdefault(int(r["step"]), []).append(
                     ((char_to_id(r["pair"][0]), char_to_id(r["pair"][1])), int(r["n"])))
-            chosen = verify_speculation(cands, truncated, steps, deltas, vocab, left, allow_extra=not delta)
+            chosen = verify_speculation(cands, truncated, steps, deltas, vocab, left, allow_extra=True)
             if not chosen:  # the first candidate is always the true best
                 chosen = [cands[0][:2]]
         else:
@@ -345,27 +335,34 @@ def _train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
         if len(merges) >= budget:
             break
         cache.retire(cur)
-        prev_cur = cur
-        nxt = cur.select(merge_expr("seq", new).alias("seq"), "n").where(F.length("seq") >= 2)
-        if delta:
-            if drows is not None and len(new) <= len(steps) and all(
-                    (x, y) == (t[0], t[1]) for (x, y, _), t in zip(new, steps)):
-                dd = (d.where(F.col("step") <= len(new)).groupBy("pair").agg(F.sum("n").cast("bigint").alias("n"))
-                      .where(F.col("n") != 0))
-            else:
-                dd = delta_counts(cur, new)
-            cache.retire(counts)
-            counts = cache.keep(update_counts(counts, dd), round_no + 1)
-            cur = cache.keep(nxt, round_no + 1)
-        else:
-            cur = cache.keep(nxt, round_no + 1)
+        cur = cache.keep(cur.select(merge_expr("seq", new).alias("seq"), "n").where(F.length("seq") >= 2), round_no + 1)
     cache.retire(cur)
-    cache.retire(counts)
     cache.release()
     model = BpeModel(vocab, kinds, merges, tuple(specials), stats, cfg.unk_token)
     return model.relabel_specials_first() if cfg.specials_first else model
 
 
+def _train_incrementally(spark: SparkSession, words: DataFrame, cfg: TrainConfig, vocab: dict[int, bytes],
+                         kinds: dict[int, str], specials: Sequence[str]) -> BpeModel:
+    """Rounds that only touch what changed; see ``pairforge.plans.incremental``."""
+    from pairforge.operators.encode import work_partitions
+    from pairforge.plans.incremental import merge_rounds, open_store
+
+    store = open_store(spark, words, cfg, cfg.word_partitions or work_partitions(spark), max(vocab, default=0))
+    merges: list[Merge] = []
+    stats: list[RoundStat] = []
+    try:
+        t0 = time.time()
+        for new, top, recount in merge_rounds(store, cfg, vocab, kinds, lambda v, k: vocab_frame(spark, v, k)):
+            merges.extend(new)
+            stats.append(RoundStat(len(stats) + 1, len(new), time.time() - t0, top, recount))
+            t0 = time.time()
+    finally:
+        store.close()
+    model = BpeModel(vocab, kinds, merges, tuple(specials), stats, cfg.unk_token)
+    return model.relabel_specials_first() if cfg.specials_first else model
+
+
 def train(spark: SparkSession, docs: DataFrame, cfg: TrainConfig, text_col: str = "text") -> BpeModel:
     """Train a byte-level BPE model on a document table (M4).
 
