@@ -248,6 +248,7 @@ def train_words(spark: SparkSession, words: DataFrame, cfg: TrainConfig,
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.adaptive.enabled", "false")
+    own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # index lookups stay bucket by bucket
     return _train_words(own, own.read.schema("seq STRING, n BIGINT").parquet(path), cfg, vocab, kinds)
 
 
