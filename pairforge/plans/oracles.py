@@ -264,6 +264,9 @@ def oracle_sql() -> dict[str, str]:
     q["token_shards_ids"] = with_(line_enc, (
         "SELECT split, (row_number() OVER (PARTITION BY split ORDER BY doc_id, line_no, seg, pos, tp) - 1)::BIGINT AS pos, "
         "id FROM (SELECT *, CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split FROM lids)"))
+    q["stream_shard_ids"] = q["token_shards_ids"]
+    q["stream_split_totals"] = q["split_token_totals"]
+    q["token_shards_range"] = f"SELECT * FROM ({q['token_shards_ids']}) WHERE split = 'val' AND pos >= 1000 AND pos < 61000"
     q["bundle_merges_roundtrip"] = q["train_merges_16"]
     q["train_merges_16_text_files"] = q["train_merges_16"]
     q["text_export_roundtrip"] = q["train_merges_16"]

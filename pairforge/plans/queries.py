@@ -417,6 +417,56 @@ def q_token_shards_ids(spark, d):
     return read_token_shards(spark, path)
 
 
+def _document_batches(spark, d, n: int = 3):
+    """The documents as files in order of doc_id that a stream takes one at a time."""
+    from pairforge.session import scratch_path
+    from pairforge.streaming.encode_stream import document_stream
+    src = docs(spark, d).select("doc_id", "text")
+    path = scratch_path(spark, "stream-in")
+    cuts = [None, *(src.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.01)), None]
+    for low, high in zip(cuts, cuts[1:]):  # later files are newer, and a stream takes older ones first
+        part = src.where((F.lit(True) if low is None else F.col("doc_id") > low) & (F.lit(True) if high is None else F.col("doc_id") <= high))
+        part.repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id").write.mode("append").parquet(path)
+    return document_stream(spark, path, "doc_id BIGINT, text STRING", max_files_per_trigger=1)
+
+
+def _split_of():
+    return F.when(F.col("doc_id") % 10 == 0, "val").otherwise("train")
+
+
+def q_stream_shard_ids(spark, d):
+    """Ids and positions of shards that a stream wrote in several epochs, stopped and started again between them."""
+    from pairforge.session import scratch_path
+    from pairforge.sources.shards import read_token_shards
+    from pairforge.streaming.encode_stream import start_shard_encode
+    path, ck = scratch_path(spark, "stream-shards"), scratch_path(spark, "stream-ckpt")
+    model, stream = model_for(spark, d), _document_batches(spark, d)
+    for _ in range(2):  # the second start finds nothing new
+        start_shard_encode(stream, model, path, ck, _split_of()).awaitTermination()
+    return read_token_shards(spark, path)
+
+
+def q_stream_split_totals(spark, d):
+    """Running totals per split from stream state."""
+    from pairforge.session import scratch_path
+    from pairforge.streaming.encode_stream import latest_totals, start_stream_totals
+    out, ck = scratch_path(spark, "stream-totals"), scratch_path(spark, "stream-ckpt")
+    start_stream_totals(_document_batches(spark, d), model_for(spark, d), out, ck, _split_of()).awaitTermination()
+    return latest_totals(spark, out).select("split", "n_tokens", "n_rows")
+
+
+def q_token_shards_range(spark, d):
+    """A position range of one split: the reader opens only its bytes."""
+    from pairforge.session import scratch_path
+    from pairforge.sources.shards import read_token_shards, write_token_shards
+    src = docs(spark, d)
+    toks = encode_splits(spark, {"train": src.where(~(F.col("doc_id") % 10 == 0)),
+                                 "val": src.where(F.col("doc_id") % 10 == 0)}, model_for(spark, d), unit="line")
+    path = scratch_path(spark, "shards")
+    write_token_shards(toks, path)
+    return read_token_shards(spark, path, split="val", begin=1_000, end=61_000)
+
+
 def q_stream_encode_totals(spark, d):
     from pairforge.session import scratch_path
     from pairforge.streaming.encode_stream import document_stream, start_stream_encode
@@ -501,6 +551,9 @@ QUERIES = {
     "bundle_merges_roundtrip": q_bundle_merges_roundtrip,
     "text_export_roundtrip": q_text_export_roundtrip,
     "token_shards_totals": q_token_shards_totals,
+    "token_shards_range": q_token_shards_range,
+    "stream_shard_ids": q_stream_shard_ids,
+    "stream_split_totals": q_stream_split_totals,
     "stream_encode_totals": q_stream_encode_totals,
     "stream_word_counts": q_stream_word_counts,
 }

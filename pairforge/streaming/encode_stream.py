@@ -4,8 +4,11 @@
   ``foreachBatch`` it is written to ``{out}/batch_id={id}`` in overwrite mode, so a
   replayed batch after a failure or restart replaces its own output: exactly-once
   with the checkpoint.
-* T3: the running total is a query over what was written (``stream_totals``)
-  and is also reported per batch with ``observe``.
+* T1/T2 into the binary form: ``start_shard_encode`` encodes and streams into ``uint16`` shards, exactly once
+  (``pairforge.sources.shards``).
+* T3: the running total per split is stream state (``start_stream_totals``): each batch adds to it and
+  writes the splits it changed; the totals of the last batch are the totals, without a rescan.
+  ``stream_totals`` is the query over what the first form wrote.
 * T4: progress is Spark's own ``StreamingQueryProgress``.
 * T5: streaming word counts (stateful ``groupBy(word).count()`` in update mode):
   each batch writes only the words it changed, under its ``batch_id``;
@@ -55,6 +58,40 @@ def stream_totals(spark: SparkSession, out: str) -> DataFrame:
                   F.count(F.lit(1)).alias("n_rows"), F.countDistinct("batch_id").alias("batches"))
 
 
+def start_shard_encode(stream: DataFrame, model, path: str, checkpoint: str, split, text_col: str = "text",
+                       unit: str = "line", available_now: bool = True):
+    """Encode a document stream into binary shards by split (S12, T1, T2); ``split`` is a column expression."""
+    from pairforge.sources.shards import start_token_stream
+
+    rows = stream.select(split.alias("split"), text_col)
+    tokens = encode(stream.sparkSession, rows, model, key=("split",), text_col=text_col, unit=unit)
+    return start_token_stream(tokens, path, checkpoint, available_now)
+
+
+def start_stream_totals(stream: DataFrame, model, out: str, checkpoint: str, split, text_col: str = "text",
+                        unit: str = "line", available_now: bool = True):
+    """Running totals per split as keyed state (T3, W2): ``split, n_tokens, n_rows, next_pos``.
+
+    The state is one row a split; partial sums are made before the shuffle, so a split that holds
+    all rows is one row a task.  Each batch writes its changed splits under its ``batch_id``.
+    """
+    rows = stream.select(split.alias("split"), text_col)
+    tokens = encode(stream.sparkSession, rows, model, key=("split",), text_col=text_col, unit=unit, skip_empty=True)
+    totals = tokens.groupBy("split").agg(F.sum("n_tokens").cast("bigint").alias("n_tokens"), F.count(F.lit(1)).alias("n_rows"))
+
+    def changes(df: DataFrame, batch_id: int) -> None:
+        df.withColumn("next_pos", F.col("n_tokens")).coalesce(1).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    w = totals.writeStream.outputMode("update").foreachBatch(changes).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
+def latest_totals(spark: SparkSession, out: str) -> DataFrame:
+    """``split, n_tokens, n_rows, next_pos`` after the last batch that changed a split."""
+    last = F.max_by(F.struct("n_tokens", "n_rows", "next_pos"), "batch_id").alias("t")
+    return spark.read.parquet(out).groupBy("split").agg(last).select("split", "t.*")
+
+
 def start_word_counts(stream: DataFrame, out: str, checkpoint: str, text_col: str = "text",
                       special_tokens=(DEFAULT_SPECIAL_TOKEN,), available_now: bool = True):
     """Maintained word counts (T5): stateful aggregate; the changed words of each batch are written."""
