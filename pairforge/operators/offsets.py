@@ -9,7 +9,8 @@ such as the train/val split).  No one-task window and no second run of the input
 3. only the first stream of a task can continue one from an earlier task; its base
    is a running sum over at most one row per task and stream end.
 
-Order and partition keys may be of any orderable type and may be null (nulls first).
+Order and partition keys may be of any orderable type and may be null (nulls first).  Tasks tell
+streams apart by a text that is equal where Spark's grouping is: one NaN, one zero.
 """
 
 from __future__ import annotations
@@ -59,6 +60,16 @@ def _running(n_col: str, keys: Sequence[str]):
     return run
 
 
+def _identity(field: T.StructField):
+    """A column whose equality in a task is Spark's equality of the key."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return F.when(F.isnan(c), F.lit("NaN")).otherwise((c + F.lit(0.0)).cast("string"))
+    if isinstance(field.dataType, (T.StructType, T.ArrayType)):
+        return F.to_json(F.struct(c))
+    return c
+
+
 def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str = "n_tokens",
                   partition: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Add ``start_pos BIGINT`` (exclusive running sum of ``n_col``).
@@ -72,11 +83,13 @@ def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str
     if buckets is None:
         total = rows.agg(F.sum(n_col)).first()[0] or 0
         buckets = max(spark.sparkContext.defaultParallelism, -(-int(total) // TOKENS_PER_RANGE))
-    schema = T.StructType([*rows.schema, T.StructField("_task", T.IntegerType()), T.StructField("_in", T.LongType()),
+    ids = [f"_k{i}" for i in range(len(partition))]
+    keyed = rows.select("*", *(_identity(rows.schema[p]).alias(k) for p, k in zip(partition, ids)))
+    schema = T.StructType([*keyed.schema, T.StructField("_task", T.IntegerType()), T.StructField("_in", T.LongType()),
                            T.StructField("_first", T.BooleanType())])
     by = [*partition, *order]
-    ranged = rows.repartitionByRange(max(1, buckets), *by).sortWithinPartitions(*by)
-    placed = spill_table(ranged.mapInArrow(_running(n_col, partition), schema), "offset-ranges")
+    ranged = keyed.repartitionByRange(max(1, buckets), *by).sortWithinPartitions(*by)
+    placed = spill_table(ranged.mapInArrow(_running(n_col, ids), schema).drop(*ids), "offset-ranges")
     totals = placed.groupBy("_task", *partition).agg(F.sum(n_col).alias("_n"), F.max("_first").alias("_first"))
     earlier = Window.partitionBy(*partition).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     bases = (totals.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).where("_first")

@@ -267,6 +267,9 @@ def oracle_sql() -> dict[str, str]:
     q["stream_shard_ids"] = q["token_shards_ids"]
     q["stream_split_totals"] = q["split_token_totals"]
     q["token_shards_range"] = f"SELECT * FROM ({q['token_shards_ids']}) WHERE split = 'val' AND pos >= 1000 AND pos < 61000"
+    # what is left of the first character's bytes goes; "(" stays from the bytes put before it
+    q["decode_invalid_utf8"] = "SELECT doc_id, '(' || substr(text, 2) AS text FROM documents WHERE length(text) > 0"
+    q["stream_word_counts_compacted"] = q["pretoken_counts"]
     q["bundle_merges_roundtrip"] = q["train_merges_16"]
     q["train_merges_16_text_files"] = q["train_merges_16"]
     q["text_export_roundtrip"] = q["train_merges_16"]

@@ -430,6 +430,24 @@ def _document_batches(spark, d, n: int = 3):
     return document_stream(spark, path, "doc_id BIGINT, text STRING", max_files_per_trigger=1)
 
 
+def q_decode_invalid_utf8(spark, d):
+    """Texts cut to bytes in the middle of characters and with foreign bytes between, decoded ignoring errors."""
+    from pairforge.sources.corpus import decode_utf8_ignore
+    raw = F.encode("text", "UTF-8")
+    junk = F.concat(F.unhex(F.lit("80C0E28228FF")), F.substring(raw, 2, 1 << 30), F.unhex(F.lit("F09F98")))
+    return docs(spark, d).where(F.col("text").isNotNull() & (F.length("text") > 0)).select(
+        "doc_id", decode_utf8_ignore(junk).alias("text"))
+
+
+def q_stream_word_counts_compacted(spark, d):
+    """Word counts of a stream whose batches are folded into a snapshot every second batch (T5)."""
+    from pairforge.session import scratch_path
+    from pairforge.streaming.encode_stream import latest_word_counts, start_word_counts
+    out, ck = scratch_path(spark, "stream-words"), scratch_path(spark, "stream-ckpt")
+    start_word_counts(_document_batches(spark, d), out, ck, compact_every=2).awaitTermination()
+    return latest_word_counts(spark, out)
+
+
 def _split_of():
     return F.when(F.col("doc_id") % 10 == 0, "val").otherwise("train")
 
@@ -552,6 +570,8 @@ QUERIES = {
     "text_export_roundtrip": q_text_export_roundtrip,
     "token_shards_totals": q_token_shards_totals,
     "token_shards_range": q_token_shards_range,
+    "decode_invalid_utf8": q_decode_invalid_utf8,
+    "stream_word_counts_compacted": q_stream_word_counts_compacted,
     "stream_shard_ids": q_stream_shard_ids,
     "stream_split_totals": q_stream_split_totals,
     "stream_encode_totals": q_stream_encode_totals,

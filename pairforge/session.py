@@ -75,9 +75,12 @@ def ensure_parallel(df, spark: SparkSession | None = None):
     """Spread an input that cannot be split at read time before CPU-heavy work.
 
     Spark splits files for at least one task per core by itself; only inputs too
-    small or of too few row groups for that come here with fewer partitions.
+    small or of too few row groups for that come here with fewer partitions.  A plan with a
+    shuffle of its own has Spark's partitions already, and asking for their number would run it.
     """
     spark = spark or df.sparkSession
-    if df.isStreaming or df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return df
     return df.repartition(2 * spark.sparkContext.defaultParallelism)

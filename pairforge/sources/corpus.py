@@ -4,32 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pairforge.functions.expressions import split_lines, split_on_specials
 from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN
 
 
-@F.pandas_udf(T.StringType())
-def _utf8_ignore(raw: pd.Series) -> pd.Series:
-    # Only invalid rows reach here with a value; valid rows arrive as null.
-    return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+# The well-formed UTF-8 sequences, over the bytes as ISO-8859-1 characters.
+_UTF8 = (r"[\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]"
+         r"|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}|\xF4[\x80-\x8F][\x80-\xBF]{2}")
 
 
 def decode_utf8_ignore(raw_binary) -> F.Column:
-    """BINARY -> STRING dropping invalid UTF-8 bytes.
+    """BINARY -> STRING dropping invalid UTF-8 bytes (P3), in one JVM expression.
 
-    Valid rows stay JVM-side; only invalid rows carry a value into the Arrow
-    UDF (the others are passed as null, which costs almost nothing).
+    A valid row is cast.  In another one each well-formed sequence replaces itself and any other
+    byte nothing; a continuation byte starts no sequence, so this drops what a decoder that
+    ignores errors drops.  The pattern has no repeated group, so long rows cannot exhaust the stack.
     """
     raw = F.col(raw_binary) if isinstance(raw_binary, str) else raw_binary
     as_text = raw.cast("string")
-    valid = F.is_valid_utf8(as_text)
-    return F.coalesce(F.when(valid, as_text), _utf8_ignore(F.when(~valid, raw)))
+    kept = F.regexp_replace(F.decode(raw, "ISO-8859-1"), F.lit(f"({_UTF8})|[\\s\\S]"), F.lit("$1"))
+    return F.when(F.is_valid_utf8(as_text), as_text).otherwise(F.encode(kept, "ISO-8859-1").cast("string"))
 
 
 def _wrap_missing(fn):

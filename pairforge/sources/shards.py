@@ -203,17 +203,23 @@ class TokenStreamWriter(DataSourceStreamArrowWriter):
                     filesystem.move(tmp, f"{root}/{split}/shard-{position.get(split, 0):020d}.bin")
                     position[split] = position.get(split, 0) + n
             filesystem.create_dir(f"{root}/_epochs", recursive=True)
-            with filesystem.open_output_stream(f"{root}/{self.job}.json") as f:
+            tmp = f"{root}/{self.job}-{batchId}.json"
+            with filesystem.open_output_stream(tmp) as f:
                 f.write(json.dumps({"epoch": batchId, "next": position}).encode())
-            filesystem.move(f"{root}/{self.job}.json", done)
-        self.abort(messages, batchId)
+            filesystem.move(tmp, done)
+        self._clean()
 
     def abort(self, messages, batchId):
+        self._clean()
+
+    def _clean(self):
+        """Remove the files of all attempts; a path belongs to one stream, which has one epoch at a time."""
         from pyarrow import fs
 
         filesystem, root = _fs(self.path)
-        if filesystem.get_file_info(f"{root}/{self.job}").type != fs.FileType.NotFound:
-            filesystem.delete_dir(f"{root}/{self.job}")
+        for info in filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if "/_temporary-" in info.path and info.type == fs.FileType.Directory:
+                filesystem.delete_dir(info.path)
 
 
 def next_positions(uri: str, before: int | None = None) -> dict[str, int]:

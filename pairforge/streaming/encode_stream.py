@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,19 +94,92 @@ def latest_totals(spark: SparkSession, out: str) -> DataFrame:
 
 
 def start_word_counts(stream: DataFrame, out: str, checkpoint: str, text_col: str = "text",
-                      special_tokens=(DEFAULT_SPECIAL_TOKEN,), available_now: bool = True):
-    """Maintained word counts (T5): stateful aggregate; the changed words of each batch are written."""
+                      special_tokens=(DEFAULT_SPECIAL_TOKEN,), available_now: bool = True, compact_every: int = 16):
+    """Maintained word counts (T5): stateful aggregate; the changed words of each batch are written.
+
+    Every ``compact_every`` batches (0: never) they are folded into a snapshot, so reading the
+    counts costs the vocabulary and that many batches, however long the stream runs.
+    """
     counts = (stream.select(F.explode(pretokens(text_col, special_tokens)).alias("word"))
               .groupBy("word").count().withColumnRenamed("count", "n"))
 
     def changes(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_word_counts(df.sparkSession, out, batch_id)
 
     w = counts.writeStream.outputMode("update").foreachBatch(changes).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def _snapshot(spark: SparkSession, out: str) -> tuple[int, str | None]:
+    """(last batch in the snapshot, its path) by the pointer file; (-1, None) before the first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{out}/_snapshot/pointer.json")
+    if not pointer.getFileSystem(conf).exists(pointer):
+        return -1, None
+    row = spark.read.schema("batch BIGINT, path STRING").json(f"{out}/_snapshot/pointer.json").first()
+    return row["batch"], row["path"]
+
+
+def compact_word_counts(spark: SparkSession, out: str, batch: int) -> None:
+    """Fold the batches up to ``batch`` into a snapshot and remove them (T5).
+
+    The snapshot is written beside the old one and a pointer file is replaced by a rename, so a
+    reader sees the old state or the new one; folded batches and the old snapshot go after that.
+    A failure in between leaves folders that no reader opens and the next call removes.
+    """
+    import json
+    import uuid
+
+    last, old = _snapshot(spark, out)
+    if batch <= last:
+        return
+    path = f"{out}/_snapshot/{batch}-{uuid.uuid4().hex[:8]}"
+    _word_counts(spark, out, batch).write.parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    base = hadoop.Path(out)
+    fs = base.getFileSystem(conf)
+    new, pointer = hadoop.Path(f"{out}/_snapshot/pointer-{uuid.uuid4().hex}.json"), hadoop.Path(f"{out}/_snapshot/pointer.json")
+    stream = fs.create(new)
+    stream.write(bytearray(json.dumps({"batch": batch, "path": path}).encode()))
+    stream.close()
+    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(new, pointer, _overwrite(spark))
+    for status in fs.listStatus(base):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and int(name[9:]) <= batch:
+            fs.delete(status.getPath(), True)
+    if old:
+        fs.delete(hadoop.Path(old), True)
+
+
+def _overwrite(spark: SparkSession):
+    jvm = spark.sparkContext._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("OVERWRITE")
+    return options
+
+
+def _word_counts(spark: SparkSession, out: str, upto: int | None = None) -> DataFrame:
+    last, path = _snapshot(spark, out)
+    log = None
+    try:
+        log = spark.read.option("basePath", out).schema("word STRING, n BIGINT, batch_id BIGINT").parquet(f"{out}/batch_id=*").where(F.col("batch_id") > last)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) or path is None:
+            raise
+    if log is not None and upto is not None:
+        log = log.where(F.col("batch_id") <= upto)
+    rows = log.select("word", "n", "batch_id") if log is not None else None
+    if path is not None:
+        kept = spark.read.schema("word STRING, n BIGINT").parquet(path).withColumn("batch_id", F.lit(-1).cast("bigint"))
+        rows = kept if rows is None else rows.unionByName(kept)
+    return rows.groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))
+
+
 def latest_word_counts(spark: SparkSession, out: str) -> DataFrame:
-    """``word, n`` after the last written batch."""
-    return spark.read.parquet(out).groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))
+    """``word, n`` after the last written batch: the snapshot and the batches since."""
+    return _word_counts(spark, out)

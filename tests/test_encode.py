@@ -237,3 +237,141 @@ def test_vocab_json_of_duplicate_specials(spark):
     v, k = initial_vocab(["<s>", "<s>"])
     got = json.loads(vocab_json(vocab_frame(spark, v, k)).first().value)
     assert got["<s>"] == 256 and len(got) == 257
+
+
+def test_offsets_of_nan_zero_and_nested_streams(spark):
+    nan, n = float("nan"), 25_000
+    rows = spark.range(n).select("id", F.lit(2).alias("n_tokens"), F.when(F.col("id") % 3 == 0, F.lit(nan)).when(F.col("id") % 3 == 1, F.lit(0.0)).otherwise(F.lit(-0.0)).alias("k"))
+    from pairforge.operators.offsets import token_offsets
+    got = token_offsets(rows, order=["id"], partition=["k"], buckets=5)
+    assert set(got.columns) == {"id", "n_tokens", "k", "start_pos"}
+    per = {r.nan: (r.n, r.top) for r in got.groupBy(F.isnan("k").alias("nan")).agg(F.countDistinct("start_pos").alias("n"), F.max("start_pos").alias("top")).collect()}
+    k = (n + 2) // 3
+    assert per == {True: (k, 2 * (k - 1)), False: (n - k, 2 * (n - k - 1))}
+    nested = token_offsets(rows.withColumn("k", F.struct("k")), order=["id"], partition=["k"], buckets=5)
+    assert nested.where(F.isnan("k.k")).agg(F.countDistinct("start_pos")).first()[0] == k
+
+
+def test_decode_ignore_equals_python(spark):
+    import random
+    from pairforge.sources.corpus import decode_utf8_ignore
+    rng = random.Random(5)
+    pieces = [b"a", b"\xc3\xa9", b"\xe2\x82\xac", b"\xf0\x9f\x98\x80", b"\x80", b"\xff", b"\xc0", b"\xed\xa0\x80", b"\xf4\x90", b"\xe2\x82", b"\xf0\x9f", b"\x00", b"\n"]
+    rows = [b"".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(1500)] + [bytes(rng.choices(range(256), k=200)) for _ in range(300)]
+    rows += [b"\xff" + "é€😀x".encode() * 20_000, b""]
+    df = spark.createDataFrame([(i, bytearray(r)) for i, r in enumerate(rows)], "i int, b binary").select("i", decode_utf8_ignore("b").alias("t"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {r.i: r.t for r in df.collect()} == {i: r.decode("utf-8", "ignore") for i, r in enumerate(rows)}
+
+
+def test_spreading_does_not_run_the_plan(spark):
+    from pairforge.session import ensure_parallel
+    grouped = spark.range(100).repartition(3).groupBy((F.col("id") % 5).alias("k")).count()
+    spark.sparkContext.setJobGroup("spread", "spread")
+    ensure_parallel(grouped, spark)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("spread")) == []
+    assert ensure_parallel(spark.range(10).coalesce(1), spark).rdd.getNumPartitions() > 1
+
+
+def _read_back(path):
+    import glob
+    out = {}
+    for f in sorted(glob.glob(f"{path}/*/shard-*.bin")):
+        split, at = f.split("/")[-2], int(f[-24:-4])
+        data = open(f, "rb").read()
+        assert at == len(out.get(split, b"")) // 2, f
+        out[split] = out.get(split, b"") + data
+    return out
+
+
+def test_token_stream_equals_batch_after_stops_replays_and_half_commits(spark, tmpdir_run):
+    import json
+    import os
+    import struct
+    from pairforge.sources.shards import next_positions, qualified, read_token_shards, start_token_stream
+    src, out, ck = f"{tmpdir_run}/in", f"{tmpdir_run}/out", f"{tmpdir_run}/ck"
+    rows = [(i, "val" if i % 4 == 0 else "train", [i, i + 1, 65535][: i % 4]) for i in range(90)]
+    schema = "i INT, split STRING, ids ARRAY<INT>"
+
+    def more(part):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        st = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        start_token_stream(st, out, ck).awaitTermination()
+
+    def want(part):
+        got = {}
+        for _, split, ids in part:
+            if ids:
+                got[split] = got.get(split, b"") + struct.pack(f"<{len(ids)}H", *ids)
+        return got
+
+    more(rows[:30])
+    run()
+    run()  # nothing new
+    assert _read_back(out) == want(rows[:30])
+    more(rows[30:60])
+    run()
+    assert _read_back(out) == want(rows[:60])
+    # the driver died after it placed an epoch's files, before its manifest: the epoch is replayed
+    last = sorted(os.listdir(f"{out}/_epochs"))[-1]
+    os.remove(f"{out}/_epochs/{last}")
+    commits = sorted((c for c in os.listdir(f"{ck}/commits") if c.isdigit()), key=int)
+    for c in commits[-1:]:
+        os.remove(f"{ck}/commits/{c}")
+        if os.path.exists(f"{ck}/commits/.{c}.crc"):
+            os.remove(f"{ck}/commits/.{c}.crc")
+    open(f"{out}/train/shard-{999:020d}.bin", "wb").write(b"xx")  # of a task that the replay does not have
+    run()
+    assert _read_back(out) == want(rows[:60])
+    more(rows[60:])
+    run()
+    assert _read_back(out) == want(rows)
+    assert not [x for x in os.listdir(out) if x.startswith("_temporary")]
+    full = want(rows)
+    assert next_positions(qualified(spark, out)) == {s: len(b) // 2 for s, b in full.items()}
+    assert json.load(open(f"{out}/_epochs/{last}"))["epoch"] == int(last[:-5])
+    part = read_token_shards(spark, out, split="train", begin=7, end=31)
+    assert [(r.pos, r.id) for r in part.orderBy("pos").collect()] == list(enumerate(struct.unpack("<24H", full["train"][14:62]), 7))
+
+
+def test_range_reader_opens_only_the_range(spark, tmpdir_run, monkeypatch):
+    from pairforge.sources import shards
+    toks = spark.range(1000).selectExpr("CASE WHEN id < 600 THEN 'a' ELSE 'b' END AS split", "CASE WHEN id < 600 THEN id ELSE id - 600 END * 3 AS start_pos",
+                                        "array(1, 2, cast(id AS int)) AS ids")
+    path = f"{tmpdir_run}/bin"
+    shards.write_token_shards(toks, path, shards=6)
+    uri = shards.qualified(spark, path)
+    monkeypatch.setattr(shards, "RANGE_TOKENS", 100)
+    parts = shards.TokenShardReader({"path": uri, "split": "a", "begin": "250", "end": "700"}).partitions()
+    assert sum(p.end - p.begin for p in parts) == 450 and {p.split for p in parts} == {"a"} and len(parts) >= 5
+    assert sum(b.num_rows for p in parts for b in shards.TokenShardReader({"path": uri}).read(p)) == 450
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        found = shards.read_token_shards(spark, path).where("split = 'b' AND pos >= 10 AND pos < 16 AND id > 1").collect()
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    assert sorted((r.pos, r.id) for r in found) == [(p, x) for p, x in ((p, (1, 2, 600 + p // 3)[p % 3]) for p in range(10, 16)) if x > 1]
+    reader = shards.FilteredShardReader({"path": uri})
+    from pyspark.sql.datasource import EqualTo, GreaterThan, LessThanOrEqual
+    rest = list(reader.pushFilters([EqualTo(("split",), "b"), GreaterThan(("pos",), 9), LessThanOrEqual(("pos",), 20), EqualTo(("id",), 1)]))
+    assert rest == [EqualTo(("id",), 1)] and sum(p.end - p.begin for p in reader.partitions()) == 11
+
+
+def test_compacted_word_counts(spark, tmpdir_run):
+    import os
+    from pairforge.streaming.encode_stream import compact_word_counts, latest_word_counts, start_word_counts
+    src, out, ck = f"{tmpdir_run}/in", f"{tmpdir_run}/out", f"{tmpdir_run}/ck"
+    texts = ["a b", "b c", "a a", "d", "b"]
+    for i, t in enumerate(texts):
+        spark.createDataFrame([(i, t)], "doc_id long, text string").coalesce(1).write.mode("append").parquet(src)
+    st = spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 1).parquet(src)
+    start_word_counts(st, out, ck, compact_every=2).awaitTermination()
+    want = {"a": 2, " b": 1, "b": 2, " c": 1, " a": 1, "d": 1}
+    assert {r.word: r.n for r in latest_word_counts(spark, out).collect()} == want
+    assert sorted(x for x in os.listdir(out) if x.startswith("batch_id")) == ["batch_id=4"]
+    compact_word_counts(spark, out, 4)
+    compact_word_counts(spark, out, 4)
+    assert {r.word: r.n for r in latest_word_counts(spark, out).collect()} == want
+    assert not [x for x in os.listdir(out) if x.startswith("batch_id")]
