@@ -231,7 +231,9 @@ def test_sharding(spark):
         assert all(len(s) == 1 for s in of.values())
         assert all(sorted(s) == list(range(len(s))) for s in slots.values())
         if grain > 64:
-            rest = sorted(sizes.values())[:-1]
+            mean = sum(sizes.values()) / 8
+            alone = {x for i, t in rows if len((t or "").encode()) > mean for x in of[t or ""]}
+            rest = [v for x, v in sizes.items() if x not in alone]  # a group over the mean fills a shard by itself
             assert max(rest) - min(rest) <= 0.25 * max(rest)
     assert sharding.assign_shards(empty(spark)).count() == 0
 
