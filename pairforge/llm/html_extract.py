@@ -26,13 +26,16 @@ in page order by one newline.
 
 Edge cases: a null or empty page, or one without text, gives an empty text; unclosed
 and stray tags are tolerated (end of page closes all); equal pages give equal texts;
-ties between slots go to the first path in order; an empty table gives an empty one;
+ties between slots go to the first path in order; numbers in ids and classes are taken for one number, so
+``post-12`` and ``post-13`` are one token; containers nested deeper than ``DEPTH`` count with the last one above,
+their text stays; pages are lexed in one pass, broken tags and quotes included; an empty table gives an empty one;
 other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -43,8 +46,11 @@ from pairforge.llm.common import pin, text_batches
 from pairforge.llm.url_filter import url_host
 
 _RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "noframes", "xmp")
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
-_LOOSE = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.S)  # a tag with an open quote
+_NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
+_MARK = re.compile(r"[\"'>]")
+_DIGITS = re.compile(r"[0-9]+")
+#: Containers nested deeper take the path of the last one that counts; their text stays.
+DEPTH = 64
 _ATTRIBUTE = re.compile(r"([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rt rp s "
@@ -80,11 +86,47 @@ def _is_boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     return tag not in ("html", "body", "article", "main") and not _DROP_WORDS.isdisjoint(_WORDS.findall(names))
 
 
+class _Lexer:
+    """Tags of a page in one forward pass; what was found to be missing further on is not sought again."""
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.missing = set()  # quotes that do not occur from here on
+
+    def tag(self, lt: int):
+        """(end, closing, name, attributes) of the tag at ``lt``; no name for comments and declarations; None for text."""
+        html = self.html
+        if html.startswith("<!--", lt):
+            end = html.find("-->", lt + 4)
+            return (end + 3 if end >= 0 else len(html)), "", "", ""
+        if lt > self.last:
+            return None
+        if html[lt + 1] in "!?":
+            return html.find(">", lt) + 1, "", "", ""
+        m = _NAME.match(html, lt)
+        if not m:
+            return None
+        at = m.end()
+        while True:
+            mark = _MARK.search(html, at)  # there is a ">" further on
+            if mark[0] == ">":
+                end = mark.start()
+                break
+            close = -1 if mark[0] in self.missing else html.find(mark[0], mark.end())
+            if close < 0:
+                self.missing.add(mark[0])
+            if close < 0 or close > self.last:  # an open quote does not count
+                end = html.find(">", m.end())
+                break
+            at = close + 1
+        return end + 1, m[1], m[2].lower(), html[m.end():end]
+
+
 def parse(html: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
     """Blocks (container path, boilerplate, text) in page order, and how often each container path is opened."""
     blocks: list[tuple[str, bool, str]] = []
     opened: dict[str, int] = {}
-    stack: list[tuple[str, str, bool, bool]] = []  # (tag, path, boilerplate, in article)
+    stack: list[tuple[str, str, bool, bool, int]] = []  # (tag, path, boilerplate, in article, containers)
     run: list[str] = []
 
     def flush():
@@ -92,13 +134,15 @@ def parse(html: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
             text = " ".join("".join(run).split())
             run.clear()
             if text:
-                top = stack[-1] if stack else ("", "", False, False)
+                top = stack[-1] if stack else ("", "", False, False, 0)
                 blocks.append((top[1], top[2], text))
 
     def close(to: int):
         flush()
+        open_tags.subtract(x[0] for x in stack[to:])
         del stack[to:]
 
+    lexer, open_tags = _Lexer(html), Counter()
     at, n = 0, len(html)
     while at < n:
         lt = html.find("<", at)
@@ -107,26 +151,26 @@ def parse(html: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
             break
         if lt > at:
             run.append(unescape(html[at:lt]))
-        m = _TOKEN.match(html, lt) or _LOOSE.match(html, lt)
-        if not m:
+        found = lexer.tag(lt)
+        if not found:
             run.append("<")
             at = lt + 1
             continue
-        at = m.end()
-        tag = (m[2] or "").lower() if m.re is _LOOSE or m.lastindex else ""
+        at, closing, tag, raw = found
         if not tag:
             continue  # comment or declaration
-        if m[1]:
+        if closing:
             if tag in _INLINE:
                 continue
             if tag == "br":
                 flush()
+            if not open_tags[tag]:
+                flush()
+                continue
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     close(i)
                     break
-            else:
-                flush()
             continue
         if tag in _RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -139,7 +183,7 @@ def parse(html: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
         flush()
         if tag in _VOID:
             continue
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and open_tags["p"] > 0:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
                     close(i)
@@ -153,15 +197,18 @@ def parse(html: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select") or stack[i][0] not in _LEAF:
                     break
-        _, path, dropped, article = stack[-1] if stack else ("", "", False, False)
-        attrs = _attributes(m[3] or "")
+        _, path, dropped, article, depth = stack[-1] if stack else ("", "", False, False, 0)
+        attrs = _attributes(raw)
         dropped = dropped or _is_boilerplate(tag, attrs, article)
         if tag not in _LEAF:
             own = tag + "".join("." + c for c in sorted(attrs.get("class", "").split())) \
                 + ("#" + attrs["id"] if attrs.get("id") else "")
-            path = f"{path}/{own.replace('/', '_')}"
+            if depth < DEPTH:  # numbers in names are a page's own (post-12), not the template's
+                path = f"{path}/{_DIGITS.sub('0', own.replace('/', '_'))}"
             opened[path] = opened.get(path, 0) + 1
-        stack.append((tag, path, dropped, article or tag in ("article", "main")))
+            depth += 1
+        open_tags[tag] += 1
+        stack.append((tag, path, dropped, article or tag in ("article", "main"), depth))
     flush()
     return blocks, opened
 
@@ -191,7 +238,16 @@ def main_text(html: str | None, slot: str | None) -> str:
     if not html:
         return ""
     blocks = [(p, t) for p, dropped, t in parse(html)[0] if not dropped]
-    own = [t for p, t in blocks if slot is not None and _within(p, slot)]
+    inside = [(p, t) for p, t in blocks if slot is not None and _within(p, slot)]
+    own = [t for _, t in inside]
+    if inside and not _weight(slot) and any(_weight(p) == 2 for p, _ in inside):
+        # the template knows no article, but the page has one: that goes before the rest of the slot
+        mass: dict[str, int] = {}
+        for p, t in inside:
+            if _weight(p) == 2:
+                mass[article_root(p)] = mass.get(article_root(p), 0) + len(t)
+        best = max(sorted(mass), key=mass.__getitem__)
+        own = [t for p, t in inside if article_root(p) == best]
     if not own and blocks:
         mass: dict[str, int] = {}
         for p, t in blocks:

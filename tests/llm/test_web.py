@@ -191,6 +191,35 @@ def test_pipeline(spark, tmp_path):
     assert cp.run(spark, sf).count() == out["best-fit packing"].count()
 
 
+def blog_page(i, rng):
+    body = [prose(rng, 30) for _ in range(rng.randint(2, 4))]
+    page = (f'<html><body class="page-id-{i}"><div class="top">Site {i % 3} slogan</div><article id="post-{i}" class="post-{i} hentry"><h1>Title {i}</h1>'
+            + "".join(f"<p>{b}</p>" for b in body) + f'</article><div class="latest"><p>Latest: {prose(rng, 12)}</p></div></body></html>')
+    return page, "\n".join([f"Title {i}", *body])
+
+
+def test_article_pages_with_ids_of_their_own(spark):
+    rng = random.Random(12)
+    made = {i: blog_page(i, rng) for i in range(20)}
+    lone = {100 + i: blog_page(100 + i, rng) for i in range(3)}  # a host without a template of its own
+    rows = [(i, f"http://blog.example/{i}", h) for i, (h, _) in made.items()] + [(i, f"http://h{i}.example/", h) for i, (h, _) in lone.items()]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert got == {i: t for i, (_, t) in {**made, **lone}.items()}
+
+
+def test_broken_and_deep_pages_take_linear_time():
+    import time
+    pages = ["<a " * 330_000, "<" * 1_000_000, "<div>" * 20_000 + "x" + "</p>" * 20_000, "<a '" * 250_000 + ">", "<!x" * 300_000, '<a ">' * 200_000,
+             "<div>" * 20_000 + "deep text" + "</div>" * 20_000, "<p>" * 100_000 + "y"]
+    for page in pages:
+        t = time.time()
+        html_extract.parse(page)
+        assert time.time() - t < 5, page[:20]
+    assert [t for _, _, t in html_extract.parse(pages[6])[0]] == ["deep text"]
+    assert [t for _, _, t in html_extract.parse("<p title='a>b'>one</p><p title=\"open>two</p><!-- > x --> three <b>four</b> < five")[0]] == ["one", "two", "three four < five"]
+
+
 def test_pipeline_of_nothing(spark):
     import corpus_pipeline as cp
 
