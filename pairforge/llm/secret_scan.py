@@ -9,6 +9,9 @@ scored by the most sensitive name among its targets and by its own look (length,
 entropy, mix of characters, placeholders); literals at or above ``threshold`` that no
 base span covers are reported where they stand.
 
+A name starts where no name character stands before it, so a long run is read once and a text takes
+time in proportion to its length.  A name bound to over ``PARTS`` literals keeps none of them for later names.
+
 Edge cases: a null or empty text has no span; repeated rows give repeated rows; ties
 in start go by kind as listed; positions are code points, ends exclusive; an empty
 table gives an empty one; other columns are kept by ``redact``, whatever their names.
@@ -35,16 +38,21 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: How much a word in a target name says about its value.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "secrets": 1.0,
              "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "privatekey": 1.0,
-             "accesskey": 1.0, "authkey": 0.9, "encryptionkey": 0.9, "signingkey": 0.9, "bearer": 0.8}
-_HINT = re.compile("|".join(["pass", "pwd", "secret", "token", "key", "credential", "bearer"]))
-_PLACEHOLDER = re.compile(r"(?i)^(change.?me|example|sample|dummy|test|todo|none|null|true|false|undefined|your.*|my.*"
-                          r"|password|passwd|secret|token|string|x+|\*+|\.+|-+|_+|<.*>|\$\{.*\}|%.*%)\d*$")
+             "accesskey": 1.0, "mnemonic": 0.9, "seedphrase": 0.9, "recoveryphrase": 0.9, "authkey": 0.9, "encryptionkey": 0.9, "signingkey": 0.9, "bearer": 0.8}
+_HINT = re.compile("|".join(["pass", "pwd", "secret", "token", "key", "credential", "bearer", "mnemonic", "phrase"]))
+_PLACEHOLDER = re.compile(r"(?i)^(?:(?:your|my|the|some)?[-_.]?(?:change.?me|example|sample|dummy|test|todo|none|null|true|false|undefined"
+                          r"|password|passwd|secret|token|string|value|key|api[-_.]?key)(?:[-_.]?(?:here|key|value|goes[-_.]?here))?"
+                          r"|x+|\*+|\.+|-+|_+|<.*>|\$\{.*\}|%.*%)\d*$")
+#: Names whose values are words with blanks.
+_PHRASE = re.compile(r"(?i)pass.?phrase|mnemonic|(?:seed|recovery).?(?:phrase|words)")
+#: A name bound to more literals than this is unbound.
+PARTS = 256
 
 _QUOTED = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`"""
 _NAME = r"[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*"
 _BRACED = rf"\$\{{{_NAME}\}}"
 _STATEMENT = re.compile(rf"""(?x)
-    (?: (?P<name>{_NAME}) | (?P<q>["'])(?P<qname>{_NAME})(?P=q) ) (?:["']?\])?   # name, "name", conf["name"]
+    (?: (?<![\w$])(?<![\w$][.-]) (?P<name>{_NAME}) | (?P<q>["'])(?P<qname>{_NAME})(?P=q) ) (?:["']?\])?   # name, "name", conf["name"]
     [\x20\t]* (?: :=|=>|=(?!=)|:(?!:) ) [\x20\t]*
     (?P<value> (?:{_QUOTED}|{_BRACED}|[^\s"'`,;+(){{}}\[\]<>]+)
                (?: [\x20\t]*\+[\x20\t]* (?:{_QUOTED}|{_BRACED}|{_NAME}) )* )""", re.A)
@@ -60,10 +68,14 @@ def name_weight(name: str) -> float:
     return max((SENSITIVE.get(w, 0.0) for w in words + pairs), default=0.0)
 
 
-def literal_score(value: str, quoted: bool) -> float:
-    """0 to 1: does the value look like a secret rather than a word, a number or a placeholder?"""
+def literal_score(value: str, quoted: bool, phrase: bool = False) -> float:
+    """0 to 1: does the value look like a secret rather than a word, a number or a placeholder?
+
+    White space speaks against it but in a quoted ``phrase`` of three words or more on one line.
+    """
     n = len(value)
-    if n < 6 or _PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    blank = any(map(str.isspace, value))
+    if n < 6 or _PLACEHOLDER.match(value) or blank and not (phrase and quoted and "\n" not in value and len(value.split()) >= 3):
         return 0.0
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
     kinds = sum(any(map(f, value)) for f in (str.isdigit, str.islower, str.isupper)) + any(not c.isalnum() for c in value)
@@ -92,12 +104,14 @@ def literals(text: str, threshold: float = 0.6) -> list[tuple[int, int]]:
                     parts.append((s, e, word, False))
             if ref and (ref[1] or ref[2]) in bound:
                 parts += bound[ref[1] or ref[2]]
-        if len(parts) <= 64:  # a name that grows by itself is a counter, not a constant
+        if len(parts) <= PARTS:
             bound[name] = tuple(parts)
+        else:  # no constant that a later name should get
+            bound.pop(name, None)
         weight = name_weight(name)
         if weight:
             whole = "".join(p[2] for p in parts)
-            score = weight * literal_score(whole, all(p[3] for p in parts))
+            score = weight * literal_score(whole, all(p[3] for p in parts), bool(_PHRASE.search(name)))
             for s, e, _, _ in parts if score >= threshold else ():
                 if e > s:
                     best[s, e] = max(best.get((s, e), 0.0), score)

@@ -271,3 +271,61 @@ def test_codec_equals_the_library(spark):
     assert digest[1].n_tokens == n and digest[1].ids_sha256 == hashlib.sha256(ids.encode()).hexdigest()
     assert digest[1].decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
     assert sentencepiece_codec.digest_documents(empty(spark)).count() == 0
+
+
+def test_secret_values_with_blanks_own_prefixes_and_many_parts():
+    def found(text):
+        return [text[s:e] for s, e in secret_scan.literals(text)]
+
+    assert found('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert found('title_key = "correct horse battery staple"') == []
+    assert found('db_pwd = "MyV3ry$ecret9Kx"') == ["MyV3ry$ecret9Kx"]
+    assert found('signing_key = "myX9kQ2mmZZ81"') == ["myX9kQ2mmZZ81"]
+    for value in ("your_api_key", "my-secret", "changeme", "YOUR_TOKEN_HERE", "example1", "my_password"):
+        assert found(f'db_pwd = "{value}"') == []
+    many = [f"Zq{i}x" for i in range(65)]
+    text = 'b = "Old9secretX"\nb = ' + " + ".join(f'"{m}"' for m in many) + "\nsigning_key = b"
+    assert found(text) == many
+    over = 'b = "Old9secretX"\nb = ' + " + ".join(f'"q{i}"' for i in range(secret_scan.PARTS + 1)) + "\nsigning_key = b"
+    assert found(over) == []
+
+
+def test_secret_spans_of_generated_assignments_equal_direct_evaluation():
+    rng = random.Random(21)
+    for _ in range(300):
+        lines, values, want = [], {}, {}
+        text = ""
+        for _ in range(rng.randint(1, 8)):
+            name = rng.choice(["a", "b", "c", "conf.db_pwd", "signing_key", "apiKey", "title"])
+            terms, parts = [], []
+            for _ in range(rng.randint(1, 3)):
+                if rng.random() < 0.4 and values:
+                    ref = rng.choice(sorted(values))
+                    terms.append((ref, None))
+                else:
+                    terms.append((None, rng.choice(["Zq81xK", "9vBn2LpQ", "plain", "my", "0", "Tr0ub4dor&3"])))
+            line = f"{name} = "
+            at = len(text) + len(line)
+            shown = []
+            for k, (ref, value) in enumerate(terms):
+                shown.append(ref if ref else f'"{value}"')
+                if ref:
+                    parts += values[ref]
+                else:
+                    parts.append((at + 1, at + 1 + len(value), value))
+                at += len(shown[-1]) + 3
+            values[name] = parts
+            text += line + " + ".join(shown) + "\n"
+            weight = secret_scan.name_weight(name)
+            if weight and weight * secret_scan.literal_score("".join(p[2] for p in parts), True) >= 0.6:
+                want.update({(s, e): 1 for s, e, v in parts if v})
+        hinted = secret_scan._HINT.search(text.lower())
+        assert secret_scan.literals(text) == (sorted(want) if hinted else []), text
+
+
+@pytest.mark.parametrize("unit", ["a", "a.", "a1", "x=", "k=k+'a' ", "a-", "'a", "password ", "${a", "a = b + "])
+def test_secret_scan_of_long_texts_takes_linear_time(unit):
+    import time
+    t = time.time()
+    secret_scan.scan("key " + unit * (1_000_000 // len(unit)))
+    assert time.time() - t < 12
