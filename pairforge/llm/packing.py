@@ -1,17 +1,18 @@
 """Operator 3, best-fit packing by hierarchical residual packing.
 
 Tokenising cuts each document into pieces of at most ``capacity`` tokens.  Pieces
-that fill a sequence are done.  The others are dealt over partitions of a bounded
-number of items and packed there, largest first, each into the open bin with the
+that fill a sequence are done.  The others are dealt round-robin over partitions of a
+bounded number of items and packed there, largest first, each into the open bin with the
 least room that still holds it.  Bins with at most ``tolerance`` tokens of room
-left are emitted.  The underfull bins become items of the next round, which has
-``fan_in`` times fewer partitions, until one partition is left.
+left are emitted.  All underfull bins are items of the next round, which deals them anew
+over partitions of bounded size and packs them by best fit again, until one partition is
+left or as many rounds as a tree of ``fan_in`` branches has levels are over; what is
+underfull then is emitted as it is.
 
-After a best-fit round at most one bin per partition is half empty or less full;
-all others can only take such a bin.  So a partition passes on its emptiest bin(s)
-and at most ``hosts`` further bins with the most room, and emits the rest: a merge
-task reads at most ``fan_in * (hosts + 1)`` bins at any input size, and no row is
-dropped.
+After a best-fit round at most one bin of a partition is half empty or less full, so a
+further round can only put the few small ones into others: rounds beyond the tree's depth
+would deal bins that fit nowhere.  A task reads about ``items_per_task`` pieces at any input
+size, and no row is dropped.
 
 Edge cases: the tokenizer's added tokens (its special token among them) are one id where
 their string is in a text, as by the library's default; a null or empty text is one piece that holds only the end id; rows
@@ -201,8 +202,13 @@ def best_fit(lengths: list[int], capacity: int) -> list[int]:
     return out
 
 
+def sequence_base(level: int, partition: int) -> int:
+    """First id of the bins of one task: 5 bits of level, 31 of partition and 27 of bins never clash."""
+    return level << 58 | partition << 27
+
+
 def pack(items: DataFrame, key: str = "doc_id", capacity: int = 2048, tolerance: int = 16,
-         items_per_task: int = 50_000, fan_in: int = 8, hosts: int = 4096) -> DataFrame:
+         items_per_task: int = 50_000, fan_in: int = 8) -> DataFrame:
     """``items`` as from ``pieces`` -> the same rows with sequence_id and offset.
 
     ``items`` is read twice, so pass a materialised table.
@@ -215,15 +221,18 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = 2048, tolerance:
     rest = items.where(F.col("length") < capacity)
     n = rest.count()
     parts = max(1, -(-n // items_per_task))
+    rounds = 1
+    while fan_in ** (rounds - 1) < parts:
+        rounds += 1
     packed_member = F.struct(F.col(key).alias("k"), "piece", "start", "length", "ids_crc32")
     bins = rest.select(F.lit(0).cast("long").alias("bin"), F.col("length").alias("level"), F.lit(False).alias("final"),
-                       F.array(packed_member).alias("members"),
-                       F.xxhash64(key, "piece", "ids_crc32").alias("__deal"))
+                       F.array(packed_member).alias("members"))
     done, level = [], 0
     while n:
         level += 1
+        last = parts == 1 or level == rounds
 
-        def merge(batches, last=parts == 1, level=level):
+        def merge(batches, last=last, level=level):
             import pyarrow as pa
             from pyspark import TaskContext
 
@@ -235,10 +244,9 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = 2048, tolerance:
             made: dict[int, list] = {}
             for at, r in zip(best_fit([r[0] for r in rows], capacity), rows):
                 made.setdefault(at, []).extend(r[1])
-            first = (level << 50) + (TaskContext.get().partitionId() << 30)
+            first = sequence_base(level, TaskContext.get().partitionId())
             levels = {at: sum(m["length"] for m in ms) for at, ms in made.items()}
-            open_ = sorted((at for at in made if levels[at] < capacity - tolerance), key=lambda at: (levels[at], at))
-            kept = set() if last else set(open_[:hosts + 1])
+            kept = set() if last else {at for at in made if levels[at] < capacity - tolerance}
             at = list(made)
             for i in range(0, len(at), 4096):
                 part = at[i:i + 4096]
@@ -249,15 +257,16 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = 2048, tolerance:
                     names=["bin", "level", "final", "members"])
 
         member_type = _arrow(spark, f"members array<{member}>")
-        dealt = bins.repartition(parts, "__deal").drop("__deal")
-        bins = pin(dealt.mapInArrow(merge, schema))
+        # round-robin: equal rows spread, and no key decides
+        bins = pin(bins.repartition(parts).mapInArrow(merge, schema))
         done.append(bins.where("final"))
-        if parts == 1:
+        if last:
             break
-        parts = max(1, -(-parts // fan_in))
-        bins = bins.where(~F.col("final")).withColumn("__deal", F.col("bin"))
+        bins = bins.where(~F.col("final"))
+        parts = max(1, -(-(bins.agg(F.sum(F.size("members"))).first()[0] or 0) // items_per_task))
+    # full pieces count down from -1, bins are positive
     out = full.select(key, "piece", "start", "length", "ids_crc32",
-                      F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+                      (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     for b in done:
         # members in order; the offset is the sum of the lengths before
         placed = b.select("bin", F.posexplode("members").alias("__at", "m"),

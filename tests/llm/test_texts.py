@@ -136,6 +136,26 @@ def check_packing(rows, got, capacity):
     return len(bins), sum(r.length for r in got) / capacity
 
 
+def test_sequence_ids_never_clash():
+    edges = [packing.sequence_base(level, part) + at for level in (1, 2, 15, 31) for part in (0, 1, 1 << 20, (1 << 31) - 1) for at in (0, (1 << 27) - 1)]
+    assert len(set(edges)) == len(edges) and min(edges) > 0 and max(edges) < 1 << 63
+
+
+def test_packing_in_several_levels_is_near_the_lower_bound_and_spreads_equal_rows(spark):
+    rng = random.Random(31)
+    items = [(i, 0, 0, rng.randint(1, 2047), i) for i in range(6000)] + [(-1, 0, 0, 700, 5)] * 2000 + [(-2, 0, 0, 1500, 6)] * 500
+    df = spark.createDataFrame(items, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(9)
+    bound = -(-sum(x[3] for x in items) // 2048)
+    got = packing.pack(df, items_per_task=500, fan_in=4).collect()
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    assert collections.Counter((r.doc_id, r.length) for r in got) == collections.Counter((x[0], x[3]) for x in items)
+    assert all(sum(n for _, n in b) <= 2048 and sorted(o for o, _ in b) == [sum(n for o2, n in b if o2 < o) for o, _ in sorted(b)] for b in bins.values())
+    one = len({r.sequence_id for r in packing.pack(df, items_per_task=10**6).collect()})
+    assert len(bins) <= 1.02 * one and one >= bound
+
+
 def test_packing_of_awkward_documents(spark):
     rows = awkward()
     got = packing.pack_documents(frame(spark, rows, clash=True), capacity=64).collect()
@@ -147,7 +167,7 @@ def test_packing_of_awkward_documents(spark):
 def test_packing_rounds_stay_tight(spark, items):
     rng = random.Random(11)
     rows = [(i, prose(rng, rng.randint(1, 60))) for i in range(700)]
-    got = packing.pack_documents(frame(spark, rows), capacity=256, tolerance=2, items_per_task=items, fan_in=4, hosts=16).collect()
+    got = packing.pack_documents(frame(spark, rows), capacity=256, tolerance=2, items_per_task=items, fan_in=4).collect()
     bins, least = check_packing(rows, got, 256)
     assert bins <= (least * 1.01 + 1 if items > 1000 else least * 1.15 + 1)
 
