@@ -46,7 +46,7 @@ def main() -> None:
     t = time.time()
     model = train_words(spark, training_words(wc), TrainConfig(
         vocab_size=vocab, speculate=int(os.environ.get("BENCH_SPECULATE", "0")),
-        count_mode=os.environ.get("BENCH_COUNT_MODE", "recount")))
+        count_mode=os.environ.get("BENCH_COUNT_MODE", "frontier")))
     q["train"] = time.time() - t
 
     t = time.time()
@@ -65,11 +65,12 @@ def main() -> None:
     q["decode_roundtrip"] = time.time() - t
 
     rounds = len(model.rounds)
+    recounts = sum(r.recount for r in model.rounds)
     total = sum(q.values())
     print(json.dumps({
         "metric": "bpe_train_encode_total", "value": round(total, 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in q.items()}, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
-        "vocab_size": vocab, "merges": len(model.merges), "rounds": rounds,
+        "vocab_size": vocab, "merges": len(model.merges), "rounds": rounds, "recounts": recounts,
         "seconds_per_round": round(q["train"] / rounds, 3) if rounds else None,
         "merges_per_round": round(len(model.merges) / rounds, 2) if rounds else None,
         "distinct_words": int(stats["words"]), "pretokens": int(stats["pretokens"]),
