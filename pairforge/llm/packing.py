@@ -27,12 +27,16 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairforge.functions.patterns import PRETOKEN_PATTERN, byte_alphabet
 from pairforge.llm.chunks import ChunkTable, split_before_blanks
 from pairforge.llm.common import pin, text_batches, worker_cache
 
 #: Pre-tokens always end between a letter or digit and one of these, and after them before a letter or digit.
 _WORD_END = re.compile(r"(?<=[^\W_])(?=[.,\n])|(?<=[.,]\n)(?=[^\W_])")
 
+#: The rank encoder's pattern backtracks over a run of white space; texts with runs this long go another way.
+_LONG_BLANK = re.compile(r"\s{1000}")
+
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -42,11 +46,49 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def rank_encoding(path: str):
+    """The tokenizer file's vocabulary as an encoder that merges by rank of the merged bytes, or None.
+
+    Such an encoder joins any two neighbours whose bytes are a token, the tokenizer only
+    those in its merge list.  They agree if ids ascend along that list and each token's own text
+    is one token: were a neighbouring pair joined that is not listed, the text of both alone would come
+    to the same two parts and stay two.  Files that do not show this, or that do more to a text
+    than the usual byte-level pre-tokenizer, give None.
+    """
+    import json
+
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    usual = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    if model.get("type") != "BPE" or not usual or spec.get("normalizer") is not None or any(model.get(k) for k in odd):
+        return None
+    added = {t["content"] for t in spec.get("added_tokens", [])}
+    vocab = {t: i for t, i in model["vocab"].items() if t not in added}
+    byte_of = {c: b for b, c in byte_alphabet().items()}
+    if not byte_of.keys() <= vocab.keys() or not set().union(*vocab) <= byte_of.keys():
+        return None
+    made = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if None in made or any(a >= b for a, b in zip(made, made[1:])) or len(made) + len(byte_of) != len(vocab):
+        return None
+    own = Tokenizer.from_file(path).model
+    if any([x.id for x in own.tokenize(t)] != [i] for t, i in vocab.items()):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=PRETOKEN_PATTERN, special_tokens={},
+                             mergeable_ranks={bytes(map(byte_of.__getitem__, t)): i for t, i in vocab.items()})
+
+
 class Tokens:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, by a distinct-chunk table.
+    """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer's pre-tokenizer always cuts before a blank that a non-white
-    character follows, so ids of the chunks between such cuts concatenate.
+    Whole texts go to the rank encoder where the tokenizer file allows one.  Others, and texts
+    with very long runs of white space, go by a distinct-chunk table: the tokenizer's
+    pre-tokenizer always cuts before a blank that a non-white character follows, so ids of
+    the chunks between such cuts concatenate.
 
     With ``added`` the strings of added tokens are these tokens, as by the library's
     default: texts are cut around them first, and what is between is chunked.
@@ -72,6 +114,7 @@ class Tokens:
         self.sizes = np.zeros(max(vocab.values()) + 1, "int64")  # bytes of each id: a token's characters are bytes
         self.sizes[list(vocab.values())] = [len(t) for t in vocab]
         self.table = ChunkTable(self._segment, limit)
+        self.ranks = rank_encoding(path)
 
     def _segment(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks that are not in the table: of their words, each looked up there first."""
@@ -127,8 +170,18 @@ class Tokens:
 
     def _plain(self, texts: list[str | None]) -> list[bytes]:
         """Ids of texts without added tokens."""
-        chunked = [split_before_blanks(t) if t else [] for t in texts]
-        return [b"".join(v) for v in self.table.look_up(chunked)]
+        import numpy as np
+
+        out = [b""] * len(texts)
+        rest = [i for i, t in enumerate(texts) if t and (self.ranks is None or _LONG_BLANK.search(t))]
+        chunked = self.table.look_up([split_before_blanks(texts[i]) for i in rest]) if rest else []
+        for i, v in zip(rest, chunked):
+            out[i] = b"".join(v)
+        left = set(rest)
+        for i, t in enumerate(texts):
+            if t and i not in left:
+                out[i] = np.array(self.ranks.encode_ordinary(t), "<u4").tobytes()
+        return out
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048,

@@ -92,6 +92,34 @@ def test_tokens_equal_the_library():
         assert own.ids(part) == want
 
 
+def test_rank_encoder_equals_the_library_and_takes_proven_files_only(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    t = Tokenizer.from_file(path)
+    own = packing.Tokens(path, added=True)
+    assert own.ranks is not None
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = ["".join(f"a{chr(c)}a 1{chr(c)}1 {chr(c)} .{chr(c)}.  {chr(c)}" for c in points[i:i + 500])
+             for i in range(0, len(points), 500)]
+    texts += [" " * 200_000, "a" + "\n" * 200_000 + "b", "\t " * 600 + "x", "x" * 100_000, "-=" * 50_000, "<|endoftext|> " * 300]
+    for i in range(0, len(texts), 200):
+        part = texts[i:i + 200]
+        assert own.ids(part) == [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(part, add_special_tokens=False)]
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    swapped = spec["model"]["merges"]
+    swapped[0], swapped[1] = swapped[1], swapped[0]  # ids no longer ascend along the list
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec), encoding="utf-8")
+    assert packing.rank_encoding(str(other)) is None
+    texts = ["the cat and an ant", "", "  x  y\n\nz", "it's"]
+    assert packing.Tokens(str(other)).ids(texts) == [
+        np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(str(other)).encode_batch(texts, add_special_tokens=False)]
+
+
 def test_special_tokens_equal_the_unmodified_library(spark):
     from tokenizers import Tokenizer
 
