@@ -1,8 +1,8 @@
 from pairforge.functions.patterns import (  # noqa: F401
     DEFAULT_SPECIAL_TOKEN,
-    JAVA_PRETOKEN_PATTERN,
     PRETOKEN_PATTERN,
     byte_alphabet,
+    java_pretoken_pattern,
     specials_pattern,
 )
 from pairforge.functions.expressions import (  # noqa: F401

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pairforge.functions.patterns import JAVA_PRETOKEN_PATTERN, specials_pattern
+from pairforge.functions.patterns import java_pretoken_pattern, specials_pattern
 
 SURROGATE_LO = 0xD800
 SURROGATE_SHIFT = 0x800
@@ -112,7 +112,7 @@ def specials_in_order(text, special_tokens=()) -> Column:
 
 def pretokens(text, special_tokens=()) -> Column:
     """ARRAY<STRING> of pre-tokens; pre-tokens never span a special token."""
-    pat = F.lit(JAVA_PRETOKEN_PATTERN)
+    pat = F.lit(java_pretoken_pattern())
     t = _col(text)
     if specials_pattern(special_tokens) is None:
         return F.regexp_extract_all(t, pat, F.lit(0))

@@ -12,6 +12,8 @@ Fixed values (do not edit; results depend on them):
   U+202F, U+205F, U+3000
 """
 
+from functools import cache
+
 # Fixed values ------------------------------------------------------------
 PRETOKEN_PATTERN = (
     r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -24,9 +26,50 @@ WHITESPACE_CLASS = (
 )
 # -------------------------------------------------------------------------
 
-# Java regex flavour: (?U) makes \s, \p{L}, \p{N} follow Unicode like the
-# `regex` module does (25 white-space code points instead of 6).
-JAVA_PRETOKEN_PATTERN = "(?U)" + PRETOKEN_PATTERN
+
+def category_ranges(category: str) -> list[tuple[int, int]]:
+    """Code-point ranges of a general category above ASCII, by the newest table at hand.
+
+    That is the `regex` module's where it is installed, else the standard library's.
+    """
+    chars = "".join(map(chr, range(0x80, 0x110000)))
+    try:
+        import regex
+    except ImportError:
+        import unicodedata
+        from itertools import groupby
+
+        runs = ((k, list(g)) for k, g in groupby(chars, lambda c: unicodedata.category(c)[0] == category))
+        return [(ord(g[0]), ord(g[-1])) for k, g in runs if k]
+    return [(0x80 + m.start(), 0x80 + m.end() - 1) for m in regex.finditer(rf"\p{{{category}}}+", chars)]
+
+
+def java_class(ranges: list[tuple[int, int]], leaf: int = 8) -> str:
+    """The inside of a java.util.regex class for sorted ranges, as a search tree.
+
+    A plain union tests its ranges one after another; here ``[low-high&&[...]]`` skips
+    a half at a time, and a character below the first range costs one test.
+    """
+    def span(lo, hi):
+        return rf"\x{{{lo:X}}}-\x{{{hi:X}}}"
+
+    if len(ranges) <= leaf:
+        return "".join(span(*r) for r in ranges)
+    mid = len(ranges) // 2
+    return "".join(f"[{span(part[0][0], part[-1][1])}&&[{java_class(part, leaf)}]]" for part in (ranges[:mid], ranges[mid:]))
+
+
+@cache
+def java_pretoken_pattern() -> str:
+    """The pre-token pattern for java.util.regex, with letters and numbers of the newest Unicode table.
+
+    (?U) makes \\s, \\p{L} and \\p{N} follow the JVM's Unicode tables (25 white-space code points
+    instead of 6), which may be years older.  So each class also holds the explicit ranges; the JVM's
+    own class comes first and answers for most characters.
+    """
+    letters, numbers = (f"[{java_class(r)}]" for r in map(category_ranges, "LN"))
+    return ("(?U)" + PRETOKEN_PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"[^\s\p{{L}}\p{{N}}{letters}{numbers}]")
+            .replace(r" ?\p{L}+", rf" ?[\p{{L}}{letters}]+").replace(r" ?\p{N}+", rf" ?[\p{{N}}{numbers}]+"))
 
 
 def java_quote(literal: str) -> str:

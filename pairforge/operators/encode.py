@@ -19,7 +19,7 @@ from pairforge.functions.expressions import (
     split_lines,
     split_on_specials,
 )
-from pairforge.functions.patterns import JAVA_PRETOKEN_PATTERN
+from pairforge.functions.patterns import java_pretoken_pattern
 from pairforge.functions.udfs import make_encode_udf, make_row_udf
 from pairforge.session import ensure_parallel
 
@@ -57,7 +57,7 @@ def _words_and_specials(text: Column, specials: Sequence[str]) -> tuple[Column,
     """Words of each segment between special tokens, and those tokens in order; null is an empty text."""
     t = F.coalesce(text, F.lit(""))
     words = F.transform(split_on_specials(t, specials),
-                        lambda s: F.regexp_extract_all(s, F.lit(JAVA_PRETOKEN_PATTERN), F.lit(0)))
+                        lambda s: F.regexp_extract_all(s, F.lit(java_pretoken_pattern()), F.lit(0)))
     return words, specials_in_order(t, specials)
 
 

@@ -278,6 +278,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM linenc GROUP BY 1"))
     q["stream_encode_totals"] = with_(line_enc, "SELECT doc_id, sum(n_tokens)::BIGINT AS n_tokens FROM linenc "
                                                 "GROUP BY doc_id")
+    q["pretoken_counts_text_ranges"] = q["pretoken_counts"]
     q["stream_word_counts"] = q["pretoken_counts"]
     q["decode_roundtrip"] = "SELECT doc_id, text FROM documents"
     q["decode_skip_specials"] = "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents"

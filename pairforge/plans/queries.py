@@ -517,6 +517,15 @@ def q_train_merges_16_text_files(spark, d):
                                      F.hex("right_bytes").alias("right_hex"))
 
 
+def q_pretoken_counts_text_ranges(spark, d):
+    """Documents written as delimited text, read in byte ranges far smaller than many records, counted."""
+    from pairforge.session import scratch_path
+    from pairforge.sources.ranges import read_text_ranges
+    path = scratch_path(spark, "corpus-ranges")
+    docs(spark, d).select("text").write.option("lineSep", SP).text(path)
+    return word_counts(read_text_ranges(spark, path, SP, range_bytes=1 << 20, piece_bytes=1 << 10), "text", [SP])
+
+
 QUERIES = {
     "pretoken_counts": q_pretoken_counts,
     "pretoken_counts_by_lang": q_pretoken_counts_by_lang,
@@ -566,6 +575,7 @@ QUERIES = {
     "token_offsets_by_lang": q_token_offsets_by_lang,
     "token_shards_ids": q_token_shards_ids,
     "train_merges_16_text_files": q_train_merges_16_text_files,
+    "pretoken_counts_text_ranges": q_pretoken_counts_text_ranges,
     "bundle_merges_roundtrip": q_bundle_merges_roundtrip,
     "text_export_roundtrip": q_text_export_roundtrip,
     "token_shards_totals": q_token_shards_totals,

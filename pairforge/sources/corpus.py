@@ -13,7 +13,7 @@ from pairforge.functions.patterns import DEFAULT_SPECIAL_TOKEN
 
 
 # The well-formed UTF-8 sequences, over the bytes as ISO-8859-1 characters.
-_UTF8 = (r"[\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]"
+UTF8_SEQUENCE = (r"[\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]"
          r"|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}|\xF4[\x80-\x8F][\x80-\xBF]{2}")
 
 
@@ -26,7 +26,7 @@ def decode_utf8_ignore(raw_binary) -> F.Column:
     """
     raw = F.col(raw_binary) if isinstance(raw_binary, str) else raw_binary
     as_text = raw.cast("string")
-    kept = F.regexp_replace(F.decode(raw, "ISO-8859-1"), F.lit(f"({_UTF8})|[\\s\\S]"), F.lit("$1"))
+    kept = F.regexp_replace(F.decode(raw, "ISO-8859-1"), F.lit(f"({UTF8_SEQUENCE})|[\\s\\S]"), F.lit("$1"))
     return F.when(F.is_valid_utf8(as_text), as_text).otherwise(F.encode(kept, "ISO-8859-1").cast("string"))
 
 

@@ -4,7 +4,7 @@ import regex
 from pyspark.sql import functions as F
 
 from pairforge.functions.expressions import pretokens, split_lines, split_on_specials
-from pairforge.functions.patterns import PRETOKEN_PATTERN
+from pairforge.functions.patterns import PRETOKEN_PATTERN, java_class
 from pairforge.operators.pretokenize import word_counts
 
 
@@ -69,3 +69,26 @@ def test_missing_input_reports_path(spark):
     from pairforge.sources.corpus import read_documents
     with pytest.raises(FileNotFoundError):
         read_documents(spark, "/nonexistent/docs.parquet")
+
+
+def test_every_code_point_follows_the_newest_unicode_table(spark):
+    """Each code point in the places where its class decides where pre-tokens end."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"a{chr(c)}a1{chr(c)}1 {chr(c)}.{chr(c)}. {chr(c)}'{chr(c)} " for c in points]
+    step = 4096
+    df = spark.createDataFrame([(i, " \n".join(texts[i:i + step])) for i in range(0, len(texts), step)], "i int, text string")
+    pat = regex.compile(PRETOKEN_PATTERN)
+    got = {r.i: list(r.p) for r in df.repartition(16).select("i", pretokens("text", []).alias("p")).collect()}
+    bad = [i for i, p in got.items() if p != pat.findall(" \n".join(texts[i:i + step]))]
+    assert len(got) == -(-len(texts) // step) and not bad, [hex(points[i]) for i in bad]
+
+
+def test_tree_class_holds_exactly_its_ranges(spark):
+    ranges = [(0x100 + 5 * i, 0x100 + 5 * i + i % 3) for i in range(100)]
+    inside = {c for lo, hi in ranges for c in range(lo, hi + 1)}
+    df = spark.range(0xF0, 0x320).select("id", F.expr(
+        "decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    got = {r.id for r in df.where(F.col("c").rlike(f"^[{java_class(ranges, 3)}]$")).collect()}
+    assert got == inside
+    got = {r.id for r in df.where(F.col("c").rlike(f"^[^a[{java_class(ranges, 3)}]]$")).collect()}
+    assert got == set(range(0xF0, 0x320)) - inside
