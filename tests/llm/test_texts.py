@@ -261,6 +261,55 @@ def test_redact(spark):
 
 # 5. sharding
 
+def pack_one_by_one(sizes, shards):
+    """Best-fit decreasing, an item at a time: the least room that holds it, else the most room."""
+    own = []
+    while len(own) < shards - 1 and len(own) < len(sizes) and sizes[len(own)] * (shards - len(own)) >= sum(sizes[len(own):]):
+        own.append(len(own))
+    rest = sizes[len(own):]
+    rooms = {i: -(-sum(rest) // (shards - len(own))) for i in range(len(own), shards)}
+    out = own
+    for s in rest:
+        fits = [(r, i) for i, r in rooms.items() if r >= s]
+        i = min(fits)[1] if fits else max((r, i) for i, r in rooms.items())[1]
+        rooms[i] -= s
+        out.append(i)
+    return out
+
+
+def test_packing_of_runs_equals_one_by_one():
+    rng = random.Random(21)
+    for _ in range(300):
+        top = rng.choice([3, 20, 1000])
+        sizes = sorted((rng.randint(1, top) * rng.choice([1, 1, 1, 30]) for _ in range(rng.randint(0, 200))), reverse=True)
+        shards = rng.randint(1, 9)
+        runs = sorted(collections.Counter(sizes).items(), reverse=True)
+        steps = list(sharding.best_fit_runs(runs, sum(sizes), shards))
+        assert [i for _, k, i in steps for _ in range(k)] == pack_one_by_one(sizes, shards)
+        assert [s for s, k, _ in steps for _ in range(k)] == sizes
+        assert sharding.best_fit_decreasing(sizes, shards) == pack_one_by_one(sizes, shards)
+
+
+def test_every_group_is_packed_at_any_size(spark):
+    """More groups than ``grain``: each group's shard is that of best-fit decreasing over all groups by size, then hash."""
+    rng = random.Random(22)
+    texts = [f"{i:06d}" + "x" * rng.choice([0, 1, 2, 50, 51, 300]) for i in range(6000)]
+    texts += [t for t in texts[:300] for _ in range(rng.randint(1, 3))] + ["hot " * 20] * 2500 + [None, ""]
+    rng.shuffle(texts)
+    got = sharding.assign_shards(frame(spark, list(enumerate(texts))).repartition(5), grain=50).collect()
+    total = collections.Counter()
+    for t in texts:
+        total[t or ""] += len((t or "").encode()) + 1
+    order = sorted(total, key=lambda t: (-total[t], hashlib.sha256(t.encode()).digest()))
+    want = dict(zip(order, pack_one_by_one([total[t] for t in order], 8)))
+    assert len(got) == len(texts)
+    assert [(r.doc_id, r.shard) for r in got if r.shard != want[texts[r.doc_id] or ""]] == []
+    slots = collections.defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_sharding(spark):
     rng = random.Random(4)
     rows = awkward() + [(100 + i, prose(rng, rng.randint(1, 80))) for i in range(400)] + [(900 + i, "copy " * 40) for i in range(60)]
