@@ -485,11 +485,16 @@ def q_token_shards_range(spark, d):
     return read_token_shards(spark, path, split="val", begin=1_000, end=61_000)
 
 
+def _documents_path(d: str) -> str:
+    """The documents as one file or, in larger tables, as a folder of files."""
+    return f"{d.rstrip('/')}/documents.parquet"
+
+
 def q_stream_encode_totals(spark, d):
     from pairforge.session import scratch_path
     from pairforge.streaming.encode_stream import document_stream, start_stream_encode
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    st = document_stream(spark, d, DOC_SCHEMA, glob="documents.parquet")
+    st = document_stream(spark, _documents_path(d), DOC_SCHEMA)
     start_stream_encode(st, model_for(spark, d), out, ck).awaitTermination()
     return (spark.read.parquet(out).groupBy("doc_id")
             .agg(F.sum("n_tokens").cast("bigint").alias("n_tokens")))
@@ -499,7 +504,7 @@ def q_stream_word_counts(spark, d):
     from pairforge.session import scratch_path
     from pairforge.streaming.encode_stream import document_stream, latest_word_counts, start_word_counts
     out, ck = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
-    st = document_stream(spark, d, DOC_SCHEMA, glob="documents.parquet")
+    st = document_stream(spark, _documents_path(d), DOC_SCHEMA)
     start_word_counts(st, out, ck).awaitTermination()
     return latest_word_counts(spark, out).select("word", F.col("n").cast("bigint").alias("n"))
 

@@ -17,6 +17,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,15 @@ from pairforge.operators.encode import encode
 
 def document_stream(spark: SparkSession, path: str, schema: str, glob: str | None = None,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """A parquet directory (or one file pattern in it) as a stream of documents."""
+    """A parquet directory (or one file pattern in it), or a single file, as a stream of documents.
+
+    A stream's source is a folder, so a path that is a file is taken from its folder by name.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if glob is None and fs.exists(at) and fs.getFileStatus(at).isFile():
+        path, glob = at.getParent().toString(), re.sub(r"([\\*?\[\]{}])", r"\\\1", at.getName())
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
