@@ -1,8 +1,8 @@
 """The one piece of Python on the way of a row: BPE-encoding its distinct words.
 
 Spark pre-tokenizes; Arrow batches arrive as arrays of words, distinct words are
-encoded once per batch and worker and put back by position.  The helper turns one
-word's bytes into ids by repeatedly merging its lowest-ranked adjacent pair
+encoded once per slice of a batch and put back by position.  The helper turns the
+words' bytes into ids by repeatedly merging a word's lowest-ranked adjacent pair
 (equivalent to replaying the merge list in rank order, since a merge that
 uses token t always ranks after the merge that made t).
 """
@@ -86,36 +86,92 @@ def make_encode_udf(broadcast_table, byte_ids_broadcast=None, unk_id: int | None
     return encode_word
 
 
-WORD_CACHE = 500_000      # words kept per worker, of at most WORD_CACHE_CHARS characters
-WORD_CACHE_CHARS = 64
+SHORT_WORD = 64           # bytes; longer words go one by one through the heap
+SLICE_ITEMS = 1 << 19     # words and specials that are worked on at a time
 
 
-def _worker_words(model_id: str) -> dict:
-    """The worker's table of encoded words of one model.
+def _rank_table(table, byte_ids):
+    """Sorted pair keys with their ranks and new ids, the key's base, and the id of each byte (-1: none)."""
+    import numpy as np
 
-    Worker code is pickled by value, so its globals are new in every task; the
-    table lives on the process instead.
-    """
-    import sys
-    import types
+    of_byte = np.arange(256) if byte_ids is None else np.array([byte_ids.get(b, -1) for b in range(256)])
+    base = 1 + max([256, int(of_byte.max()), *(max(a, b, n) for (a, b), (_, n) in table.items())])
+    rows = sorted((a * base + b, rank, n) for (a, b), (rank, n) in table.items())
+    keys, ranks, made = (np.array([r[i] for r in rows], "int64") for i in range(3))
+    return keys, ranks, made, base, of_byte
+
+
+def ids_of_words(words: pa.Array, table, byte_ids=None, unk_id: int | None = None, ranks=None):
+    """(ids one after another, ids per word) of an array of words: ``word_ids`` of all of them at once.
 
-    name = "_pairforge_encoded_words"
-    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-    if held.get("of") != model_id or len(held["ids"]) > WORD_CACHE:
-        held.update(of=model_id, ids={})
-    return held["ids"]
+    Every round merges in each word all places of its lowest-ranked pair, left to right; a word
+    without a pair to merge leaves the rounds.  A round costs the words still in it.
+    """
+    import numpy as np
+
+    none = np.iinfo("int64").max
+    keys, rank_of, made, base, of_byte = ranks or _rank_table(table, byte_ids)
+    raw = words.cast(pa.large_binary())
+    ends = np.frombuffer(raw.buffers()[1], "int64")[raw.offset:raw.offset + len(raw) + 1]
+    if not len(raw) or ends[-1] == ends[0]:
+        return np.zeros(0, "int32"), np.zeros(len(raw), "int64")
+    flat = of_byte[np.frombuffer(raw.buffers()[2], "uint8")[ends[0]:ends[-1]]].astype("int32")
+    if (flat < 0).any():
+        if unk_id is None:
+            raise ValueError("a byte is outside the model's alphabet and the model has no unknown token")
+        flat[flat < 0] = unk_id
+    starts = ends[:-1] - ends[0]
+    sizes = np.diff(ends)
+    out_sizes = sizes.copy()
+    for w in np.flatnonzero(sizes > SHORT_WORD):
+        at = starts[w]
+        got = bpe_ids_long(flat[at:at + sizes[w]].tolist(), table)
+        flat[at:at + len(got)], out_sizes[w] = got, len(got)
+    active = np.flatnonzero((sizes > 1) & (sizes <= SHORT_WORD)) if len(keys) else np.zeros(0, "int64")
+    cur = flat[np.repeat(starts[active], sizes[active]) + _within(sizes[active])]
+    while len(active):
+        n = out_sizes[active]
+        first = np.cumsum(n) - n
+        pair = cur[:-1].astype("int64") * base + cur[1:]
+        at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        rank = np.full(len(cur), none)
+        rank[:-1] = np.where(keys[at] == pair, rank_of[at], none)
+        rank[first + n - 1] = none                   # a word's last token begins no pair
+        best = np.minimum.reduceat(rank, first)
+        going = best != none
+        hit = np.flatnonzero((rank == np.repeat(best, n)) & np.repeat(going, n))
+        # neighbouring places of one pair (aaa) overlap: every second one of a run is merged
+        new_run = np.ones(len(hit), bool)
+        new_run[1:] = hit[1:] != hit[:-1] + 1
+        run = np.flatnonzero(new_run)
+        hit = hit[(np.arange(len(hit)) - np.repeat(run, np.diff(np.append(run, len(hit))))) % 2 == 0]
+        cur[hit] = made[at[hit]]
+        kept = np.ones(len(cur), bool)
+        kept[hit + 1] = False
+        n = np.add.reduceat(kept, first, dtype="int64")
+        cur = cur[kept]
+        done = ~going
+        flat[np.repeat(starts[active[done]], n[done]) + _within(n[done])] = cur[np.repeat(done, n)]
+        out_sizes[active] = n
+        cur = cur[np.repeat(going, n)]
+        active = active[going]
+    return flat[np.repeat(starts, out_sizes) + _within(out_sizes)], out_sizes
+
+
+def _within(sizes):
+    """0, 1, ... in each run of the given sizes."""
+    import numpy as np
+
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def make_row_udf(broadcast_table, byte_ids_broadcast, unk_id: int | None, special_ids: dict[str, int], counts: bool):
     """Arrow UDF (words by segment, specials between the segments) -> ids of the row, or their number.
 
-    Words are encoded once per batch and worker: each batch is dictionary-encoded,
-    and a worker keeps what it has encoded in a bounded table.
+    A batch is taken in slices of rows with a bounded number of items, and the distinct words of a slice are
+    encoded at once; besides the batch and its ids a worker holds one slice, whatever it has seen before.
     """
-    import uuid
-
     kind = T.IntegerType() if counts else T.ArrayType(T.IntegerType())
-    model_id = uuid.uuid4().hex
 
     @F.arrow_udf(kind)
     def encode_rows(words: pa.Array, found: pa.Array) -> pa.Array:
@@ -123,45 +179,53 @@ def make_row_udf(broadcast_table, byte_ids_broadcast, unk_id: int | None, specia
 
         table = broadcast_table.value
         byte_ids = byte_ids_broadcast.value if byte_ids_broadcast is not None else None
-        known = _worker_words(model_id)
-
-        def ids_of(w):
-            got = known.get(w)
-            if got is None:
-                got = np.array(word_ids(w, table, byte_ids, unk_id), "int32")
-                if len(w) <= WORD_CACHE_CHARS:
-                    known[w] = got
-            return got
-
-        segments = words.flatten()                       # every row has one segment more than specials
-        flat = segments.flatten().dictionary_encode()
-        own = [ids_of(w) for w in flat.dictionary.to_pylist()]
-        marks = found.flatten().dictionary_encode()
-        own += [np.array([special_ids[w]], "int32") for w in marks.dictionary.to_pylist()]
-        word_code = np.asarray(flat.indices, "int64")
-        mark_code = np.asarray(marks.indices, "int64") + len(flat.dictionary)
-        per_row = np.asarray(words.value_lengths(), "int64")
-        per_segment = np.asarray(segments.value_lengths(), "int64")
-        row = np.repeat(np.arange(len(words)), per_row)
-        last = np.zeros(len(per_segment), bool)
-        last[np.cumsum(per_row) - 1] = True
-        # items in order: the words of a segment, then the special that ends it
-        items = per_segment + ~last
-        end = np.cumsum(items)
-        code = np.empty(int(items.sum()), "int64")
-        is_mark = np.zeros(len(code), bool)
-        is_mark[end[~last] - 1] = True
-        code[is_mark], code[~is_mark] = mark_code, word_code
-        sizes = np.array([len(x) for x in own], "int64")
-        token_ends = np.concatenate([[0], np.cumsum(sizes[code])]) if len(code) else np.zeros(1, "int64")
-        row_items = np.bincount(row, weights=items, minlength=len(words)).astype("int64")
-        bounds = token_ends[np.concatenate([[0], np.cumsum(row_items)])]
+        ranks = _rank_table(table, byte_ids)
+
+        def encode_slice(words, found):
+            """Tokens of each row, and with ``counts`` off their ids one after another."""
+            segments = words.flatten()                       # every row has one segment more than specials
+            flat = segments.flatten().dictionary_encode()
+            pool, sizes = ids_of_words(flat.dictionary, table, byte_ids, unk_id, ranks)
+            marks = found.flatten().dictionary_encode()
+            own = [special_ids[w] for w in marks.dictionary.to_pylist()]
+            pool, sizes = np.append(pool, np.array(own, "int32")), np.append(sizes, np.ones(len(own), "int64"))
+            per_row = np.asarray(words.value_lengths(), "int64")
+            per_segment = np.asarray(segments.value_lengths(), "int64")
+            last = np.zeros(len(per_segment), bool)
+            last[np.cumsum(per_row) - 1] = True
+            # items in order: the words of a segment, then the special that ends it
+            items = per_segment + ~last
+            is_mark = np.zeros(int(items.sum()), bool)
+            is_mark[np.cumsum(items)[~last] - 1] = True
+            code = np.empty(len(is_mark), "int32")
+            code[is_mark] = np.asarray(marks.indices, "int32") + len(flat.dictionary)
+            code[~is_mark] = np.asarray(flat.indices, "int32")
+            item_sizes = sizes[code]
+            item_ends = np.concatenate([[0], np.cumsum(item_sizes)])
+            row_ends = np.cumsum(np.concatenate([[0], items]))[np.concatenate([[0], np.cumsum(per_row)])]
+            tokens = np.diff(item_ends[row_ends])
+            if counts:
+                return tokens, None
+            at = np.repeat((np.cumsum(sizes) - sizes)[code] - item_ends[:-1], item_sizes)
+            at += np.arange(len(at))
+            return tokens, pool[at]
+
+        # words and specials up to each row
+        segment_ends = np.concatenate([[0], np.cumsum(np.asarray(words.flatten().value_lengths(), "int64"))])
+        per_row = np.concatenate([[0], np.cumsum(np.asarray(words.value_lengths(), "int64"))])
+        weight = segment_ends[per_row] + per_row
+        done = []
+        i = 0
+        while i < len(words):
+            j = max(i + 1, int(np.searchsorted(weight, weight[i] + SLICE_ITEMS, "right")) - 1)
+            done.append(encode_slice(words.slice(i, j - i), found.slice(i, j - i)))
+            i = j
+        tokens = np.concatenate([d[0] for d in done]) if done else np.zeros(0, "int64")
         if counts:
-            return pa.array(np.diff(bounds).astype("int32"))
-        pool = np.concatenate(own) if own else np.zeros(0, "int32")
-        starts = np.cumsum(sizes) - sizes
-        at = np.repeat(starts[code] - token_ends[:-1], sizes[code]) + np.arange(token_ends[-1])
-        return pa.ListArray.from_arrays(pa.array(bounds.astype("int32")), pa.array(pool[at]))
+            return pa.array(tokens.astype("int32"))
+        ids = np.concatenate([d[1] for d in done]) if done else np.zeros(0, "int32")
+        del done
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(tokens)).astype("int32")), pa.array(ids))
 
     # evaluated once: a filter on the result must not be pushed below and run it again
     return encode_rows.asNondeterministic()
