@@ -15,8 +15,9 @@ streams apart by a text that is equal where Spark's grouping is: one NaN, one ze
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,38 +27,44 @@ from pairforge.session import spill_table
 TOKENS_PER_RANGE = 16 << 20
 
 
-def _running(n_col: str, keys: Sequence[str]):
-    """Arrow batches in order -> the same with task, exclusive sum in the stream, first-stream flag."""
+PLACE = T.StructType([T.StructField("_task", T.IntegerType()), T.StructField("_in", T.LongType()), T.StructField("_first", T.BooleanType())])
 
-    def run(batches):
+
+def _running():
+    """(token count, keys...) of a task's rows in order -> task, exclusive sum in the stream, first-stream flag.
+
+    Spark keeps the other columns; only counts and keys go through Python.
+    """
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         import numpy as np
-        import pyarrow as pa
         from pyspark import TaskContext
 
         task, before, held, first = TaskContext.get().partitionId(), 0, None, True
-        for b in batches:
-            n = np.asarray(b.column(n_col).fill_null(0), "int64")
-            if not len(n):
-                continue
-            new = np.zeros(len(n), bool)  # a row that starts a stream
-            for i, k in enumerate(keys):
-                codes = np.asarray(b.column(k).dictionary_encode(null_encoding="encode").indices, "int64")
-                new[1:] |= codes[1:] != codes[:-1]
-                new[0] |= held is not None and held[i] != b.column(k)[0].as_py()
-            held = [b.column(k)[len(n) - 1].as_py() for k in keys]
-            ends = np.cumsum(n)
-            starts = np.flatnonzero(new)
-            stream = np.cumsum(new)
-            base = np.concatenate([[-before], (ends - n)[starts]])[stream]
-            out = ends - n - base
-            before = int(out[-1] + n[-1])
-            is_first = (stream == 0) & first
-            first = bool(is_first[-1])
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(len(n), task, "int32")), pa.array(out), pa.array(is_first)],
-                names=[*b.schema.names, "_task", "_in", "_first"])
-
-    return run
+        for columns in batches:
+            counts, *keys = [columns] if isinstance(columns, pa.Array) else columns  # one column comes by itself
+            n = np.asarray(counts.fill_null(0), "int64")
+            if len(n):
+                new = np.zeros(len(n), bool)  # a row that starts a stream
+                for i, k in enumerate(keys):
+                    codes = np.asarray(k.dictionary_encode(null_encoding="encode").indices, "int64")
+                    new[1:] |= codes[1:] != codes[:-1]
+                    new[0] |= held is not None and held[i] != k[0].as_py()
+                held = [k[len(n) - 1].as_py() for k in keys]
+                ends = np.cumsum(n)
+                starts = np.flatnonzero(new)
+                stream = np.cumsum(new)
+                base = np.concatenate([[-before], (ends - n)[starts]])[stream]
+                out = ends - n - base
+                before = int(out[-1] + n[-1])
+                is_first = (stream == 0) & first
+                first = bool(is_first[-1])
+            else:
+                out, is_first = n, np.zeros(0, bool)
+            yield pa.StructArray.from_arrays([pa.array(np.full(len(n), task, "int32")), pa.array(out), pa.array(is_first)],
+                                             names=["_task", "_in", "_first"])
+
+    return F.arrow_udf(run, PLACE).asNondeterministic()
 
 
 def _identity(field: T.StructField):
@@ -85,11 +92,10 @@ def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str
         buckets = max(spark.sparkContext.defaultParallelism, -(-int(total) // TOKENS_PER_RANGE))
     ids = [f"_k{i}" for i in range(len(partition))]
     keyed = rows.select("*", *(_identity(rows.schema[p]).alias(k) for p, k in zip(partition, ids)))
-    schema = T.StructType([*keyed.schema, T.StructField("_task", T.IntegerType()), T.StructField("_in", T.LongType()),
-                           T.StructField("_first", T.BooleanType())])
     by = [*partition, *order]
     ranged = keyed.repartitionByRange(max(1, buckets), *by).sortWithinPartitions(*by)
-    placed = spill_table(ranged.mapInArrow(_running(n_col, ids), schema).drop(*ids), "offset-ranges")
+    place = _running()(F.col(n_col).cast("bigint"), *(F.col(i) for i in ids)).alias("_p")
+    placed = spill_table(ranged.select(*rows.columns, place).select(*rows.columns, "_p.*"), "offset-ranges")
     totals = placed.groupBy("_task", *partition).agg(F.sum(n_col).alias("_n"), F.max("_first").alias("_first"))
     earlier = Window.partitionBy(*partition).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     bases = (totals.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).where("_first")
