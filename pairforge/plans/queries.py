@@ -401,7 +401,7 @@ def q_token_shards_totals(spark, d):
     toks = encode_splits(spark, {"train": src.where(~(F.col("doc_id") % 10 == 0)),
                                  "val": src.where(F.col("doc_id") % 10 == 0)}, model_for(spark, d), unit="line")
     path = scratch_path(spark, "shards")
-    write_token_shards(toks, path, order=("doc_id", "line_no"))
+    write_token_shards(toks, path, order=("doc_id", "line_no"), in_runs=True)
     return shard_listing(spark, path).groupBy("split").agg(F.sum("n_tokens").cast("bigint").alias("n_tokens"))
 
 
@@ -413,7 +413,7 @@ def q_token_shards_ids(spark, d):
     toks = encode_splits(spark, {"train": src.where(~(F.col("doc_id") % 10 == 0)),
                                  "val": src.where(F.col("doc_id") % 10 == 0)}, model_for(spark, d), unit="line")
     path = scratch_path(spark, "shards")
-    write_token_shards(toks, path)
+    write_token_shards(toks, path, in_runs=True)
     return read_token_shards(spark, path)
 
 
@@ -481,7 +481,7 @@ def q_token_shards_range(spark, d):
     toks = encode_splits(spark, {"train": src.where(~(F.col("doc_id") % 10 == 0)),
                                  "val": src.where(F.col("doc_id") % 10 == 0)}, model_for(spark, d), unit="line")
     path = scratch_path(spark, "shards")
-    write_token_shards(toks, path)
+    write_token_shards(toks, path, in_runs=True)
     return read_token_shards(spark, path, split="val", begin=1_000, end=61_000)
 
 

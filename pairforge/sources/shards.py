@@ -1,7 +1,8 @@
 """Contiguous uint16 token shards (S12, S13, J3): batch writer, streaming writer and range reader.
 
 Rows ``split, start_pos, ids`` are range-partitioned by position and sorted inside
-each partition, so every task writes one contiguous run of the stream to
+each partition, so every task writes one contiguous run of the stream (rows that come in runs
+already are not dealt again: each run is a file), to
 ``{path}/{split}/shard-{first start_pos:020d}.bin`` (little-endian uint16); listing a
 split's files by name gives the stream in order.  Writers take Arrow batches: a run of rows of
 one split is one slice of the batch's ids, checked and written at once.  Files are written
@@ -73,8 +74,11 @@ def _fs(path: str):
     return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
 
 
-def _runs(batch):
-    """(split, first row, end row, ids of these rows) of each run of rows of one split in an Arrow batch."""
+def _runs(batch, places: bool = False):
+    """(split, first row, end row, ids of these rows) of each run of rows of one split in an Arrow batch.
+
+    With ``places`` a run also ends where the next row's ``start_pos`` does not follow.
+    """
     import numpy as np
     import pyarrow as pa
 
@@ -84,7 +88,11 @@ def _runs(batch):
         raise ValueError("ids must not be null")
     offsets, values = np.asarray(lists.offsets), np.asarray(lists.values)
     codes = np.asarray(splits.dictionary_encode(null_encoding="encode").indices)
-    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else []
+    new = codes[1:] != codes[:-1]
+    if places and len(codes):
+        at = np.asarray(batch.column(batch.schema.get_field_index("start_pos")), "int64")
+        new |= at[1:] != at[:-1] + np.diff(offsets)[:-1]
+    starts = np.flatnonzero(np.concatenate([[True], new])) if len(codes) else []
     for i, j in zip(starts, [*starts[1:], len(codes)]):
         ids = values[offsets[i]:offsets[j]]
         if ids.size and (ids.max() > UINT16_MAX or ids.min() < 0):
@@ -119,8 +127,8 @@ class TokenShardWriter(DataSourceArrowWriter):
 
         for batch in iterator:
             at = batch.column(batch.schema.get_field_index("start_pos"))
-            for split, i, _, ids in _runs(batch):
-                if out is None or split != cur_split:
+            for split, i, _, ids in _runs(batch, places=True):
+                if out is None or split != cur_split or at[i].as_py() != first + n:
                     close()
                     cur_split, first, n = split, at[i].as_py(), 0
                     filesystem.create_dir(f"{root}/{self.job}", recursive=True)
@@ -332,16 +340,22 @@ def check_uint16(tokens: DataFrame, ids_col: str = "ids") -> None:
 
 
 def write_token_shards(tokens: DataFrame, path: str, order=None, shards: int | None = None,
-                       mode: str = "overwrite", tokens_per_shard: int = 64 << 20) -> None:
+                       mode: str = "overwrite", tokens_per_shard: int = 64 << 20, in_runs: bool = False) -> None:
     """Write ``split, start_pos, ids`` rows as ordered uint16 shards.
 
     ``start_pos`` orders the rows (``order`` is accepted for rows without gaps but
     not needed).  By default the number of shards follows the number of tokens.
     Ids that do not fit are found by the task that would write them.
+
+    ``in_runs``: the rows come in long runs of the stream, as ``token_offsets`` leaves them; every run
+    becomes a shard where it is, without a count, a sort and a shuffle of the ids.
     """
     spark = tokens.sparkSession
     register(spark)
     rows = tokens.where(F.size("ids") > 0).select("split", "start_pos", "ids")
+    if in_runs:
+        rows.write.format("token_shards").mode(mode).option("path", qualified(spark, path)).save()
+        return
     if shards is None:
         n = rows.agg(F.sum(F.size("ids"))).first()[0] or 0
         shards = max(spark.sparkContext.defaultParallelism, -(-int(n) // tokens_per_shard))
