@@ -417,19 +417,40 @@ def q_token_shards_ids(spark, d):
     return read_token_shards(spark, path)
 
 
-def _document_batches(spark, d, n: int = 3):
-    """The documents as files in order of doc_id that a stream takes one at a time."""
+BATCH_BYTES = 256 << 20   # text in one batch of a document stream
+BATCH_GROUP_BYTES = 8 << 20  # row groups of its file, so that many tasks read it
+
+
+def _document_batches(spark, d, n: int = 3, batch_bytes: int = BATCH_BYTES):
+    """The documents as files in order of doc_id that a stream takes one at a time.
+
+    There are ``n`` files, and more where one would hold over ``batch_bytes``; a task writes one, all at once.
+    Documents without an id have no place in that order and are left out.
+    """
     from pairforge.session import scratch_path
     from pairforge.streaming.encode_stream import document_stream
-    src = docs(spark, d).select("doc_id", "text")
+    src = docs(spark, d).select("doc_id", "text").where(F.col("doc_id").isNotNull())
     path = scratch_path(spark, "stream-in")
-    cuts = [None, *(src.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.01)), None]
-    for low, high in zip(cuts, cuts[1:]):  # later files are newer, and a stream takes older ones first
-        part = src.where((F.lit(True) if low is None else F.col("doc_id") > low) & (F.lit(True) if high is None else F.col("doc_id") <= high))
-        part.repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id").write.mode("append").parquet(path)
+    total = src.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
+    n = max(n, -(-total // batch_bytes))
+    (src.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id").write
+     .option("parquet.block.size", BATCH_GROUP_BYTES).parquet(path))
+    _date_in_order(spark, path)
     return document_stream(spark, path, "doc_id BIGINT, text STRING", max_files_per_trigger=1)
 
 
+def _date_in_order(spark, path: str) -> None:
+    """Date the files by name, as tasks end in any order; a stream takes older ones first."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath().getName(), f.getPath(), f.getModificationTime()) for f in fs.listStatus(folder)
+                   if f.getPath().getName().endswith(".parquet"))
+    start = min((t for _, _, t in files), default=0) - 1000 * len(files)
+    for i, (_, file, _) in enumerate(files):
+        fs.setTimes(file, start + 1000 * i, -1)
+
+
 def q_decode_invalid_utf8(spark, d):
     """Texts cut to bytes in the middle of characters and with foreign bytes between, decoded ignoring errors."""
     from pairforge.sources.corpus import decode_utf8_ignore
