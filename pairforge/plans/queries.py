@@ -40,7 +40,7 @@ from pairforge.operators.vocab import (
 )
 from pairforge.plans.jobs import encode_splits, split_totals
 from pairforge.plans.train import TrainConfig, train
-from pairforge.session import spill_table
+from pairforge.session import ensure_parallel, spill_table
 from pairforge.sources.corpus import line_counts, read_table, split_documents
 
 SP = DEFAULT_SPECIAL_TOKEN
@@ -536,7 +536,7 @@ def q_train_merges_16_text_files(spark, d):
     from pairforge.session import scratch_path
     from pairforge.sources.corpus import read_text_records
     path = scratch_path(spark, "corpus-text")
-    docs(spark, d).select("text").repartition(4).write.option("lineSep", SP).text(path)
+    ensure_parallel(docs(spark, d).select("text")).write.option("lineSep", SP).text(path)
     src = read_text_records(spark, path, SP)
     m = train(spark, src, TrainConfig(vocab_size=257 + ORACLE_MERGES))
     return m.merges_df(spark).select("rank", F.hex("left_bytes").alias("left_hex"),
