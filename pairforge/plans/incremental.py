@@ -7,14 +7,19 @@ known pair sinks to it; only then are the pairs counted again (O2: far fewer cou
 A round asks the cluster for the count changes of known pairs that touch a merge and of new pairs
 above the bound: a few rows.
 
-Where words and counts live is a store.  All give the same merges:
+Rounds work on *pieces* (``CutWords``).  When the whole words are counted, a floor is set below the best
+count; until the best pair sinks to it, no merge can join two tokens whose pair counts no more than the floor.
+So the words are cut there and equal pieces are added up: far fewer rows than words, since rare spellings
+fall apart into common pieces.  At the floor all merges go into the whole words, which are counted and cut again.
 
-* ``ScanWords``: cached word table, rewritten each round; changes come from the words that hold a
-  merged pair; a recount counts all words (``count_mode="frontier"``).
-* ``ScanWords`` with a ``CountLog``: the recount reads counts and their changes instead
+Where pieces and counts live is a store.  All give the same merges:
+
+* ``ScanWords``: cached table, rewritten each round; changes come from the rows that hold a
+  merged pair; a recount above the floor counts the table (``count_mode="frontier"``).
+* ``ScanWords`` with a ``CountLog``: that recount reads counts and their changes instead
   (``count_mode="delta"``, M3).
-* ``WordIndex``: inverted index pair -> words with a ``CountLog``; after the first round the word
-  table is not read again (``count_mode="index"``, Jn2).
+* ``WordIndex``: inverted index pair -> rows with a ``CountLog``; rounds read no word
+  table (``count_mode="index"``, Jn2).
 
 ``CountLog`` and ``WordIndex`` are tables bucketed by pair.  A round appends its signed changes,
 dealt by the same hash, so it shuffles and writes changes only; reading sums or picks the latest
@@ -56,6 +61,12 @@ def merged_sql(seq: str, merges: Sequence[Merge]) -> str:
     return seq
 
 
+def replayed_sql(seq: str, merges: Sequence[Merge]) -> str:
+    """``merge_expr`` for any number of merges: a loop, as deep nests of ``replace`` outgrow parser and compiler."""
+    steps = ", ".join(f"struct({sql_text([left, right])} AS pair, {sql_text([new])} AS new)" for left, right, new in merges)
+    return f"aggregate(array({steps}), {seq}, (s, m) -> replace(s, m.pair, m.new))"
+
+
 def holds_sql(seq: str, merges: Sequence[Merge]) -> str:
     """``contains_any`` as text."""
     return " OR ".join(f"contains({seq}, {sql_text(m[:2])})" for m in merges)
@@ -69,11 +80,16 @@ class Frontier:
         self.bound = 0
         self.known: dict[tuple[int, int], int] = {}
 
-    def load(self, rows: Sequence[tuple[str, int]]) -> None:
-        """The top ``size`` pairs, best first; fewer rows mean that there are no others."""
-        self.bound = rows[-1][1] if len(rows) == self.size else 0
+    def load(self, rows: Sequence[tuple[str, int]], floor: int = 0) -> None:
+        """The top ``size`` pairs, best first; fewer rows mean that there are no others above ``floor``."""
+        self.bound = max(floor, rows[-1][1] if len(rows) == self.size else 0)
         self.known = {(char_to_id(p[0]), char_to_id(p[1])): n for p, n in rows if n > self.bound}
 
+    def lift(self, bound: int) -> None:
+        """Forget the pairs that count at most ``bound``."""
+        self.bound = max(self.bound, bound)
+        self.known = {p: n for p, n in self.known.items() if n > self.bound}
+
     def touched(self, merges: Sequence[Merge]) -> list[tuple[int, int]]:
         """Known pairs whose count these merges may change: any other pair overlaps none of them."""
         lefts, rights = {m[0] for m in merges}, {m[1] for m in merges}
@@ -87,9 +103,7 @@ class Frontier:
             else:
                 self.known.pop(p, None)
         if len(self.known) > 4 * self.size:  # forget the lower half; the bound covers it
-            counts = sorted(self.known.values(), reverse=True)
-            self.bound = counts[2 * self.size]
-            self.known = {p: n for p, n in self.known.items() if n > self.bound}
+            self.lift(sorted(self.known.values(), reverse=True)[2 * self.size])
 
 
 def _asked(pairs: Sequence[tuple[int, int]], first_new: int, bound: int) -> str:
@@ -269,18 +283,105 @@ class WordIndex(BucketLog):
         self.log.drop()
 
 
-def open_store(spark: SparkSession, words: DataFrame, cfg, parts: int, max_id: int):
-    words = words.select("seq", F.col("n").cast("bigint").alias("n"))
+#: The floor is the best count over this: at 8 a count and a cut of the whole words serve merges until counts are an eighth.
+FLOOR_SHARE = 8
+
+
+def cut_pieces(words: DataFrame, kept: dict[tuple[int, int], int]) -> DataFrame:
+    """Words ``seq, n`` cut between any two tokens whose pair is not ``kept`` (pair: count); equal pieces added up.
+
+    One regular expression takes tokens as long as the next makes a kept pair, the most frequent left
+    tokens first.  Its loop is possessive, so long words cannot exhaust the stack.
+    """
+    rights: dict[int, list[int]] = {}
+    weight: dict[int, int] = {}
+    for (a, b), n in kept.items():
+        rights.setdefault(a, []).append(b)
+        weight[a] = weight.get(a, 0) + n
+
+    def code(i):
+        return f"\\x{{{ord(id_to_char(i)):x}}}"
+
+    follow = "|".join(f"{code(a)}(?=[{''.join(map(code, sorted(rights[a])))}])" for a in sorted(rights, key=lambda a: (-weight[a], a)))
+    pieces = F.regexp_extract_all("seq", F.lit(f"(?s)(?:{follow})*+."), F.lit(0))
+    return (words.select(F.explode(pieces).alias("seq"), "n").where(F.length("seq") >= 2).groupBy("seq")
+            .agg(F.sum("n").cast("bigint").alias("n")))
+
+
+class CutWords:
+    """The whole words, and a store of their pieces that rounds work on until the whole words are counted anew.
+
+    A token made of others occurs at most as often as any pair of tokens beside each other in it, so while
+    merges count more than ``floor`` none crosses a pair at or below it.  Pairs above the floor are counted
+    exactly by the pieces; the others stay at or below it.
+    """
+
+    def __init__(self, words: DataFrame, parts: int, max_id: int, checkpoint_every: int, open_pieces):
+        self.every, self.round, self.max_id, self.open_pieces = max(1, checkpoint_every), 0, max_id, open_pieces
+        self.words = self._keep(words.where(F.length("seq") >= 2).repartition(parts))
+        self.old: DataFrame | None = None
+        self.pieces, self.floor, self.kept, self.pending = None, 0, {}, []
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        self.round += 1
+        if self.round % self.every == 0:
+            return df.checkpoint(eager=True)
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def counts(self) -> DataFrame:
+        """Counts of all pairs in the whole words as of now."""
+        if self.pending:
+            self._drop_pieces()
+            if self.old is not None:
+                self.old.unpersist()  # `words` was counted, so it is there
+            self.old = self.words
+            self.words = self._keep(self.words.selectExpr(f"{replayed_sql('seq', self.pending)} AS seq", "n").where("length(seq) >= 2"))
+            self.pending = []
+        return pair_counts(self.words, max_id=self.max_id)
+
+    def cut(self, floor: int, kept: dict[tuple[int, int], int]) -> None:
+        """Work on pieces until counts sink to ``floor``; ``kept``: all pairs above it."""
+        self.floor, self.kept = floor, dict(kept)
+
+    def above_floor(self) -> DataFrame | None:
+        """Counts of all pairs above the floor, from the pieces."""
+        return self.pieces.counts().where(F.col("n") > self.floor) if self.pieces else None
+
+    def apply(self, merges: Sequence[Merge], pairs, first_new: int, bound: int):
+        if self.pieces is None and self.kept:
+            self.pieces = self.open_pieces(cut_pieces(self.words, self.kept), self.max_id)
+        self.max_id = max(self.max_id, *(m[2] for m in merges))
+        self.pending += merges
+        return self.pieces.apply(merges, pairs, first_new, bound) if self.pieces else []
+
+    def _drop_pieces(self) -> None:
+        if self.pieces is not None:
+            self.pieces.close()
+        self.pieces, self.kept = None, {}
+
+    def close(self) -> None:
+        self._drop_pieces()
+        for df in (self.old, self.words):
+            if df is not None:
+                df.unpersist()
+
+
+def open_store(spark: SparkSession, words: DataFrame, cfg, parts: int, max_id: int) -> CutWords:
     buckets = cfg.buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if cfg.count_mode == "index":
-        return WordIndex(spark, words, max_id, buckets, cfg.fold_every)
-    return ScanWords(spark, words, parts, max_id, cfg.checkpoint_every, buckets if cfg.count_mode == "delta" else 0, cfg.fold_every)
+
+    def open_pieces(pieces: DataFrame, top_id: int):
+        if cfg.count_mode == "index":
+            return WordIndex(spark, pieces, top_id, buckets, cfg.fold_every)
+        return ScanWords(spark, pieces, parts, top_id, cfg.checkpoint_every, buckets if cfg.count_mode == "delta" else 0, cfg.fold_every)
+
+    return CutWords(words.select("seq", F.col("n").cast("bigint").alias("n")), parts, max_id, cfg.checkpoint_every, open_pieces)
 
 
-def merge_rounds(store, cfg, vocab: dict[int, bytes], kinds: dict[int, str], vocab_table):
+def merge_rounds(store: CutWords, cfg, vocab: dict[int, bytes], kinds: dict[int, str], vocab_table):
     """Yield (merges of a round, top count, was there a recount) until the budget or the pairs are used up.
 
     ``vocab`` and ``kinds`` grow with the merges; ``vocab_table(vocab, kinds)`` gives them as a frame.
+    A batch that takes every known pair may be cut short by the bound, so the pairs are counted before it.
     """
     from pairforge.plans.train import _next_free, accept_batch, rank_candidates
 
@@ -288,20 +389,36 @@ def merge_rounds(store, cfg, vocab: dict[int, bytes], kinds: dict[int, str], voc
     next_id = _next_free(vocab, 256)
     size = max(2, cfg.candidates)
     front = Frontier(size)
+
+    def batch() -> list[tuple[int, int, int]]:
+        return accept_batch(rank_candidates([(*p, n) for p, n in front.known.items()], vocab), False, budget, cfg.batch_merges)
+
+    def spent() -> bool:
+        return len(chosen) == len(front.known) and len(chosen) < budget
+
+    def top(counts: DataFrame) -> list[tuple[str, int]]:
+        return [(r["pair"], int(r["n"])) for r in counts.orderBy(F.desc("n")).limit(size).collect()]
+
     while budget > 0:
-        recount = not front.known
-        if recount:
-            rows = [(r["pair"], int(r["n"])) for r in store.counts().orderBy(F.desc("n")).limit(size).collect()]
+        chosen, recount = batch(), False
+        if spent() and front.bound > store.floor and store.pieces:  # pairs that the frontier forgot
+            recount = True
+            front.load(top(store.above_floor()), store.floor)
+            chosen = batch()
+        if not chosen or spent() and front.bound > 0:
+            recount = True
+            rows = top(store.counts())
             if not rows:
                 return
             front.load(rows)
-        if front.known:
-            ranked = rank_candidates([(*p, n) for p, n in front.known.items()], vocab)
-            chosen = accept_batch(ranked, False, budget, cfg.batch_merges)
-        else:  # all counted pairs tie: rank that level by bytes in Spark
-            level = store.counts().where(F.col("n") == rows[0][1])
-            best = top_pairs(level, vocab_table(vocab, kinds), 1).select("left", "right", "n").first()
-            chosen = [(int(best["left"]), int(best["right"]), int(best["n"]))]
+            chosen = batch()
+            if chosen:
+                front.lift(min(rows[0][1] // FLOOR_SHARE, chosen[-1][2] - 1))
+                store.cut(front.bound, front.known)
+            else:  # all counted pairs tie: rank that level by bytes in Spark
+                level = store.counts().where(F.col("n") == rows[0][1])
+                best = top_pairs(level, vocab_table(vocab, kinds), 1).select("left", "right", "n").first()
+                chosen = [(int(best["left"]), int(best["right"]), int(best["n"]))]
         new: list[Merge] = []
         for a, b, _ in chosen:
             vocab[next_id], kinds[next_id] = vocab[a] + vocab[b], "merge"

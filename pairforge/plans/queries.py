@@ -242,7 +242,7 @@ def q_train_merges_64_delta(spark, d):
 
 
 def q_train_merges_64_index(spark, d):
-    """Words found through the maintained inverted index (Jn2, A2, P10)."""
+    """Pieces of words found through the maintained inverted index (Jn2, A2, P10)."""
     return _merges(spark, model_for(spark, d, merges=64, count_mode="index"))
 
 

@@ -124,6 +124,62 @@ def test_index_lookup_reads_few_buckets_and_no_words(spark, small_docs):
     store.close()
 
 
+def test_words_are_cut_where_no_kept_pair_is(spark):
+    from pairforge.functions.expressions import char_to_id, id_to_char, ids_to_seq
+    from pairforge.operators.merges import merge_expr
+    from pairforge.plans.incremental import cut_pieces, replayed_sql
+    kept = {(97, 98): 9, (98, 97): 4, (93, 94): 3, (92, 45): 3, (45, 93): 1, (10, 91): 2, (0xD800, 0xF800): 5, (0xF800, 39): 1}
+    words = [("ababa", 2), ("abxbab", 3), ("]^\\-]", 1), ("\n[\n[]^", 5), (ids_to_seq([0xD800, 0xF800, 39, 0xD800, 0xF800]), 7), ("a", 4), ("xyz", 1), ("ab" * 100_000, 1)]
+    want = {}
+    for word, n in words:
+        ids = [char_to_id(c) for c in word]
+        piece = [ids[0]]
+        for pair in zip(ids, ids[1:]):
+            if pair not in kept:
+                want[tuple(piece)] = want.get(tuple(piece), 0) + n
+                piece = []
+            piece.append(pair[1])
+        want[tuple(piece)] = want.get(tuple(piece), 0) + n
+    frame = spark.createDataFrame(words, "seq string, n bigint")
+    got = {tuple(char_to_id(c) for c in r.seq): r.n for r in cut_pieces(frame, kept).collect()}
+    assert got == {k: n for k, n in want.items() if len(k) > 1}
+    merges = [(97, 98, 300), (300, 300, 301), (300, 97, 302), (93, 94, 303)]
+    same = frame.select(merge_expr("seq", merges).alias("a"), F.expr(replayed_sql("seq", merges)).alias("b"))
+    assert same.where("a = b").count() == len(words)
+    # far more merges than an expression could nest
+    long = [(97 + i % 20, 98 + i % 20, 400 + i) for i in range(3000)]
+    assert spark.createDataFrame([("zabz",)], "seq string").selectExpr(replayed_sql("seq", long)).first()[0] == f"z{id_to_char(400)}z"
+
+
+def _rows_of_rounds(spark, mode):
+    """Train over 1,500 rare words and a few common ones; the rows that each round worked on."""
+    import random
+
+    from pairforge.operators.vocab import initial_vocab
+    from pairforge.plans.incremental import merge_rounds, open_store
+    rng = random.Random(5)
+    words = {"".join(rng.choice("bcdefghijklmnopqrsuvwxyz") for _ in range(9)): 1 for _ in range(1500)}
+    words |= {" the": 5000, " then": 3000, " that": 2000, "tttt": 900}
+    vocab, kinds = initial_vocab(["<|endoftext|>"])
+    frame = spark.createDataFrame([(w, n) for w, n in words.items()], "seq string, n bigint").repartition(3)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # as training does
+    store = open_store(own, frame, TrainConfig(vocab_size=257 + 6, count_mode=mode, buckets=4, checkpoint_every=3), 3, 256)
+    merges, rows = [], []
+    for new, _, _ in merge_rounds(store, TrainConfig(vocab_size=257 + 6, count_mode=mode, buckets=4), vocab, kinds, None):
+        merges += new
+        if store.pieces:
+            rows.append(store.pieces.index().select("word_id").distinct().count() if mode == "index" else store.pieces.cur.count())
+    store.close()
+    assert merges == weighted_brute_force(list(words.items()), 257 + 6)
+    return rows, len(words)
+
+
+def test_rounds_of_index_work_on_pieces(spark):
+    rows, words = _rows_of_rounds(spark, "index")
+    assert rows and max(rows) < words / 20
+
+
 def test_frontier_bound_covers_what_it_forgets():
     from pairforge.plans.incremental import Frontier
     f = Frontier(3)
