@@ -185,6 +185,11 @@ def test_rounds_of_frontier_work_on_pieces(spark):
     assert rows and max(rows) < words / 20
 
 
+def test_rounds_of_delta_work_on_pieces(spark):
+    rows, words = _rows_of_rounds(spark, "delta")
+    assert rows and max(rows) < words / 20
+
+
 def test_frontier_bound_covers_what_it_forgets():
     from pairforge.plans.incremental import Frontier
     f = Frontier(3)
