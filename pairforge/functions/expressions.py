@@ -124,13 +124,12 @@ def pretokens(text, special_tokens=()) -> Column:
 
 def normalize_newlines(text) -> Column:
     """Universal-newline reading: CRLF and lone CR become LF."""
-    return F.regexp_replace(_col(text), F.lit("\r\n?"), F.lit("\n"))
+    return F.replace(F.replace(_col(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def split_lines(text) -> Column:
     """ARRAY<STRING> of lines, each keeping its trailing LF (like text-mode files)."""
-    parts = F.split(normalize_newlines(text), F.lit("(?<=\n)"), -1)
-    return F.filter(parts, lambda s: F.length(s) > 0)
+    return F.regexp_extract_all(normalize_newlines(text), F.lit("[^\n]+\n?|\n"), F.lit(0))
 
 
 def hex_token(binary) -> Column:

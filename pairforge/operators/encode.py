@@ -4,7 +4,8 @@ Row-local: the JVM regex cuts each text into words by segment between special
 tokens (one evaluation per row), and one Arrow UDF turns the row's words into
 ids with the merges as a broadcast variable (at most vocab_size entries).  No
 token leaves its row, so there is no shuffle, no skew, and rows need no key:
-equal keys stay separate rows.
+equal keys stay separate rows.  Where rows are wanted in an order, the texts are dealt by it before they
+are encoded, as a text is a fraction of its ids.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from pairforge.functions.udfs import make_encode_udf, make_row_udf
 from pairforge.session import ensure_parallel
 
 
+BYTES_PER_RANGE = 16 << 20   # text that a task gets where rows are encoded in an order
+
+
 def _merge_table(model) -> dict[tuple[int, int], tuple[int, int]]:
     return {(a, b): (r, n) for r, (a, b, n) in enumerate(model.merges)}
 
@@ -71,8 +75,11 @@ def encode_words(spark: SparkSession, words: DataFrame, model, word_col: str = "
         "ids", encoder_udf(spark, model)(F.col(word_col)))
 
 
-def _units(spark: SparkSession, df: DataFrame, key: Sequence[str], text_col: str, unit: str) -> tuple[DataFrame, list[str]]:
-    df = ensure_parallel(df.select(*key, text_col), spark)
+def _units(spark: SparkSession, df: DataFrame, key: Sequence[str], text_col: str, unit: str,
+           spread: bool = True) -> tuple[DataFrame, list[str]]:
+    df = df.select(*key, text_col)
+    if spread:
+        df = ensure_parallel(df, spark)
     if unit != "line":
         return df, list(key)
     lines = df.select(*key, F.posexplode(split_lines(text_col)).alias("line_no", text_col))
@@ -80,7 +87,7 @@ def _units(spark: SparkSession, df: DataFrame, key: Sequence[str], text_col: str
 
 
 def encode(spark: SparkSession, df: DataFrame, model, key: Sequence[str] = ("doc_id",),
-           text_col: str = "text", unit: str = "document", skip_empty: bool = False) -> DataFrame:
+           text_col: str = "text", unit: str = "document", skip_empty: bool = False, order: Sequence[str] = ()) -> DataFrame:
     """Encode every row of ``df``: ``key..., [line_no], ids, n_tokens``.
 
     ``unit='document'`` encodes whole texts (training's view); ``unit='line'``
@@ -88,8 +95,15 @@ def encode(spark: SparkSession, df: DataFrame, model, key: Sequence[str] = ("doc
     ``skip_empty`` drops rows without tokens (P9).  ``key`` are columns to keep;
     they need not be unique.  A null or empty text has no ids.  Rows per Arrow
     batch (E12) are ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+
+    ``order``: columns by whose ranges the rows are dealt to tasks and sorted there; the number of
+    ranges follows the bytes of text.
     """
-    rows, kept = _units(spark, df, key, text_col, unit)
+    rows, kept = _units(spark, df, key, text_col, unit, spread=not order)
+    if order:
+        total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        ranges = max(2 * spark.sparkContext.defaultParallelism, -(-int(total) // BYTES_PER_RANGE))
+        rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     udf = make_row_udf(*_encoder_parts(spark, model), model.special_ids(), counts=False)
     ids = udf(*_words_and_specials(F.col(text_col), list(model.special_tokens)))
     out = rows.select(*kept, ids.alias("ids")).withColumn("n_tokens", F.size("ids"))

@@ -9,6 +9,9 @@ such as the train/val split).  No one-task window and no second run of the input
 3. only the first stream of a task can continue one from an earlier task; its base
    is a running sum over at most one row per task and stream end.
 
+Rows that come in ranges of the order already, sorted inside each task (``encode(order=...)``), go straight to
+the sums: they are written once and not shuffled.
+
 Order and partition keys may be of any orderable type and may be null (nulls first).  Tasks tell
 streams apart by a text that is equal where Spark's grouping is: one NaN, one zero.
 """
@@ -78,22 +81,25 @@ def _identity(field: T.StructField):
 
 
 def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str = "n_tokens",
-                  partition: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+                  partition: Sequence[str] = (), buckets: int | None = None, in_order: bool = False) -> DataFrame:
     """Add ``start_pos BIGINT`` (exclusive running sum of ``n_col``).
 
     ``buckets``: number of ranges; by default it follows the token total.  Rows that
     agree on the whole order get positions in the order in which they were sorted.
+
+    ``in_order``: the tasks hold the rows in ranges of ``partition`` and ``order`` and sorted by them.
     """
     order, partition = list(order), list(partition)
     spark = df.sparkSession
-    rows = spill_table(df, "offset-input")
-    if buckets is None:
-        total = rows.agg(F.sum(n_col)).first()[0] or 0
-        buckets = max(spark.sparkContext.defaultParallelism, -(-int(total) // TOKENS_PER_RANGE))
+    rows = df if in_order else spill_table(df, "offset-input")
     ids = [f"_k{i}" for i in range(len(partition))]
-    keyed = rows.select("*", *(_identity(rows.schema[p]).alias(k) for p, k in zip(partition, ids)))
-    by = [*partition, *order]
-    ranged = keyed.repartitionByRange(max(1, buckets), *by).sortWithinPartitions(*by)
+    ranged = rows.select("*", *(_identity(rows.schema[p]).alias(k) for p, k in zip(partition, ids)))
+    if not in_order:
+        if buckets is None:
+            total = rows.agg(F.sum(n_col)).first()[0] or 0
+            buckets = max(spark.sparkContext.defaultParallelism, -(-int(total) // TOKENS_PER_RANGE))
+        by = [*partition, *order]
+        ranged = ranged.repartitionByRange(max(1, buckets), *by).sortWithinPartitions(*by)
     place = _running()(F.col(n_col).cast("bigint"), *(F.col(i) for i in ids)).alias("_p")
     placed = spill_table(ranged.select(*rows.columns, place).select(*rows.columns, "_p.*"), "offset-ranges")
     totals = placed.groupBy("_task", *partition).agg(F.sum(n_col).alias("_n"), F.max("_first").alias("_first"))

@@ -17,16 +17,16 @@ def encode_splits(spark: SparkSession, splits: Mapping[str, DataFrame], model, k
     """Encode several corpora in one plan (S14): ``split, key..., ids, n_tokens, start_pos``.
 
     The inputs are tagged and unioned; ``start_pos`` restarts at 0 in each split.
-    Rows without tokens are skipped, as the binary writers do (P9).  The ids are
-    written once and positions are made from that copy.
+    Rows without tokens are skipped, as the binary writers do (P9).  The texts are dealt by range of the
+    order and encoded there; the ids are written once, where they are, and positions are made from that copy.
     """
     tagged = None
     for name, df in splits.items():
         t = df.select(F.lit(name).alias("split"), *key, text_col)
         tagged = t if tagged is None else tagged.unionByName(t)
-    enc = encode(spark, tagged, model, key=("split", *key), text_col=text_col, unit=unit, skip_empty=True)
     order = list(key) + (["line_no"] if unit == "line" else [])
-    return token_offsets(enc, order=order, partition=["split"])
+    enc = encode(spark, tagged, model, key=("split", *key), text_col=text_col, unit=unit, skip_empty=True, order=["split", *order])
+    return token_offsets(enc, order=order, partition=["split"], in_order=True)
 
 
 def split_totals(tokens: DataFrame) -> DataFrame:
