@@ -165,13 +165,39 @@ def _within(sizes):
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def make_row_udf(broadcast_table, byte_ids_broadcast, unk_id: int | None, special_ids: dict[str, int], counts: bool):
+def packed_type(vocab) -> str:
+    """The narrowest type that packed ids of a vocabulary fit."""
+    return "<u2" if max(vocab, default=0) < 1 << 16 else "<i4"
+
+
+def make_unpack_udf(packed: str):
+    """Arrow UDF packed ids BINARY -> ARRAY<INT>."""
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def unpack_ids(raw: pa.Array) -> pa.Array:
+        import numpy as np
+
+        raw = raw.cast(pa.large_binary())
+        width = np.dtype(packed).itemsize
+        ends = np.frombuffer(raw.buffers()[1], "int64")[raw.offset:raw.offset + len(raw) + 1] if len(raw) else np.zeros(1, "int64")
+        held = raw.buffers()[2] if ends[-1] > ends[0] else b""
+        ids = np.frombuffer(held, "uint8")[ends[0]:ends[-1]].view(packed).astype("int32") if held else np.zeros(0, "int32")
+        return pa.ListArray.from_arrays(pa.array(((ends - ends[0]) // width).astype("int32")), pa.array(ids))
+
+    # evaluated once: a filter on the ids must not be pushed below and run it again
+    return unpack_ids.asNondeterministic()
+
+
+def make_row_udf(broadcast_table, byte_ids_broadcast, unk_id: int | None, special_ids: dict[str, int], counts: bool,
+                 packed: str | None = None):
     """Arrow UDF (words by segment, specials between the segments) -> ids of the row, or their number.
 
+    With ``packed`` the ids come one after another as a BINARY of that type, which Spark moves as one value.
+
     A batch is taken in slices of rows with a bounded number of items, and the distinct words of a slice are
     encoded at once; besides the batch and its ids a worker holds one slice, whatever it has seen before.
     """
-    kind = T.IntegerType() if counts else T.ArrayType(T.IntegerType())
+    kind = T.IntegerType() if counts else T.BinaryType() if packed else T.ArrayType(T.IntegerType())
 
     @F.arrow_udf(kind)
     def encode_rows(words: pa.Array, found: pa.Array) -> pa.Array:
@@ -225,6 +251,10 @@ def make_row_udf(broadcast_table, byte_ids_broadcast, unk_id: int | None, specia
             return pa.array(tokens.astype("int32"))
         ids = np.concatenate([d[1] for d in done]) if done else np.zeros(0, "int32")
         del done
+        if packed:
+            raw = ids.astype(packed)
+            ends = np.append(0, np.cumsum(tokens)).astype("int64") * raw.itemsize
+            return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(tokens), [None, pa.py_buffer(ends), pa.py_buffer(raw)]).cast(pa.binary())
         return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(tokens)).astype("int32")), pa.array(ids))
 
     # evaluated once: a filter on the result must not be pushed below and run it again

@@ -21,7 +21,7 @@ from pairforge.functions.expressions import (
     split_on_specials,
 )
 from pairforge.functions.patterns import java_pretoken_pattern
-from pairforge.functions.udfs import make_encode_udf, make_row_udf
+from pairforge.functions.udfs import make_encode_udf, make_row_udf, make_unpack_udf, packed_type
 from pairforge.session import ensure_parallel
 
 
@@ -87,7 +87,8 @@ def _units(spark: SparkSession, df: DataFrame, key: Sequence[str], text_col: str
 
 
 def encode(spark: SparkSession, df: DataFrame, model, key: Sequence[str] = ("doc_id",),
-           text_col: str = "text", unit: str = "document", skip_empty: bool = False, order: Sequence[str] = ()) -> DataFrame:
+           text_col: str = "text", unit: str = "document", skip_empty: bool = False, order: Sequence[str] = (),
+           packed: bool = False) -> DataFrame:
     """Encode every row of ``df``: ``key..., [line_no], ids, n_tokens``.
 
     ``unit='document'`` encodes whole texts (training's view); ``unit='line'``
@@ -97,19 +98,27 @@ def encode(spark: SparkSession, df: DataFrame, model, key: Sequence[str] = ("doc
     batch (E12) are ``spark.sql.execution.arrow.maxRecordsPerBatch``.
 
     ``order``: columns by whose ranges the rows are dealt to tasks and sorted there; the number of
-    ranges follows the bytes of text.
+    ranges follows the bytes of text.  ``packed``: ``ids`` is a BINARY for ``unpack_ids``, which is written and
+    read as one value instead of id by id.
     """
     rows, kept = _units(spark, df, key, text_col, unit, spread=not order)
     if order:
         total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
         ranges = max(2 * spark.sparkContext.defaultParallelism, -(-int(total) // BYTES_PER_RANGE))
         rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    udf = make_row_udf(*_encoder_parts(spark, model), model.special_ids(), counts=False)
+    kind = packed_type(model.vocab) if packed else None
+    udf = make_row_udf(*_encoder_parts(spark, model), model.special_ids(), counts=False, packed=kind)
     ids = udf(*_words_and_specials(F.col(text_col), list(model.special_tokens)))
-    out = rows.select(*kept, ids.alias("ids")).withColumn("n_tokens", F.size("ids"))
+    size = (F.octet_length("ids") / F.lit(int(kind[-1]))).cast("int") if packed else F.size("ids")
+    out = rows.select(*kept, ids.alias("ids")).withColumn("n_tokens", size)
     return out.where(F.col("n_tokens") > 0) if skip_empty else out
 
 
+def unpack_ids(model, ids_col: str = "ids"):
+    """The ids of ``encode(packed=True)`` as ARRAY<INT>."""
+    return make_unpack_udf(packed_type(model.vocab))(F.col(ids_col))
+
+
 def encode_texts(spark: SparkSession, model, texts: Sequence[str]) -> list[list[int]]:
     """E2 convenience: encode a few literal strings (a small DataFrame)."""
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")

@@ -19,6 +19,7 @@ streams apart by a text that is equal where Spark's grouping is: one NaN, one ze
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -81,13 +82,15 @@ def _identity(field: T.StructField):
 
 
 def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str = "n_tokens",
-                  partition: Sequence[str] = (), buckets: int | None = None, in_order: bool = False) -> DataFrame:
+                  partition: Sequence[str] = (), buckets: int | None = None, in_order: bool = False,
+                  compression: str | None = None) -> DataFrame:
     """Add ``start_pos BIGINT`` (exclusive running sum of ``n_col``).
 
     ``buckets``: number of ranges; by default it follows the token total.  Rows that
     agree on the whole order get positions in the order in which they were sorted.
 
     ``in_order``: the tasks hold the rows in ranges of ``partition`` and ``order`` and sorted by them.
+    ``compression``: that of the written copy, if not the session's.
     """
     order, partition = list(order), list(partition)
     spark = df.sparkSession
@@ -101,7 +104,8 @@ def token_offsets(df: DataFrame, order: Sequence[str] = ("doc_id",), n_col: str
         by = [*partition, *order]
         ranged = ranged.repartitionByRange(max(1, buckets), *by).sortWithinPartitions(*by)
     place = _running()(F.col(n_col).cast("bigint"), *(F.col(i) for i in ids)).alias("_p")
-    placed = spill_table(ranged.select(*rows.columns, place).select(*rows.columns, "_p.*"), "offset-ranges")
+    spill = partial(spill_table, compression=compression) if compression else spill_table
+    placed = spill(ranged.select(*rows.columns, place).select(*rows.columns, "_p.*"), "offset-ranges")
     totals = placed.groupBy("_task", *partition).agg(F.sum(n_col).alias("_n"), F.max("_first").alias("_first"))
     earlier = Window.partitionBy(*partition).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     bases = (totals.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).where("_first")

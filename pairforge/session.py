@@ -60,14 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def spill_table(df, name: str):
+def spill_table(df, name: str, compression: str | None = None):
     """Write ``df`` as Parquet below the checkpoint folder and read it back.
 
     Cuts the lineage with a copy that survives the loss of an executor and whose
     columns later readers can prune.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
